@@ -18,9 +18,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..runtime import arrow_map
+from .frames import table
 from .textkit import _BYTE, _ranges, slices
 
 #: Bytes after a space that can't begin white space.
@@ -270,7 +272,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
                 columns = [part.column(0), lists, pa.array(counts, mask=empty), pa.array(np.diff(off), mask=empty), pa.array(same, mask=empty)]
                 yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return arrow_map(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")), run, SCHEMA)
 
 
 DECODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
@@ -286,4 +288,8 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern:
             texts = [None if t is None else c.decode(t).decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), encoded["tokens"].cast("array<int>").alias("tokens")).mapInArrow(run, DECODED)
+    return arrow_map(encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), encoded["tokens"].cast("array<int>").alias("tokens")), run, DECODED)
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
