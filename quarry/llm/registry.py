@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("op07_hosts", "op08_jaccard", "op10_exact", "op05_bpe")
+_MODULES = ("op01_reshard", "op02_repeats", "op03_secrets", "op04_decontaminate", "op05_bpe", "op06_toxicity", "op07_hosts", "op08_jaccard", "op09_language", "op10_exact")
 
 
 def queries() -> dict:
     found = {}
     for name in _MODULES:
         module = importlib.import_module(f"{__package__}.{name}")
-        found |= {k: v for k, v in vars(module).items() if k.startswith("op") and callable(v)}
+        found |= {k: v for k, v in vars(module).items() if k.startswith("op") and callable(v) and v.__module__ == module.__name__}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
