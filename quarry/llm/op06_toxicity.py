@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 
 from ..runtime import arrow_map
 from .frames import table
-from .textkit import data_of, slices, words_of
+from .textkit import _BYTE, _LOWER, _ROOT, _ROOT_INV, Words, _powers, data_of, mix, slices, words_of
 from .trees import Forest, boosted, isotonic
 
 #: At most this many labelled documents a class are gathered to fit the model.
-TRAIN_A_CLASS = 3000
+TRAIN_A_CLASS = 2000
 #: Words within which second person and insult count as near.
 NEAR = 5
+#: Bytes of the beginnings of words that are learned beside whole words.
+STEMS = (4, 5, 6, 7)
 
 STRONG = """
 idiot idiots moron morons scum loser losers trash worthless disgusting pathetic stupid clown imbecile cretin dumbass jackass
@@ -43,18 +45,44 @@ def hashes(words: list[str]) -> np.ndarray:
     return np.unique(words_of(raw, off).hash)
 
 
+_TABLE = np.uint64((1 << 20) - 1)
+
+
+def keys_of(raw: np.ndarray, off: np.ndarray, w: Words) -> np.ndarray:
+    """A row of the words' hashes, and one for each length of stem; shorter words have 0 there."""
+    start = w.start + np.repeat(off[:-1], np.diff(w.bounds))
+    size = w.end - w.start
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[_LOWER[raw]] * _powers(_ROOT, len(raw)), out=total[1:])
+    back = _powers(_ROOT_INV, len(raw) + 1)
+    out = np.zeros((1 + len(STEMS), len(size)), np.uint64)
+    out[0] = w.hash
+    for row, k in enumerate(STEMS, 1):
+        long = np.flatnonzero(size > k)
+        at = start[long]
+        out[row, long] = mix((total[at + k] - total[at]) * back[at] + np.uint64(k))
+    return out
+
+
 class Lexicon:
     """Sets of hashed words with a quick first test."""
 
     def __init__(self, *sets: np.ndarray):
         self.known = np.unique(np.concatenate(sets))
         self.member = np.stack([np.isin(self.known, s) for s in sets])
-        self.table = np.zeros(1 << 16, bool)
-        self.table[(self.known & np.uint64(65535)).astype(np.int64)] = True
+        self.table = np.zeros(1 << 20, bool)
+        self.table[(self.known & _TABLE).astype(np.int64)] = True
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words that are known, whole or by a stem, and as what; ``keys`` has a row for each kind."""
+        places, which = zip(*(self._find(k) for k in keys))
+        place, which = np.concatenate(places), np.concatenate(which)
+        order = np.argsort(place, kind="stable")
+        return place[order], which[order]
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of known words, and which they are."""
-        maybe = np.flatnonzero(self.table[(h & np.uint64(65535)).astype(np.int64)])
+        maybe = np.flatnonzero(self.table[(h & _TABLE).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.known, h[maybe]), len(self.known) - 1)
         sure = self.known[at] == h[maybe]
         return maybe[sure], at[sure]
@@ -75,8 +103,12 @@ def features(raw: np.ndarray, off: np.ndarray, lex: Lexicon) -> np.ndarray:
     w = words_of(raw, off)
     count = np.diff(w.bounds)
     words, size = np.maximum(count, 1), np.maximum(np.diff(off), 1)
-    place, which = lex.find(w.hash)
-    strong, weak, learned, you = (lex.member[k][which] for k in range(4))
+    place, which = lex.find(keys_of(raw, off, w))
+    fresh = np.append(True, place[1:] != place[:-1]) if len(place) else np.zeros(0, bool)
+    group = np.flatnonzero(fresh)
+    member = np.logical_or.reduceat(lex.member[:, which], group, axis=1) if len(group) else lex.member[:, which]
+    place = place[group]
+    strong, weak, learned, you = member
     owner = np.searchsorted(w.bounds, place, "right") - 1
     per = lambda mask: np.bincount(owner[mask], minlength=n)
     insult = strong | learned
@@ -104,7 +136,7 @@ def features(raw: np.ndarray, off: np.ndarray, lex: Lexicon) -> np.ndarray:
     if disguised.any():  # read disguised words of these texts once more, with digits and signs as letters
         for d in np.flatnonzero(disguised).tolist():
             plain = _LEET[raw[off[d] : off[d + 1]]]
-            again, kind = lex.find(words_of(plain, np.array([0, len(plain)])).hash)
+            _, kind = lex._find(words_of(plain, np.array([0, len(plain)])).hash)
             hits = int((lex.member[0][kind] | lex.member[2][kind]).sum())
             hidden[d] = max(0, hits - int(insult[owner == d].sum()))
     hits = per(insult)
@@ -116,18 +148,26 @@ def features(raw: np.ndarray, off: np.ndarray, lex: Lexicon) -> np.ndarray:
     ], axis=1).astype(np.float64)
 
 
-def learn_words(raw: np.ndarray, off: np.ndarray, y: np.ndarray, most: int = 200) -> np.ndarray:
-    """Words that toxic training texts have far more often than others, by a z score of document counts."""
+def learn_words(raw: np.ndarray, off: np.ndarray, y: np.ndarray, most: int = 2000) -> np.ndarray:
+    """Words and stems that toxic training texts have far more often than others, by a z score of document counts."""
     w = words_of(raw, off)
-    pair = np.unique(np.stack([w.hash, w.doc.astype(np.uint64)]), axis=1)
-    known, at = np.unique(pair[0], return_inverse=True)
-    toxic = y[pair[1].astype(np.int64)] > 0
-    a, b = np.bincount(at[toxic], minlength=len(known)), np.bincount(at[~toxic], minlength=len(known))
+    doc = w.doc
     na, nb = max(1, int((y > 0).sum())), max(1, int((y == 0).sum()))
-    p = (a + b + 0.5) / (na + nb + 1)
-    z = (a / na - b / nb) / np.sqrt(p * (1 - p) * (1 / na + 1 / nb))
-    good = (z > 6) & (a / na > 20 * b / nb) & (a >= 10)
-    return known[good][np.argsort(-z[good], kind="stable")][:most]
+    found, scores = [np.zeros(0, np.uint64)], [np.zeros(0)]
+    for keys in keys_of(raw, off, w):
+        order = np.lexsort((doc, keys))
+        k, d = keys[order], doc[order]
+        fresh = np.append(True, (k[1:] != k[:-1]) | (d[1:] != d[:-1]))[: len(k)] & (k != 0)
+        k, d = k[fresh], d[fresh]
+        known, at = np.unique(k, return_inverse=True)
+        a, b = (np.bincount(at, (y[d] > 0) == side, len(known)) for side in (True, False))
+        p = (a + b + 0.5) / (na + nb + 1)
+        z = (a / na - b / nb) / np.sqrt(p * (1 - p) * (1 / na + 1 / nb))
+        good = (z > 5) & (a / na > 20 * b / nb) & (a >= 4)
+        found.append(known[good])
+        scores.append(z[good])
+    z = np.concatenate(scores)
+    return np.concatenate(found)[np.argsort(-z, kind="stable")][:most]
 
 
 class Model:
