@@ -1,0 +1 @@
+"""A Spark engine that prepares multilingual text for tokenizer training."""

@@ -1,6 +1,302 @@
-def queries():
-    return {}
+"""Queries over the test tables, one or more an operator, and the SQL that each is held against.
 
+The documents hold nothing to repair, so artifacts are put into some of them by
+their id, in the same way on both sides.
+"""
 
-def oracle_sql():
-    return {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import Balancing, Config, effective
+from ..functions import text as T
+from ..functions.names import bucket_stem
+from ..operators import balance, classify, lines, repair
+from ..sources import files as source
+from . import reports
+
+#: Bytes a line in the chunking query; the other queries use the preset's limit.
+SHORT = 200
+#: A line budget below what any test table holds, so that targets bind.
+TOTAL = 1500
+
+
+def config(most: int | None = None) -> Config:
+    raw = {"corpus": {"path": "documents"}, "output": {"work_dir": "run", "model_prefix": "tokenizer"}}
+    if most is not None:
+        raw["sentencepiece"] = {"max_sentence_length": most}
+    return effective(raw)
+
+
+def budget() -> Balancing:
+    b = config().balancing
+    b.total_lines, b.collapse_buckets_below_lines, b.max_part_lines = TOTAL, 5, 40
+    return b
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, text`` of all documents, with artifacts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    put = lambda n, s: F.when(F.col("doc_id") % n == 0, s).otherwise("")
+    text = F.concat(put(11, T.BOM), put(13, "Привет мир "), put(7, "café" + T.NBSP), put(17, "ﻛ "), put(19, "∑ x ≤ y "), "text", put(5, T.SHY), put(23, "\r"))
+    return docs.select(F.concat_ws("/", "lang", "source", "doc_id").alias("path"), text.alias("text"))
+
+
+_FILES = f"""
+files AS (
+    SELECT concat_ws('/', lang, source, doc_id) AS path,
+        (CASE WHEN doc_id % 11 = 0 THEN chr(65279) ELSE '' END) || (CASE WHEN doc_id % 13 = 0 THEN 'Привет мир ' ELSE '' END)
+        || (CASE WHEN doc_id % 7 = 0 THEN 'cafe' || chr(769) || chr(160) ELSE '' END) || (CASE WHEN doc_id % 17 = 0 THEN chr(65243) || ' ' ELSE '' END)
+        || (CASE WHEN doc_id % 19 = 0 THEN '∑ x ≤ y ' ELSE '' END) || text
+        || (CASE WHEN doc_id % 5 = 0 THEN chr(173) ELSE '' END) || (CASE WHEN doc_id % 23 = 0 THEN chr(13) ELSE '' END) AS text
+    FROM documents
+),
+split AS (SELECT path, string_split(text, chr(10)) AS parts FROM files WHERE text IS NOT NULL),
+kept AS (SELECT path, CASE WHEN parts[len(parts)] = '' THEN parts[1:len(parts) - 1] ELSE parts END AS parts FROM split),
+numbered AS (SELECT path, unnest(range(1, len(parts) + 1)) AS line_number, unnest(parts) AS raw FROM kept),
+lines AS (SELECT path, line_number, CASE WHEN suffix(raw, chr(13)) THEN left(raw, length(raw) - 1) ELSE raw END AS line FROM numbered)"""
+_CANON = """,
+canon AS (
+    SELECT path, line_number, line, nfc_normalize(replace(replace(replace(replace(replace(
+        CASE WHEN suffix(line, chr(173)) THEN left(line, length(line) - 1) || '-' ELSE line END, chr(160), ' '), chr(173), ''), chr(65279), ''), chr(8203), ''), chr(65243), chr(1603))) AS text
+    FROM lines
+)"""
+
+
+def _chunked(most: int) -> str:
+    """Pieces of every line: characters stand for clusters, as no long line here has a combining mark."""
+    return f""",
+cut AS (
+    SELECT path, line_number, -1 AS chunk_index, NULL::VARCHAR AS text, text AS rest FROM canon WHERE strlen(text) > {most}
+    UNION ALL
+    SELECT path, line_number, chunk_index + 1, left(rest, size), substr(rest, size + 1) FROM (
+        SELECT *, coalesce(list_max(list_filter(range(1, room + 1), lambda i: i < length(rest) AND regexp_matches(substr(rest, i, 1), '[\\s.,;:!?)\\]}}]'))), room) AS size FROM (
+            SELECT *, list_max(list_filter(range(1, least({most}, length(rest)) + 1), lambda i: strlen(left(rest, i)) <= {most})) AS room FROM cut WHERE rest <> ''))
+),
+repaired AS (
+    SELECT path, line_number, 0 AS chunk_index, text FROM canon WHERE strlen(text) <= {most}
+    UNION ALL SELECT path, line_number, chunk_index, text FROM cut WHERE chunk_index >= 0
+)"""
+
+
+_LANGUAGES = "[" + ", ".join(f"'{x}'" for x in T.LANGUAGES) + "]"
+_HINTS = f""",
+tokens AS (SELECT path, list_transform(list_filter(regexp_split_to_array(path, '[^0-9A-Za-z]+'), lambda t: t <> ''), lambda t: lower(t)) AS t FROM files),
+hints AS (SELECT path, coalesce(list_filter(t, lambda x: list_contains({_LANGUAGES}, x))[1], 'unknown') AS language_hint,
+    coalesce(list_filter(t, lambda x: NOT list_contains({_LANGUAGES}, x) AND strlen(x) >= 3)[1], 'unknown') AS source_group FROM tokens)"""
+_CLASSES = r""",
+scripts AS (SELECT *, len(regexp_extract_all(text, '\p{Arabic}')) AS ar, len(regexp_extract_all(text, '\p{Cyrillic}')) AS cy, len(regexp_extract_all(text, '\p{Latin}')) AS la FROM repaired),
+classified AS (
+    SELECT s.path, line_number, chunk_index, text, language_hint, source_group,
+        CASE WHEN regexp_matches(text, '[\\∑∫√≤≥]') THEN 'math' ELSE 'text' END AS domain,
+        CASE WHEN ar + cy + la = 0 THEN 'unknown' WHEN ar >= cy AND ar >= la THEN 'arabic' WHEN cy >= la THEN 'cyrillic' ELSE 'latin' END AS script,
+        CASE WHEN length(text) <= 40 THEN 'short' WHEN length(text) <= 240 THEN 'normal' ELSE 'long' END AS length_bin
+    FROM scripts s JOIN hints USING (path)
+)"""
+_BUCKET = ", ".join(classify.BUCKET)
+_ORDER = "CASE domain WHEN 'text' THEN 0 ELSE 1 END, script, language_hint, source_group, CASE length_bin WHEN 'short' THEN 0 WHEN 'normal' THEN 1 ELSE 2 END"
+
+
+def _balanced() -> str:
+    b = budget()
+    return f""",
+counts AS (SELECT {_BUCKET}, count(*) AS lines FROM classified GROUP BY ALL),
+floors AS (SELECT *, CASE WHEN lines = 0 THEN 0 WHEN lines < {b.collapse_buckets_below_lines} THEN lines
+    ELSE least(greatest(ceil(lines * {b.min_keep_fraction}::DOUBLE), ceil(lines / {b.max_downsample_ratio}::DOUBLE), 1), lines) END::BIGINT AS floor FROM counts),
+sums AS (SELECT sum(round(pow(lines, {b.alpha}::DOUBLE), 9)::DECIMAL(38, 9))::DOUBLE AS w, least({b.total_lines}, sum(lines))::BIGINT AS requested FROM counts),
+smoothed AS (SELECT {_BUCKET}, lines, floor, requested, least(greatest(round(round(round(pow(lines, {b.alpha}::DOUBLE), 9) / w * requested, 9))::BIGINT, floor), lines)::BIGINT AS target FROM floors CROSS JOIN sums),
+placed AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS place, requested - sum(target) OVER () AS change FROM smoothed),
+more AS (SELECT place, change, unnest(range(1, lines - target + 1)) AS level FROM placed WHERE change > 0),
+fewer AS (SELECT place, change, unnest(range(floor + 1, target + 1)) AS level FROM placed WHERE change < 0),
+raised AS (SELECT place, count(*) AS n FROM (SELECT *, row_number() OVER (ORDER BY level DESC, place DESC) AS r FROM more) WHERE r <= change GROUP BY 1),
+lowered AS (SELECT place, count(*) AS n FROM (SELECT *, row_number() OVER (ORDER BY level DESC, place DESC) AS r FROM fewer) WHERE r <= -change GROUP BY 1),
+targets AS (SELECT {_BUCKET}, lines, floor, (target + coalesce(raised.n, 0) - coalesce(lowered.n, 0))::BIGINT AS target FROM placed LEFT JOIN raised USING (place) LEFT JOIN lowered USING (place)),
+drawn AS (
+    SELECT c.*, target, row_number() OVER (PARTITION BY {_BUCKET} ORDER BY md5(concat_ws('|', 'draw', {b.shuffle_seed}, {_BUCKET}, path, line_number, chunk_index)), path, line_number, chunk_index) AS r
+    FROM classified c JOIN targets USING ({_BUCKET})
+),
+sampled AS (SELECT * FROM drawn WHERE r <= target),
+parts AS (SELECT *, ((position - 1) // {b.max_part_lines})::INTEGER AS part FROM (
+    SELECT *, row_number() OVER (PARTITION BY {_BUCKET} ORDER BY md5(concat_ws('|', 'shuffle', {b.shuffle_seed}, {_BUCKET}, path, line_number, chunk_index)), path, line_number, chunk_index) AS position FROM sampled))"""
+
+
+def _sql(select: str, *parts: str) -> str:
+    return f"WITH RECURSIVE {_FILES}{''.join(parts)}\n{select}"
+
+
+_MOST = config().sentencepiece.max_sentence_length
+_REPAIRED = (_CANON, _chunked(_MOST))
+_ALL = (*_REPAIRED, _HINTS, _CLASSES)
+_UTF = (_CANON, _chunked(SHORT))
+
+
+def _log(most: int) -> str:
+    return f"""
+SELECT 'canonicalized' AS id, 'fixed' AS action, path, line_number, 'line changed under configured canonicalization' AS reason FROM canon WHERE text <> line
+UNION ALL
+SELECT 'chunked_long_line', 'fixed', path, line_number, 'canonicalized line is ' || strlen(c.text) || ' byte(s), split into ' || n || ' chunk(s) at max_sentence_length {most}'
+FROM canon c JOIN (SELECT path, line_number, count(*) AS n FROM repaired GROUP BY ALL) USING (path, line_number) WHERE n > 1"""
+
+
+def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.lines(files(spark, sf_dir))
+
+
+def processed(spark: SparkSession, sf_dir: str, most: int | None = None) -> DataFrame:
+    return repair.process(all_lines(spark, sf_dir), config(most))
+
+
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repaired lines in their buckets."""
+    return classify.classify(repair.outputs(processed(spark, sf_dir)))
+
+
+def _canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = all_lines(spark, sf_dir).withColumn("text", T.canonical(F.col("line")))
+    return out.select("path", "line_number", "text", (F.col("text") != F.col("line")).alias("changed"))
+
+
+def _idempotence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    once = all_lines(spark, sf_dir).withColumn("once", T.canonical(F.col("line")))
+    marked = once.select((F.col("once") != F.col("line")).alias("changed"), (T.canonical(F.col("once")) == F.col("once")).alias("stable"))
+    return marked.groupBy("changed", "stable").agg(F.count("*").alias("lines"))
+
+
+def _utf8_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh document gets the byte 0xFF at its end, so its last line isn't UTF-8."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    content = F.when(F.col("doc_id") % 7 == 0, F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF")))).otherwise(F.encode("text", "UTF-8"))
+    raw = lines.raw_lines(docs.select(F.concat_ws("/", "lang", "source", "doc_id").alias("path"), content.alias("content")))
+    return repair.issues(repair.process(raw, config())).where("id = 'invalid_utf8'").select("id", "action", "path", "line_number")
+
+
+def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balance.targets(classify.counts(classified(spark, sf_dir)), budget())
+
+
+def _sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balance.sample(classified(spark, sf_dir), _targets(spark, sf_dir), budget())
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balance.parts(_sampled(spark, sf_dir), budget())
+
+
+def _blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as contents of every kind, by their id."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    html = F.encode("html", "UTF-8")
+    put = lambda start: F.concat(F.unhex(F.lit(start)), html)
+    kind = F.col("page_id") % 10
+    content = F.when(kind == 0, put("504B0304")).when(kind == 1, put("1F8B")).when(kind == 2, put("425A68")).when(kind == 3, put("FD377A585A00")).when(kind == 4, F.encode(F.lit(""), "UTF-8"))
+    content = content.when(kind == 5, put("00")).when(kind == 6, F.concat(F.encode(F.lpad(F.lit(""), 257, "x"), "UTF-8"), F.encode(F.lit("ustar"), "UTF-8"), html)).when(kind == 7, put("FF")).otherwise(html)
+    return pages.select("page_id", "url", content.alias("content"))
+
+
+_BLOBS = """
+SELECT page_id, url, CASE page_id % 10 WHEN 0 THEN from_hex('504B0304') || encode(html) WHEN 1 THEN from_hex('1F8B') || encode(html) WHEN 2 THEN from_hex('425A68') || encode(html)
+    WHEN 3 THEN from_hex('FD377A585A00') || encode(html) WHEN 4 THEN ''::BLOB WHEN 5 THEN from_hex('00') || encode(html) WHEN 6 THEN encode(repeat('x', 257)) || encode('ustar') || encode(html)
+    WHEN 7 THEN from_hex('FF') || encode(html) ELSE encode(html) END AS content FROM pages"""
+
+
+def _sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _blobs(spark, sf_dir).select("page_id", source.sniff_column(F.col("content")).alias("kind"))
+
+
+def _dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as contents of containers: of equal ones all but the first by path are issues."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.concat_ws("/", "lang", "source", "doc_id").alias("path"), F.concat(F.unhex(F.lit("1F8B")), F.encode("text", "UTF-8")).alias("content"))
+    return source.discover(docs)[1].where("id = 'archive_cycle'")
+
+
+def _unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages really compressed, in Arrow batches, then discovered and counted by kind of result."""
+    import gzip
+
+    def shrink(batches):
+        for batch in batches:
+            batch["content"] = [gzip.compress(bytes(c), 1, mtime=0) for c in batch["content"]]
+            yield batch
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").cast("string").alias("path"), F.encode("html", "UTF-8").alias("content"))
+    texts, _ = source.discover(pages.mapInPandas(shrink, "path string, content binary"), logical=True)
+    return texts.select(F.regexp_extract("path", "^([0-9]+)!", 1).cast("long").alias("page_id"), F.length("content").cast("long").alias("n_bytes"), F.md5("content").alias("digest"))
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = _parts(spark, sf_dir).withColumn("name", F.regexp_replace(bucket_stem("train", F.col("part")), "-[0-9a-f]{8}$", ""))
+    return named.groupBy("name").agg(F.count("*").alias("lines"))
+
+
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = classified(spark, sf_dir)
+    counts = classify.counts(rows)
+    wanted = balance.targets(counts, budget())
+    return balance.report(counts, wanted, balance.sample(rows, wanted, budget()))
+
+
+def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.summary(processed(spark, sf_dir, SHORT))
+
+
+def _issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.issues(processed(spark, sf_dir, SHORT)).groupBy("id", "action").agg(F.count("*").alias("issues"))
+
+
+def _hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.path_hints(files(spark, sf_dir)).select("path", "language_hint", "source_group")
+
+
+def _by(column: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: classified(spark, sf_dir).groupBy(column).agg(F.count("*").alias("lines"), F.sum(F.length("text")).alias("chars"))
+
+
+def _discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct paths in order, the bytes and the lines of each file."""
+    out = files(spark, sf_dir).where("text IS NOT NULL").withColumn("n_bytes", F.octet_length("text").cast("long"))
+    return out.groupBy("path").agg(F.sum("n_bytes").alias("n_bytes"), F.sum(F.size(lines.split_lines(F.col("text")))).alias("lines"))
+
+
+Query = Callable[[SparkSession, str], DataFrame]
+_ENTRIES: dict[str, tuple[Query, str | None]] = {
+    "discovered_files": (_discovered, _sql("SELECT f.path, strlen(text) AS n_bytes, len(parts) AS lines FROM files f JOIN kept USING (path)")),
+    "lines": (all_lines, _sql("SELECT path, line_number, line FROM lines")),
+    "canonicalize": (_canonicalize, _sql("SELECT path, line_number, text, text <> line AS changed FROM canon", _CANON)),
+    "arabic_fold": (lambda s, d: all_lines(s, d).where(F.col("line").rlike(T.ARABIC)).select("path", "line_number", T.fold_arabic(F.col("line")).alias("text")), _sql("SELECT path, line_number, replace(line, chr(65243), chr(1603)) AS text FROM lines WHERE contains(line, chr(65243)) OR contains(line, chr(65279))")),
+    "needs_repair": (lambda s, d: all_lines(s, d).groupBy(T.needs_mapping(F.col("line")).alias("needs_mapping")).agg(F.count("*").alias("lines")), _sql("SELECT contains(line, chr(65279)) OR contains(line, chr(160)) OR contains(line, chr(173)) OR contains(line, chr(65243)) AS needs_mapping, count(*) AS lines FROM lines GROUP BY 1")),
+    "idempotence_check": (_idempotence, _sql("SELECT text <> line AS changed, true AS stable, count(*) AS lines FROM canon GROUP BY 1, 2", _CANON)),
+    "utf8_filter": (_utf8_filter, "WITH d AS (SELECT concat_ws('/', lang, source, doc_id) AS path, string_split(text, chr(10)) AS parts FROM documents WHERE doc_id % 7 = 0 AND text IS NOT NULL) SELECT 'invalid_utf8' AS id, 'skipped' AS action, path, len(parts)::BIGINT AS line_number FROM d"),
+    "chunk_lines": (lambda s, d: repair.outputs(processed(s, d, SHORT)), _sql("SELECT path, line_number, chunk_index, text FROM repaired", *_UTF)),
+    "issue_log": (lambda s, d: repair.issues(processed(s, d, SHORT)).drop("line_text"), _sql(_log(SHORT), *_UTF)),
+    "issue_counts": (_issue_counts, _sql(f"SELECT id, action, count(*) AS issues FROM ({_log(SHORT)}) GROUP BY ALL", *_UTF)),
+    "repair_summary": (_summary, _sql(f"SELECT (SELECT count(*) FROM lines) AS lines_read, (SELECT count(*) FROM repaired) AS lines_written, (SELECT count(*) FROM ({_log(SHORT)})) AS lines_fixed, 0::BIGINT AS lines_skipped", *_UTF)),
+    "fixed_corpus": (lambda s, d: repair.outputs(processed(s, d)).orderBy("path", "line_number", "chunk_index"), _sql("SELECT * FROM repaired", *_REPAIRED)),
+    "path_hints": (_hints, _sql("SELECT * FROM hints", _HINTS)),
+    "classified_lines": (lambda s, d: classified(s, d).select("path", "line_number", "chunk_index", *classify.BUCKET), _sql(f"SELECT path, line_number, chunk_index, {_BUCKET} FROM classified", *_ALL)),
+    **{f"{c}_counts": (_by(c), _sql(f"SELECT {c}, count(*) AS lines, sum(length(text))::BIGINT AS chars FROM classified GROUP BY 1", *_ALL)) for c in ("domain", "script", "length_bin")},
+    "bucket_counts": (lambda s, d: classify.counts(classified(s, d)), _sql("SELECT * FROM counts", *_ALL, _balanced())),
+    "bucket_floors": (lambda s, d: balance.floors(classify.counts(classified(s, d)), budget()), _sql("SELECT * FROM floors", *_ALL, _balanced())),
+    "targets_smoothed": (lambda s, d: balance.smoothed(classify.counts(classified(s, d)), budget()), _sql(f"SELECT {_BUCKET}, lines, floor, target, requested FROM smoothed", *_ALL, _balanced())),
+    "targets_final": (_targets, _sql("SELECT * FROM targets", *_ALL, _balanced())),
+    "balanced_sample": (lambda s, d: _sampled(s, d).select("path", "line_number", "chunk_index", *classify.BUCKET), _sql(f"SELECT path, line_number, chunk_index, {_BUCKET} FROM sampled", *_ALL, _balanced())),
+    "training_parts": (lambda s, d: _parts(s, d).select("path", "line_number", "chunk_index", "text", "part", "position", *classify.BUCKET), _sql(f"SELECT path, line_number, chunk_index, text, part, position, {_BUCKET} FROM parts", *_ALL, _balanced())),
+    "part_names": (_names, _sql("SELECT printf('train-%s-script_%s-lang_%s-source_%s-len_%s-part_%04d', domain, script, language_hint, source_group, length_bin, part + 1) AS name, count(*) AS lines FROM parts GROUP BY 1", *_ALL, _balanced())),
+    "balance_report": (_report, _sql(f"SELECT {_BUCKET}, lines AS input_lines, target AS target_lines, coalesce(n, 0) AS output_lines FROM targets LEFT JOIN (SELECT {_BUCKET}, count(*) AS n FROM sampled GROUP BY ALL) USING ({_BUCKET})", *_ALL, _balanced())),
+    "bucket_rollup": (lambda s, d: reports.rollup(classified(s, d)), _sql("SELECT domain, script, language_hint, count(*) AS lines FROM classified GROUP BY ROLLUP (domain, script, language_hint)", *_ALL)),
+    "axis_report": (lambda s, d: reports.axes(all_lines(s, d)), _sql(reports.AXES_SQL)),
+    "sniff_kind": (_sniff, f"WITH b AS ({_BLOBS}) SELECT page_id, CASE page_id % 10 WHEN 0 THEN 'zip' WHEN 1 THEN 'gzip' WHEN 2 THEN 'bzip2' WHEN 3 THEN 'xz' WHEN 6 THEN 'tar' WHEN 4 THEN 'unsupported' WHEN 5 THEN 'unsupported' WHEN 7 THEN 'unsupported' ELSE CASE WHEN octet_length(content) = 0 THEN 'unsupported' ELSE 'text' END END AS kind FROM b"),
+    "container_dedupe": (_dedupe, "SELECT 'archive_cycle' AS id, path, 'compressed content was already seen' AS reason FROM (SELECT concat_ws('/', lang, source, doc_id) AS path, row_number() OVER (PARTITION BY sha256(text) ORDER BY concat_ws('/', lang, source, doc_id)) AS n FROM documents WHERE text IS NOT NULL) WHERE n > 1"),
+    "unpack_gzip": (_unpack, "SELECT page_id, n_bytes, digest FROM (SELECT page_id, strlen(html)::BIGINT AS n_bytes, md5(html) AS digest, row_number() OVER (PARTITION BY html ORDER BY page_id::VARCHAR) AS n FROM pages WHERE html <> '') WHERE n = 1"),
+    "streaming_bucket_counts": (reports.streamed, "SELECT 'text' AS domain, 'latin' AS script, 'unknown' AS language_hint, CASE WHEN length(text) <= 40 THEN 'short' WHEN length(text) <= 240 THEN 'normal' ELSE 'long' END AS length_bin, count(*) AS lines FROM (SELECT unnest(string_split(text, chr(10))) AS text FROM benchmark) WHERE text <> '' GROUP BY ALL"),
+}
+
+
+def queries() -> dict[str, Query]:
+    return {name: query for name, (query, _) in _ENTRIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for name, (_, sql) in _ENTRIES.items() if sql is not None}

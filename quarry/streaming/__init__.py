@@ -1 +1,30 @@
+"""The stateless operators over unbounded input."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import Config
+from ..operators.classify import BUCKET, classify
+from ..operators.repair import outputs, process
+
+
+def read_stream(spark: SparkSession, path: str, files_a_batch: int = 1000) -> DataFrame:
+    """``path, line_number, line`` of text files as they arrive.
+
+    Files are split over tasks, so lines carry no number of their own; the hash of
+    the line stands in for it.
+    """
+    read = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_a_batch).option("recursiveFileLookup", "true").text(path)
+    return read.select(F.col("_metadata.file_path").alias("path"), F.xxhash64("value").alias("line_number"), F.regexp_replace("value", "\r\\z", "").alias("line"))
+
+
+def repaired(lines: DataFrame, config: Config, root: str | None = None) -> DataFrame:
+    """Repaired, classified lines of a stream (or a table) of lines."""
+    return classify(outputs(process(lines, config)), root)
+
+
+def bucket_counts(lines: DataFrame, config: Config, root: str | None = None) -> DataFrame:
+    """Running line counts by bucket; the state has a row a bucket."""
+    return repaired(lines, config, root).groupBy(*BUCKET).agg(F.count("*").alias("lines"))
