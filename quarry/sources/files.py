@@ -122,17 +122,22 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.format("binaryFile")
     if "://" in path:
         files = reader.option("recursiveFileLookup", "true").load(path)
-    elif os.path.isfile(path):
-        files = reader.load(_uri(path))
-    elif os.path.isdir(path):
-        paths = walk(path)
+    elif os.path.isfile(path) or os.path.isdir(path):
+        paths = [path] if os.path.isfile(path) else walk(path)
+        # Spark's listing leaves out files of no bytes.
+        none = spark.createDataFrame([(p, bytearray()) for p in paths if not os.path.getsize(p)], "path string, content binary")
+        paths = [_uri(p) for p in paths if os.path.getsize(p)]
         if not paths:
-            return spark.createDataFrame([], "path string, content binary")
-        files = reader.load([_uri(p) for p in paths])
+            return none
+        return _plain(reader.load(paths)).unionByName(none)
     elif os.path.exists(path):
         raise SourceError(f"corpus path is neither a file nor a folder: {path}")
     else:
         raise SourceError(f"corpus path does not exist: {path}")
+    return _plain(files)
+
+
+def _plain(files: DataFrame) -> DataFrame:
     return files.select(F.regexp_replace("path", "^file:(//)?", "").alias("path"), "content")
 
 
