@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_IDS = 2_000_000
 
 _made: set[str] = set()
+_local: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not where:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = tempfile.mkdtemp(prefix="quarry-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        where = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="quarry-")
+        _local[spark.sparkContext.applicationId] = where
     return where.rstrip("/")
 
 
