@@ -16,6 +16,8 @@ from .frames import table
 
 #: White space that normalisation turns into single spaces.
 SPACE = "\t\n\r\f\v"
+#: Characters of a content that its splitter holds.
+HEAD = 16
 
 
 def normalised(text: Column) -> Column:
@@ -35,10 +37,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     key = "__content"
     while key in docs.columns:
         key += "_"
-    whole = docs.where(docs[text_col].isNotNull())
-    spread = whole.repartitionByRange(normalised(whole[text_col])).withColumn(key, normalised(F.col(text_col)))
-    order = Window.partitionBy(key).orderBy(F.col(id_col).asc_nulls_last())
-    first = spread.withColumn(key + "n", F.row_number().over(order)).where(F.col(key + "n") == 1).drop(key, key + "n")
+    # Splitters come from the first bytes and a hash of the whole content: a sample of whole texts would
+    # weigh on the driver, and contents that only begin alike need not fall into one range.
+    content = normalised(docs[text_col])
+    splitters = {key + "h": F.substring(content, 1, HEAD), key + "x": F.xxhash64(content)}
+    spread = docs.where(docs[text_col].isNotNull()).repartitionByRange(*splitters.values()).withColumns({**splitters, key: content})
+    order = Window.partitionBy(*splitters, key).orderBy(F.col(id_col).asc_nulls_last())
+    first = spread.withColumn(key + "n", F.row_number().over(order)).where(F.col(key + "n") == 1).drop(*splitters, key, key + "n")
     return first.unionByName(docs.where(docs[text_col].isNull()))
 
 
