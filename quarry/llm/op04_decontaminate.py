@@ -68,48 +68,61 @@ def signs(grams: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def simhash(sums: np.ndarray) -> np.ndarray:
-    return ((sums > 0).astype(np.uint64) << _BITS).sum(axis=-1, dtype=np.uint64)
+    """Fingerprints of rows of 64 sums; rounding keeps sums that cancel out from depending on their order."""
+    return np.packbits(np.round(sums, 9) > 0, axis=-1, bitorder="little").view("<u8")[..., 0]
 
 
 class Items:
-    """The items of a benchmark, their shingles' weights and the index of their fingerprints."""
+    """The items of a benchmark, their shingles' weights and the index of their fingerprints.
+
+    The index holds, for each length in words and each of the eight blocks, the
+    items that a block's value may belong to, as bits of 64-bit words.
+    """
 
     def __init__(self, ids: list[int], words: list[int], sets: list[np.ndarray], known: np.ndarray, counts: np.ndarray, radius: int):
         self.ids, self.words, self.sets, self.known, self.radius = ids, words, sets, known, radius
         self.weight = weights(counts)
-        prints = [int(simhash(signs(s, self.weigh(s)).sum(axis=0))) for s in sets]
-        self.prints = np.array(prints, np.uint64)
-        near = [v for v in range(256) if v.bit_count() <= radius // _BLOCKS]
-        self.index: dict[int, list[list[list[int]]]] = {}
-        for k, (n, p) in enumerate(zip(words, prints)):
-            blocks = self.index.setdefault(n, [[[] for _ in range(256)] for _ in range(_BLOCKS)])
-            for b in range(_BLOCKS):
-                own = p >> 8 * b & 255
-                for v in near:
-                    blocks[b][own ^ v].append(k)
+        self.whole = [float(self.weigh(s).sum()) for s in sets]
+        self.prints = np.array([simhash(signs(s, self.weigh(s)).sum(axis=0)) for s in sets], np.uint64)
+        near = np.array([v for v in range(256) if v.bit_count() <= radius // _BLOCKS])
+        self.by_size: dict[int, np.ndarray] = {}
+        self.index: dict[int, np.ndarray] = {}
+        self.member: dict[int, np.ndarray] = {}
+        for n in sorted(set(words)):
+            own = self.by_size[n] = np.array([k for k, w in enumerate(words) if w == n])
+            index = self.index[n] = np.zeros((_BLOCKS, 256, -(-len(own) // 64)), np.uint64)
+            for place, k in enumerate(own.tolist()):
+                for b in range(_BLOCKS):
+                    index[b, (int(self.prints[k]) >> 8 * b & 255) ^ near, place // 64] |= np.uint64(1 << place % 64)
+            self.member[n] = np.isin(known, np.concatenate([sets[k] for k in own.tolist()]))
+
+    def places(self, grams: np.ndarray) -> np.ndarray:
+        """Where each gram is among the known ones, -1 for others."""
+        at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
+        return np.where(self.known[at] == grams, at, -1)
 
     def weigh(self, grams: np.ndarray) -> np.ndarray:
         """Shingles that no item has weigh 1."""
-        at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
-        return np.where(self.known[at] == grams, self.weight[at], 1.0)
+        at = self.places(grams)
+        return np.where(at >= 0, self.weight[at], 1.0)
 
-    def near(self, n: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a fingerprint's index and an item of n words within the radius: all there are."""
-        where, which = [], []
+    def near(self, n: int, prints: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """Each item of n words with the fingerprints, by their index, that lie within the radius of its own: all there are."""
+        blocks = np.ascontiguousarray(prints.astype("<u8")).view(np.uint8).reshape(-1, _BLOCKS)
         index = self.index[n]
-        for b in range(_BLOCKS):
-            byte = (prints >> np.uint64(8 * b) & np.uint64(255)).astype(np.int64)
-            for v in np.unique(byte).tolist():
-                if items := index[b][v]:
-                    mine = np.flatnonzero(byte == v)
-                    where.append(np.repeat(mine, len(items)))
-                    which.append(np.tile(items, len(mine)))
-        if not where:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pair = np.unique(np.concatenate(where) * len(self.ids) + np.concatenate(which))
-        i, k = pair // len(self.ids), pair % len(self.ids)
-        close = np.bitwise_count(prints[i] ^ self.prints[k]) <= self.radius
-        return i[close], k[close]
+        found = index[0, blocks[:, 0]]
+        for b in range(1, _BLOCKS):
+            found = found | index[b, blocks[:, b]]
+        any_ = np.bitwise_or.reduce(found, axis=0)
+        out = []
+        for place, k in enumerate(self.by_size[n].tolist()):
+            bit = np.uint64(1 << place % 64)
+            if any_[place // 64] & bit:
+                mine = np.flatnonzero(found[:, place // 64] & bit)
+                mine = mine[np.bitwise_count(prints[mine] ^ self.prints[k]) <= self.radius]
+                if len(mine):
+                    out.append((k, mine))
+        return out
 
 
 _REGIONS = T.StructType([
@@ -207,20 +220,33 @@ def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
             rows = []
             for doc, first, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 grams = np.frombuffer(blob, np.uint64)
-                hit = (items.known[np.minimum(np.searchsorted(items.known, grams), len(items.known) - 1)] == grams).astype(np.int64)
-                sums = np.concatenate([np.zeros((1, 64)), np.cumsum(signs(grams, items.weigh(grams)), axis=0)])
-                best: dict[int, tuple[float, int]] = {}
+                at = items.places(grams)
+                w = np.where(at >= 0, items.weight[at], 1.0)
+                weight = np.concatenate([[0.0], np.cumsum(w)])
+                sums = None
                 for words in items.index:
                     n = max(1, words - SHINGLE + 1)
-                    start = windows(hit, n, least)
+                    start = windows((at >= 0) & items.member[words][at], n, least)
                     if not len(start):
                         continue
-                    i, k = items.near(words, simhash(np.round(sums[start + n] - sums[start], 9)))
-                    for at, item in zip(start[i].tolist(), k.tolist()):
-                        value = similarity(grams[at : at + n], items.sets[item], items.weigh)
-                        if value >= least - 1e-12 and value > best.get(item, (0.0, 0))[0]:
-                            best[item] = (value, at)
-                rows += [(doc, items.ids[k], v, first + at, items.words[k]) for k, (v, at) in best.items()]
+                    if sums is None:
+                        sums = np.concatenate([np.zeros((1, 64)), np.cumsum(signs(grams, w), axis=0)])
+                    for k, mine in items.near(words, simhash(sums[start + n] - sums[start])):
+                        begin = start[mine]
+                        # Shared weight is at most that of the window's shingles that the item has: the best bound is verified first.
+                        held = np.concatenate([[0.0], np.cumsum(np.where(np.isin(grams, items.sets[k]), w, 0.0))])
+                        most = held[begin + n] - held[begin]
+                        most = np.minimum(most, items.whole[k])
+                        bound = most / np.maximum(items.whole[k] + weight[begin + n] - weight[begin] - most, 1e-12) + 1e-9
+                        best, where = least - 1e-9, -1
+                        for i in np.lexsort((begin, -np.round(bound, 6))).tolist():
+                            if bound[i] + 1e-6 < best:
+                                break
+                            value = similarity(grams[begin[i] : begin[i] + n], items.sets[k], items.weigh)
+                            if value > best + 1e-12 or (value > best - 1e-12 and 0 <= begin[i] < where):
+                                best, where = value, int(begin[i])
+                        if where >= 0:
+                            rows.append((doc, items.ids[k], best, first + where, words))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _MATCHES_ARROW)], schema=_MATCHES_ARROW)
 
