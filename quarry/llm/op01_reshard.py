@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .frames import saved, scratch, table
+from .frames import saved, scratch, sized, table
 
 #: Wanted bytes of a block; the driver holds one row a block.
 BLOCK_BYTES = 4 << 20
@@ -23,6 +23,8 @@ BLOCK_BYTES = 4 << 20
 SHARDS = 4096
 #: Blocks whose table may be broadcast.
 BROADCAST_BLOCKS = 200_000
+#: Rows of cut blocks, of three short columns, that may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def least_cost_flow(sizes: dict[str, int], capacities: dict[str, int], cost: Callable[[str, str], int] | None = None) -> dict[tuple[str, str], int]:
@@ -155,6 +157,7 @@ def plan(docs: DataFrame, shards: int, shard: str = "source", slack: float = 0.0
     offsets = narrow.withColumn("__at", F.coalesce(F.sum("__bytes").over(order), F.lit(0)))
     parts = offsets.join(small(cut_df), (F.col("__shard") == F.col("s")) & (F.col("__block") == F.col("k")) & (F.greatest(F.col("__at"), F.lit(0)) >= F.greatest("lo", F.lit(0))) & (F.col("__at") < F.col("hi")))
     parts = parts.select(F.col("__shard").alias("ps"), F.col("__block").alias("pk"), F.col(id_col).alias("pid"), "part")
+    parts = sized(parts, BROADCAST_ROWS)  # a few blocks' ids; the texts aren't shuffled for them unless they are many
     placed = marked.join(small(whole_df), (F.col("__shard") == F.col("s")) & (F.col("__block") == F.col("k")), "left")
     placed = placed.join(parts, (F.col("__shard") == F.col("ps")) & (F.col("__block") == F.col("pk")) & F.col(id_col).eqNullSafe(F.col("pid")) & F.col("whole").isNull(), "left")
     return placed.withColumn("__to", F.coalesce("whole", "part", "__shard")).select(*docs.columns, "__shard", "__bytes", "__to")
