@@ -147,20 +147,21 @@ def plan(docs: DataFrame, shards: int, shard: str = "source", slack: float = 0.0
             at += b
     spark = docs.sparkSession
     small = F.broadcast if len(rows) <= BROADCAST_BLOCKS else (lambda x: x)
-    whole_df = spark.createDataFrame(whole, "s string, k bigint, whole string")
-    cut_df = spark.createDataFrame(cut, "s string, k bigint, lo bigint, hi bigint, part string")
+    whole_df = spark.createDataFrame(whole, "__s string, __k bigint, __whole string")
+    cut_df = spark.createDataFrame(cut, "__s string, __k bigint, __lo bigint, __hi bigint, __part string")
+    here = (F.col("__shard") == F.col("__s")) & (F.col("__block") == F.col("__k"))
     # Offsets are only needed in the blocks that a cut falls into: no more than there are flows.
-    order = Window.partitionBy("__shard", "__block").orderBy(F.col(id_col).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    edge = cut_df.select(F.col("s").alias("es"), F.col("k").alias("ek")).distinct()
-    narrow = marked.select("__shard", "__block", id_col, "__bytes").join(small(edge), (F.col("__shard") == F.col("es")) & (F.col("__block") == F.col("ek")), "left_semi")
-    narrow = narrow.groupBy("__shard", "__block", id_col).agg(F.sum("__bytes").alias("__bytes"))
+    order = Window.partitionBy("__shard", "__block").orderBy(F.col("__id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    edge = cut_df.select("__s", "__k").distinct()
+    narrow = marked.select("__shard", "__block", F.col(id_col).alias("__id"), "__bytes").join(small(edge), here, "left_semi")
+    narrow = narrow.groupBy("__shard", "__block", "__id").agg(F.sum("__bytes").alias("__bytes"))
     offsets = narrow.withColumn("__at", F.coalesce(F.sum("__bytes").over(order), F.lit(0)))
-    parts = offsets.join(small(cut_df), (F.col("__shard") == F.col("s")) & (F.col("__block") == F.col("k")) & (F.greatest(F.col("__at"), F.lit(0)) >= F.greatest("lo", F.lit(0))) & (F.col("__at") < F.col("hi")))
-    parts = parts.select(F.col("__shard").alias("ps"), F.col("__block").alias("pk"), F.col(id_col).alias("pid"), "part")
+    parts = offsets.join(small(cut_df), here & (F.col("__at") >= F.greatest("__lo", F.lit(0))) & (F.col("__at") < F.col("__hi")))
+    parts = parts.select(F.col("__shard").alias("__ps"), F.col("__block").alias("__pk"), F.col("__id").alias("__pid"), "__part")
     parts = sized(parts, BROADCAST_ROWS)  # a few blocks' ids; the texts aren't shuffled for them unless they are many
-    placed = marked.join(small(whole_df), (F.col("__shard") == F.col("s")) & (F.col("__block") == F.col("k")), "left")
-    placed = placed.join(parts, (F.col("__shard") == F.col("ps")) & (F.col("__block") == F.col("pk")) & F.col(id_col).eqNullSafe(F.col("pid")) & F.col("whole").isNull(), "left")
-    return placed.withColumn("__to", F.coalesce("whole", "part", "__shard")).select(*docs.columns, "__shard", "__bytes", "__to")
+    placed = marked.join(small(whole_df), here, "left")
+    placed = placed.join(parts, (F.col("__shard") == F.col("__ps")) & (F.col("__block") == F.col("__pk")) & F.col(id_col).eqNullSafe(F.col("__pid")) & F.col("__whole").isNull(), "left")
+    return placed.withColumn("__to", F.coalesce("__whole", "__part", "__shard")).select(*docs.columns, "__shard", "__bytes", "__to")
 
 
 def reshard(docs: DataFrame, path: str, shards: int, shard: str = "source", **options) -> DataFrame:
@@ -174,7 +175,10 @@ def reshard(docs: DataFrame, path: str, shards: int, shard: str = "source", **op
     affected = planned.where(F.col("__shard").isin(*changed) | F.col("__to").isin(*changed)) if changed else planned.limit(0)
     # A writer gets a share of one shard, so that a large shard isn't one task's work.
     spread = affected.repartition(F.col("__to"), F.pmod(F.xxhash64(F.col(options.get("id_col", "doc_id"))), F.lit(8)))
-    spread.withColumn("shard", F.col("__to")).write.partitionBy("shard").parquet(path)
+    folder = "shard"
+    while folder in docs.columns:
+        folder += "_"
+    spread.withColumn(folder, F.col("__to")).write.partitionBy(folder).parquet(path)
     written = docs.sparkSession.read.schema(spread.schema).parquet(path).select(*planned.columns)
     rest = planned.where(~F.col("__shard").isin(*changed)) if changed else planned
     return written.unionByName(rest)

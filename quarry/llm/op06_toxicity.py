@@ -204,9 +204,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_A_CLASS) -> Mode
     for y in sorted(totals):
         own = known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = own if chosen is None else chosen.unionByName(own)
-    chosen = chosen.withColumnRenamed("doc_id", "__id")
+    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("toxic").alias("__toxic"))
     # At most two times ``most`` ids are broadcast.
-    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["__id"]).where(docs["text"].isNotNull()).select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), "toxic").toArrow()
+    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["__id"]).where(docs["text"].isNotNull()).select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), chosen["__toxic"].alias("toxic")).toArrow()
     rows = rows.take(pa.array(np.lexsort((rows.column("text").combine_chunks().to_pandas(), rows.column("doc_id").to_numpy())))) if rows.num_rows else rows
     y = rows.column("toxic").to_numpy().astype(float)
     if not len(y):
