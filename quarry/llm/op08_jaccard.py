@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..runtime import arrow_map
 from .census import SLICE, census, head_parts, heads_of, partitions, runs, texts
-from .frames import saved, table
+from .frames import saved, sized, table
 from .graph import components
 from .textkit import _ranges, mix, slices, words_of
 
@@ -232,7 +232,7 @@ def keep_one(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
     Rows without an id or a text stay.
     """
     pairs = jaccard_pairs(docs, n, t).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-    gone = components(pairs).where("node <> root").select(F.col("node").alias("__gone"))
+    gone = sized(components(pairs).where("node <> root").select(F.col("node").alias("__gone")))
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 
