@@ -32,8 +32,8 @@ _OPENS[[*range(9, 14), *range(28, 33), 0x85, 0xA0, 0xC2, 0xE1, 0xE2, 0xE3]] = Fa
 #: The public split pattern of the 50k byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Memoised pieces per worker; beyond it the memo starts again.
-MEMO = 400_000
+#: Memoised chunks per worker, and as many pieces of longer chunks; beyond it a memo starts again.
+MEMO = 120_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -136,7 +136,10 @@ class Codec:
         return np.array([whole] if whole is not None else self._walk(raw), np.int32).tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.find(chunk.decode("utf-8", "surrogatepass"))))
+        found = self.find(chunk.decode("utf-8", "surrogatepass"))
+        if len(found) == 1:  # the chunk's own entry is enough
+            return self._piece(found[0])
+        return b"".join(map(self.pieces.__getitem__, found))
 
     def _walk(self, raw: bytes) -> list[int]:
         n = len(raw)
