@@ -6,6 +6,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of an Arrow batch; with texts of a few kilobytes a larger batch holds much memory outside the heap.
+BATCH_ROWS = 1000
+_RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -22,6 +26,12 @@ def reachable(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with the package on the workers' module path."""
-    reachable(df.sparkSession)
+    """``mapInArrow`` with the package on the workers' module path, and batches of no more than BATCH_ROWS rows.
+
+    The number is a setting of the session, which is lowered if it is higher.
+    """
+    spark = df.sparkSession
+    reachable(spark)
+    if not 0 < int(spark.conf.get(_RECORDS)) <= BATCH_ROWS:
+        spark.conf.set(_RECORDS, str(BATCH_ROWS))
     return df.mapInArrow(function, schema)
