@@ -13,10 +13,21 @@ def split_lines(text: Column) -> Column:
     return F.transform(parts, lambda x: F.regexp_replace(x, "\r\\z", ""))
 
 
+#: Columns of a file that its lines keep.
+HINTS = ["language_hint", "source_group"]
+
+
+def kept(df: DataFrame) -> list[str]:
+    return [c for c in HINTS if c in df.columns]
+
+
 def lines(files: DataFrame, text: str = "text") -> DataFrame:
-    """``path, line_number, line`` for the lines of ``path, text``, numbered from 1; nulls have no lines."""
-    numbered = files.select("path", F.posexplode(split_lines(F.col(text))).alias("n", "line"))
-    return numbered.select("path", (F.col("n") + 1).cast("long").alias("line_number"), "line")
+    """``path, line_number, line`` for the lines of ``path, text``, numbered from 1; nulls have no lines.
+
+    Path hints that ``files`` has already go along.
+    """
+    numbered = files.select("path", *kept(files), F.posexplode(split_lines(F.col(text))).alias("n", "line"))
+    return numbered.select("path", *kept(files), (F.col("n") + 1).cast("long").alias("line_number"), "line")
 
 
 def raw_lines(files: DataFrame, content: str = "content") -> DataFrame:
@@ -24,5 +35,5 @@ def raw_lines(files: DataFrame, content: str = "content") -> DataFrame:
 
     Latin-1 gives every byte one character, so the split is exact and stays in the JVM.
     """
-    parts = lines(files.select("path", F.decode(F.col(content), "ISO-8859-1").alias("text")))
-    return parts.select("path", "line_number", F.encode("line", "ISO-8859-1").alias("bytes"))
+    parts = lines(files.select("path", *kept(files), F.decode(F.col(content), "ISO-8859-1").alias("text")))
+    return parts.select("path", *kept(files), "line_number", F.encode("line", "ISO-8859-1").alias("bytes"))

@@ -9,6 +9,7 @@ from ..config import Config
 from ..functions.text import canonical
 from ..runtime import reachable
 from .chunk import chunk_column
+from .lines import kept
 
 ISSUE = "struct<id:string,action:string,path:string,line_number:bigint,reason:string,line_text:string>"
 
@@ -55,12 +56,12 @@ def process(lines: DataFrame, config: Config) -> DataFrame:
         .when(F.col("chunks").isNull(), skip("max_sentence_length", long, text))
         .otherwise(fixes)
     )
-    return done.select("path", "line_number", issues.alias("issues"), F.coalesce("chunks", F.array().cast("array<string>")).alias("output"))
+    return done.select("path", *kept(done), "line_number", issues.alias("issues"), F.coalesce("chunks", F.array().cast("array<string>")).alias("output"))
 
 
 def outputs(processed: DataFrame) -> DataFrame:
-    """``path, line_number, chunk_index, text`` of what is kept; the three first identify a row."""
-    return processed.select("path", "line_number", F.posexplode("output").alias("chunk_index", "text"))
+    """``path, line_number, chunk_index, text`` of what is kept, and path hints if there are any; path, line and chunk identify a row."""
+    return processed.select("path", *kept(processed), "line_number", F.posexplode("output").alias("chunk_index", "text"))
 
 
 def issues(processed: DataFrame, source_issues: DataFrame | None = None) -> DataFrame:

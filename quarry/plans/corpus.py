@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config, read_json
 from ..operators import balance, classify, lines, repair
-from ..runtime import reachable
+from ..runtime import reachable, saved
 from ..sources import files, sinks
 from ..train import TrainerError, train
 
@@ -23,7 +23,9 @@ def repair_lines(spark: SparkSession, config: Config, logical: bool = False) ->
     """Texts, issues of sources, and processed lines of the corpus of ``config``."""
     reachable(spark)
     texts, source_issues = files.discover(files.read_files(spark, config.corpus.path), logical)
-    return texts, source_issues, repair.process(lines.raw_lines(texts), config)
+    root = config.corpus.path if os.path.isdir(config.corpus.path) else os.path.dirname(config.corpus.path)
+    hinted = classify.path_hints(texts, root)
+    return texts, source_issues, repair.process(lines.raw_lines(hinted), config)
 
 
 def run(spark: SparkSession, config: Config, logical: bool = False, with_training: bool = True) -> dict:
@@ -44,8 +46,7 @@ def run(spark: SparkSession, config: Config, logical: bool = False, with_trainin
         counters = repair.summary(processed).first().asDict()
         if not counters["lines_written"]:
             raise RunError(f"no usable lines were written; see {log}")
-        root = config.corpus.path if os.path.isdir(config.corpus.path) else None
-        summary = balance_lines(classify.classify(out, root or os.path.dirname(config.corpus.path)), config)
+        summary = balance_lines(classify.classify(out), config)
         result = {
             "files_read": texts.count(), **counters, "source_issues": source_issues.count(), "issue_log": log,
             "corpus_bytes": texts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0],
@@ -61,10 +62,11 @@ def run(spark: SparkSession, config: Config, logical: bool = False, with_trainin
 def balance_lines(classified: DataFrame, config: Config) -> dict:
     """Targets, sample, training parts and report of classified lines."""
     b, work = config.balancing, config.output.work_dir
+    classified = saved(classified)
     counts = classify.counts(classified).persist(StorageLevel.DISK_ONLY)
     try:
         wanted = balance.targets(counts, b)
-        sampled = balance.parts(balance.sample(classified, wanted, b), b)
+        sampled = saved(balance.parts(saved(balance.sample(classified, wanted, b)), b))
         written = sinks.write_parts(sampled, os.path.join(work, "train_corpus"))
         return sinks.write_report(balance.report(counts, wanted, sampled), written, os.path.join(work, "reports", "balance.json"))
     finally:

@@ -15,6 +15,7 @@ from ..config import Balancing, Config, effective
 from ..functions import text as T
 from ..functions.names import bucket_stem
 from ..operators import balance, classify, lines, repair
+from ..runtime import saved
 from ..sources import files as source
 from . import reports
 
@@ -150,8 +151,9 @@ def processed(spark: SparkSession, sf_dir: str, most: int | None = None) -> Data
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repaired lines in their buckets."""
-    return classify.classify(repair.outputs(processed(spark, sf_dir)))
+    """Repaired lines in their buckets; paths are looked at once a file, before they become lines."""
+    hinted = lines.lines(classify.path_hints(files(spark, sf_dir)))
+    return classify.classify(repair.outputs(repair.process(hinted, config())))
 
 
 def _canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,11 +180,13 @@ def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balance.sample(classified(spark, sf_dir), _targets(spark, sf_dir), budget())
+    """Counts and ranks read the classified lines several times, so they are written once."""
+    rows = saved(classified(spark, sf_dir))
+    return balance.sample(rows, balance.targets(classify.counts(rows), budget()), budget())
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balance.parts(_sampled(spark, sf_dir), budget())
+    return balance.parts(saved(_sampled(spark, sf_dir)), budget())
 
 
 def _blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +236,7 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = classified(spark, sf_dir)
+    rows = saved(classified(spark, sf_dir))
     counts = classify.counts(rows)
     wanted = balance.targets(counts, budget())
     return balance.report(counts, wanted, balance.sample(rows, wanted, budget()))

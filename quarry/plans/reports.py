@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import effective
 from ..functions import text as T
 from ..operators.classify import BUCKET
+from ..runtime import scratch
 from ..streaming import bucket_counts
 
 #: Lines that each rule of canonicalization touches.
@@ -41,20 +38,9 @@ def rollup(classified: DataFrame) -> DataFrame:
     return classified.rollup("domain", "script", "language_hint").agg(F.count("*").alias("lines"))
 
 
-def _shared(spark: SparkSession) -> tuple[str, bool]:
-    """The folder of ``spark.checkpoint.dir``, or in a local session without it a temporary one."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where.rstrip("/"), False
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="quarry-"), True
-
-
 def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark lines written as text, read as a stream, repaired and counted by bucket."""
-    root, own = _shared(spark)
-    at = f"{root}/stream-{uuid.uuid4().hex}"
+    at = scratch(spark)
     spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("text <> ''").select(F.col("text").alias("value")).write.text(f"{at}/in")
     config = effective({"corpus": {"path": at}, "output": {"work_dir": at, "model_prefix": "m"}})
     lines = (
@@ -69,8 +55,4 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     query.awaitTermination(600)
     out = spark.read.parquet(f"{at}/out")
     rows = out.groupBy(*[c for c in BUCKET if c != "source_group"]).agg(F.sum("lines").alias("lines"))
-    if own:  # the rows are a few; without a shared folder nothing should stay behind
-        kept = spark.createDataFrame(rows.collect(), rows.schema)
-        shutil.rmtree(root, ignore_errors=True)
-        return kept
     return rows
