@@ -2,66 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import saved, scratch, shared_dir
+
+__all__ = ["BROADCAST_IDS", "saved", "scratch", "shared_dir", "sized", "table"]
+
 #: Up to this many ids of 8 bytes a side may be broadcast; beyond it the join is left to shuffle.
 BROADCAST_IDS = 2_000_000
 
-_made: set[str] = set()
-_local: dict[str, str] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (a local test), a temporary one."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="quarry-")
-        _local[spark.sparkContext.applicationId] = where
-    return where.rstrip("/")
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new path in the shared folder, removed when this process ends."""
-    root = f"{shared_dir(spark)}/quarry-{spark.sparkContext.applicationId}"
-    if root not in _made:
-        _made.add(root)
-        atexit.register(_remove, spark, root)
-    return f"{root}/{uuid.uuid4().hex}"
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is None:
-        return
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # noqa: BLE001 - the JVM may have ended before us
-        pass
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared folder and read again.
-
-    Cuts lineage like ``checkpoint()`` but computes the rows a single time, and
-    survives the loss of any executor.
-    """
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def sized(df: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     """The saved rows of a narrow table, hinted for broadcast only if there are at most ``most``."""
     kept = saved(df)

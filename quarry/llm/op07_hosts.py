@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import table
+from .frames import saved, table
 
 #: Public suffixes of two labels that are known here; all others have one label.
 SUFFIXES = "co.uk org.uk ac.uk gov.uk com.au net.au org.au co.jp ne.jp or.jp co.nz com.br com.cn com.mx co.in co.kr co.za com.ar com.tr github.io blogspot.com".split()
@@ -63,7 +63,9 @@ def reputations(pages: DataFrame, labels: DataFrame, url_col: str = "url", id_co
     p = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"))
     p = p.withColumn("suffix", suffix_of(F.col("host"))).withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
     y = labels.where(F.col(label_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(label_id).alias("page_id")).agg(F.count("*").alias("n"), F.sum((F.col(label) == 0).cast("long")).alias("bad"))
+    # A row a host; all levels above, and every prior, come from it, so it is written once.
     hosts = p.join(y, "page_id", "left").groupBy("host", "domain", "suffix").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    hosts = saved(hosts)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("m"))
