@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,11 +30,16 @@ from .textkit import _BYTE, _ranges, slices
 _OPENS = np.ones(256, bool)
 _OPENS[[*range(9, 14), *range(28, 33), 0x85, 0xA0, 0xC2, 0xE1, 0xE2, 0xE3]] = False
 
+#: Signs, none of which is an apostrophe, that the pattern takes as pieces of their own after a word.
+_SIGNS = frozenset(bytes([c]) for c in b".,;:!?)]}")
+
 #: The public split pattern of the 50k byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Memoised chunks per worker, and as many pieces of longer chunks; beyond it a memo starts again.
-MEMO = 120_000
+MEMO = 300_000
+#: Memoised pairs of neighbouring tokens per worker.
+PAIRS = 600_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -43,12 +49,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Memo(dict):
-    """Packed tokens by string; long strings, which rarely come again, aren't kept."""
+    """Packed tokens by bytes; long ones, which rarely come again, aren't kept."""
 
     def __init__(self, make, most: int):
         self.make, self.most = make, most
 
-    def __missing__(self, key: str) -> bytes:
+    def __missing__(self, key: bytes) -> bytes:
         if len(self) >= self.most:
             self.clear()
         value = self.make(key)
@@ -67,7 +73,7 @@ class Codec:
         self.rank = ranks
         self.trie = ahocorasick.Automaton()
         for b, r in ranks.items():
-            self.trie.add_word(b.decode("latin-1"), (r, len(b)))
+            self.trie.add_word(b.decode("latin-1"), r)
         self.trie.make_automaton()
         self.parts: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
@@ -82,7 +88,8 @@ class Codec:
             if len(b) > 1 and (halves := self._halves(b, r)):
                 self.parts[r] = halves
                 self.merged[halves] = r
-        self.length = {r: len(b) for r, b in self.bytes.items()}
+        self.length = [len(self.bytes.get(r, b"")) for r in range(max(self.bytes) + 1)]
+        self.next = [self.shorter.get(r, -1) for r in range(len(self.length))]
         self.find = regex.compile(pattern).findall
         self.pieces = _Memo(self._piece, MEMO)
         self.chunks = _Memo(self._chunk, MEMO)
@@ -110,7 +117,7 @@ class Codec:
         """Whether merging by rank keeps the border between these neighbours; memoised."""
         got = self.apart.get(key := left << 32 | right)
         if got is None:
-            if len(self.apart) > 2_000_000:
+            if len(self.apart) > PAIRS:
                 self.apart.clear()
             got = self.apart[key] = self._fits(left, right)
         return got
@@ -130,45 +137,54 @@ class Codec:
             else:  # at equal rank the left one merges first, so the border's merge may still tie
                 bound, b = b + 1, halves_b[0]
 
-    def _piece(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8", "surrogatepass")
-        whole = self.rank.get(raw)
-        return np.array([whole] if whole is not None else self._walk(raw), np.int32).tobytes()
+    def _piece(self, piece: bytes) -> bytes:
+        whole = self.rank.get(piece)
+        return array("i", [whole] if whole is not None else self._walk(piece)).tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
-        found = self.find(chunk.decode("utf-8", "surrogatepass"))
+        if self.cuts:  # a word of ASCII letters, alone or before one sign, is what the pattern finds as well
+            word = chunk[1:] if chunk[:1] == b" " else chunk
+            if word.isalpha():
+                return self._piece(chunk)
+            if word[-1:] in _SIGNS and word[:-1].isalpha():
+                return self.pieces[chunk[:-1]] + self.pieces[chunk[-1:]]
+        found = [p.encode("utf-8", "surrogatepass") for p in self.find(chunk.decode("utf-8", "surrogatepass"))]
         if len(found) == 1:  # the chunk's own entry is enough
             return self._piece(found[0])
         return b"".join(map(self.pieces.__getitem__, found))
 
     def _walk(self, raw: bytes) -> list[int]:
         n = len(raw)
-        length, shorter, fits = self.length, self.shorter, self.fits
-        longest: list[int] = [-1] * n
-        size = [0] * n
-        for end, (r, k) in self.trie.iter(raw.decode("latin-1")):
-            if k > size[start := end - k + 1]:
-                size[start], longest[start] = k, r
+        length, shorter, apart, fits = self.length, self.next, self.apart, self.fits
+        longest = [-1] * n
+        for end, r in self.trie.iter(raw.decode("latin-1")):  # by their ends, so the last one of a start is the longest
+            longest[end - length[r] + 1] = r
         if -1 in longest:
             raise ValueError("the vocabulary lacks a single byte")
-        dead = bytearray(n + 1)  # places from which no way leads on
+        dead: set[int] = set()  # places from which no way leads on
         out: list[int] = []
         at, token, last = 0, longest[0], -1
         while at < n:
-            while True:
-                end = at + length[token]
-                if not dead[end] and (last < 0 or fits(last, token)):
-                    out.append(token)
-                    at, last = end, token
-                    token = longest[at] if at < n else -1
-                    break
-                token = shorter.get(token, -1)
-                while token < 0:
-                    dead[at] = 1
-                    token = out.pop()
-                    at -= length[token]
-                    token = shorter.get(token, -1)
-                    last = out[-1] if out else -1
+            end = at + length[token]
+            if last < 0:
+                good = True
+            else:
+                good = apart.get(last << 32 | token)
+                if good is None:
+                    good = fits(last, token)
+            if good and end not in dead:
+                out.append(token)
+                at, last = end, token
+                if at < n:
+                    token = longest[at]
+                continue
+            token = shorter[token]
+            while token < 0:
+                dead.add(at)
+                token = out.pop()
+                at -= length[token]
+                token = shorter[token]
+                last = out[-1] if out else -1
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -261,7 +277,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(packed.value, pattern)
         for batch in batches:
-            for part, raw, off in slices(batch, "text", 1 << 22):
+            for part, raw, off in slices(batch, "text", 1 << 19):
                 empty = part.column(1).is_null().to_numpy(zero_copy_only=False)
                 flat, counts = c.encode_many(raw, off)
                 same = c.agrees(flat, counts, raw, off)
