@@ -80,4 +80,4 @@ def train_only(config: Config) -> dict:
     parts = report.get("training_files") or []
     if not parts:
         raise TrainerError(f"no training files in {path}")
-    return train(config, parts)
+    return {"balance": report, "trainer": train(config, parts)}

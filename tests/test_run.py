@@ -3,13 +3,18 @@ import gzip
 import io
 import json
 import lzma
+import os
+import signal
 import tarfile
+import threading
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.__main__ import main
 from quarry.config import effective
+from quarry.control import Cancelled, cancellable
 from quarry.plans import corpus
 from quarry.sources import files
 from quarry.train import TrainerError
@@ -118,7 +123,7 @@ def test_a_whole_run_and_a_second_training(spark, tmp_path):
     assert all(r["value"].endswith("words-") or "zipped" in r["value"] for r in spark.read.text(result["fixed_corpus"]).collect())
     assert spark.read.json(result["issue_log"]).count() == 360
     assert result["trainer"]["status"] == "succeeded" and (tmp_path / "work" / "tok.model").exists()
-    assert corpus.train_only(c)["status"] == "succeeded"
+    assert corpus.train_only(c)["trainer"]["status"] == "succeeded"
 
 
 def test_failures_are_told(spark, tmp_path):
@@ -138,3 +143,30 @@ def test_train_only_needs_a_report(tmp_path):
     (tmp_path / "work" / "reports" / "balance.json").write_text('{"training_files": []}')
     with pytest.raises(TrainerError, match="no training files"):
         corpus.train_only(c)
+
+
+def test_the_command(spark, tmp_path, capfd):
+    (tmp_path / "data").mkdir()
+    for k in range(40):
+        (tmp_path / "data" / f"{k}.txt").write_text(f"some text number {k} with words\n" * 5)
+    raw = {"corpus": {"path": str(tmp_path / "data")}, "output": {"work_dir": str(tmp_path / "work"), "model_prefix": "tok"}, "sentencepiece": {"vocab_size": 330, "train_extremely_large_corpus": False}, "num_threads": 2}
+    (tmp_path / "cfg.json").write_text(json.dumps(raw))
+    assert main(["train", "--config", str(tmp_path / "cfg.json"), "--json"], spark) == 0
+    said = json.loads(capfd.readouterr().out)
+    assert (said["text_files"], said["lines_read"], said["balanced_lines"]) == (40, 200, 200)
+    assert main(["train", "--config", str(tmp_path / "cfg.json"), "--train-only"], spark) == 0
+    assert capfd.readouterr().out.startswith("trained again with preset ocr_multilingual")
+
+
+def test_exit_codes(spark, tmp_path, capfd):
+    assert main(["train", "--config", str(tmp_path / "none.json")], spark) == 2
+    (tmp_path / "cfg.json").write_text(json.dumps({"corpus": {"path": str(tmp_path / "none")}, "output": {"work_dir": str(tmp_path / "w"), "model_prefix": "m"}}))
+    assert main(["train", "--config", str(tmp_path / "cfg.json")], spark) == 3
+    assert "does not exist" in capfd.readouterr().err
+
+
+def test_cancelling(spark):
+    with pytest.raises(Cancelled), cancellable(spark):
+        threading.Timer(1.0, lambda: os.kill(os.getpid(), signal.SIGINT)).start()
+        spark.range(10**12).selectExpr("sum(id % 7)").collect()
+    assert spark.range(3).count() == 3
