@@ -1,8 +1,7 @@
-"""Progress and cancelling of a run, through Spark's own job tags and status tracker."""
+"""Progress and cancelling of a run, through Spark's own signal handler and status tracker."""
 
 from __future__ import annotations
 
-import signal
 import sys
 import threading
 from collections.abc import Iterator
@@ -10,7 +9,6 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-TAG = "quarry"
 #: Seconds between lines of progress where output is read by a program, and where a person looks on.
 PLAIN, LIVE = 10.0, 1.0
 
@@ -21,28 +19,12 @@ class Cancelled(RuntimeError):
 
 @contextmanager
 def cancellable(spark: SparkSession) -> Iterator[None]:
-    """Ctrl+C cancels the jobs of this run, which then ends with ``Cancelled``."""
-    stopped = threading.Event()
-
-    def stop(*_: object) -> None:
-        stopped.set()
-        spark.sparkContext.cancelJobsWithTag(TAG)
-
-    main = threading.current_thread() is threading.main_thread()
-    before = signal.signal(signal.SIGINT, stop) if main else None
-    spark.sparkContext.addJobTag(TAG)
+    """Ctrl+C, on which Spark cancels the session's jobs, ends the run with ``Cancelled``."""
     try:
         yield
-        if stopped.is_set():
-            raise Cancelled("cancelled")
-    except Exception as error:
-        if stopped.is_set() and not isinstance(error, Cancelled):
-            raise Cancelled("cancelled") from error
-        raise
-    finally:
-        spark.sparkContext.removeJobTag(TAG)
-        if main:
-            signal.signal(signal.SIGINT, before)
+    except KeyboardInterrupt as error:
+        spark.sparkContext.cancelAllJobs()
+        raise Cancelled("cancelled") from error
 
 
 @contextmanager
