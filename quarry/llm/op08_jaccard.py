@@ -185,26 +185,32 @@ def candidates(docs: DataFrame, n: int, t: float) -> DataFrame:
     return census(texts(docs), produce, finish, _SETS)
 
 
-def jaccard_pairs(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """``(doc_id_a, doc_id_b, jaccard)``: all pairs a < b whose sets of word n-grams reach t.
-
-    Words are runs of letters, digits and non-ASCII characters, without regard to
-    ASCII case.  Rows without an id or a text, and texts without a word, pair with
-    nothing; a text of fewer than n words is one gram.  Rows that repeat an id
-    make no pair with each other, and a pair of ids comes once, with the largest
-    similarity.  An empty table gives no pairs; other columns are not read.
-    """
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest one that the edges (a, b) connect it with."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, a, low[b])
+        np.minimum.at(new, b, low[a])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+def _joined(docs: DataFrame, n: int, t: float, edges: bool) -> DataFrame:
+    """``(doc_id_a, doc_id_b, jaccard)`` of all pairs; or, with ``edges``, of as few as keep the same documents connected."""
     sets = saved(candidates(docs, n, t))
     token = sets.select("doc_id", F.explode("prefix").alias("token"))
     ties = token.withColumn("low", F.min("doc_id").over(Window.partitionBy("token"))).where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))
-    members = saved(components(ties.distinct()))
-    sized = members.join(sets.select(F.col("doc_id").alias("node"), "size").distinct(), "node")
+    members = saved(components(ties))
+    sized_members = members.join(sets.select(F.col("doc_id").alias("node"), "size").distinct(), "node")
     counts = members.groupBy("root").agg(F.count("*").alias("n"))
     large = counts.where(F.col("n") > PART)
     small_keys = members.join(counts.where(F.col("n") <= PART), "root").select("node", "root", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
     # Blocks beyond one part: sorted by size, each part meets those whose sizes allow t.
     number = (F.row_number().over(Window.partitionBy("root").orderBy("size", "node")) - 1) / PART
-    placed = sized.join(large, "root").withColumn("part", number.cast("int"))
+    placed = sized_members.join(large, "root").withColumn("part", number.cast("int"))
     ranges = placed.groupBy("root", "part").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     x, y = ranges.alias("x"), ranges.alias("y")
     meets = x.join(y, (F.col("x.root") == F.col("y.root")) & (F.col("x.part") <= F.col("y.part")) & (F.col("y.low") * t <= F.col("x.high"))).select(F.col("x.root").alias("root"), F.col("x.part").alias("i"), F.col("y.part").alias("j"))
@@ -217,22 +223,39 @@ def jaccard_pairs(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFram
             ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
             a, b, overlap = trie_join(sizes, [np.frombuffer(g, np.uint64) for g in grams], np.array(side), t)
             jaccard = overlap / (sizes[a] + sizes[b] - overlap)
+            if edges:
+                low = spanning(len(ids), a, b)
+                a = np.flatnonzero(low < np.arange(len(ids)))
+                b, jaccard = low[a], np.ones(len(a))
             keep = ids[a] != ids[b]
-            low, high = np.minimum(ids[a], ids[b])[keep], np.maximum(ids[a], ids[b])[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(jaccard[keep])], schema=_PAIRS_ARROW)
+            low_id, high_id = np.minimum(ids[a], ids[b])[keep], np.maximum(ids[a], ids[b])[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(low_id), pa.array(high_id), pa.array(jaccard[keep])], schema=_PAIRS_ARROW)
 
     blocks = sets.select("doc_id", "size", "grams").join(keys, F.col("doc_id") == F.col("node")).select("root", "i", "j", "side", "doc_id", "size", "grams")
     blocks = blocks.repartition(partitions(docs), "root", "i", "j").sortWithinPartitions("root", "i", "j")
-    return arrow_map(blocks, join, _PAIRS).groupBy("doc_id_a", "doc_id_b").agg(F.max("jaccard").alias("jaccard"))
+    return arrow_map(blocks, join, _PAIRS)
+
+
+def jaccard_pairs(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
+    """``(doc_id_a, doc_id_b, jaccard)``: all pairs a < b whose sets of word n-grams reach t.
+
+    Words are runs of letters, digits and non-ASCII characters, without regard to
+    ASCII case.  Rows without an id or a text, and texts without a word, pair with
+    nothing; a text of fewer than n words is one gram.  Rows that repeat an id
+    make no pair with each other, and a pair of ids comes once, with the largest
+    similarity.  An empty table gives no pairs; other columns are not read.
+    """
+    return _joined(docs, n, t, False).groupBy("doc_id_a", "doc_id_b").agg(F.max("jaccard").alias("jaccard"))
 
 
 def keep_one(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` but those that a chain of pairs ties to a document of smaller id; all columns are kept.
 
-    Rows without an id or a text stay.
+    Rows without an id or a text stay.  Each block hands on a spanning forest of its
+    pairs, so what follows grows with the documents, not with the pairs.
     """
-    pairs = jaccard_pairs(docs, n, t).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-    gone = sized(components(pairs).where("node <> root").select(F.col("node").alias("__gone")))
+    ties = _joined(docs, n, t, True).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+    gone = sized(components(ties).where("node <> root").select(F.col("node").alias("__gone")))
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 
