@@ -27,7 +27,7 @@ from .frames import saved, sized, table
 from .graph import components
 from .textkit import _ranges, mix, slices, words_of
 
-N, THRESHOLD = 4, 0.55
+N, THRESHOLD = 4, 0.5
 #: Documents of a part of a block; larger blocks are joined part by part.
 PART = 4096
 

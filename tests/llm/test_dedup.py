@@ -87,7 +87,7 @@ def test_jaccard_is_brute_force(spark, seed, n, t):
 
 def test_jaccard_in_parts_is_the_same(spark, monkeypatch):
     rows = near_rows(5, 5) + [(3000 + k, "one text that all of these share word for word " + str(k % 3)) for k in range(30)]
-    want = brute_pairs(rows, 4, 0.55)
+    want = brute_pairs(rows, jaccard.N, jaccard.THRESHOLD)
     monkeypatch.setattr(jaccard, "PART", 4)
     got = {(r["doc_id_a"], r["doc_id_b"]) for r in jaccard.jaccard_pairs(frame(spark, rows)).collect()}
     assert got == want.keys()
