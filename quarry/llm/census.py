@@ -2,7 +2,7 @@
 
 A gram never becomes a row.  Texts are cut into slices of about half a megabyte;
 a slice sends its grams, five bytes each, to buckets by their leading bits, one
-blob a bucket.  A bucket counts with a sort and answers each slice with one byte
+blob a bucket (several slices together where buckets are many).  A bucket counts with a sort and answers each slice with one byte
 a gram, so the way back is a fifth of the way there.
 """
 
@@ -21,6 +21,8 @@ from ..runtime import arrow_map
 
 #: Bytes of text in a slice; it bounds the memory of a step, not what is read.
 SLICE = 1 << 19
+#: Grams a bucket that slices are gathered for before they are sent, so that many buckets don't make blobs of one gram.
+FULL = 16
 _LOW = np.uint64((1 << 40) - 1)
 
 #: Takes one Arrow batch, yields for each slice a head of its own and its grams.
@@ -82,26 +84,36 @@ def census(df: DataFrame, produce: Produce, finish: Finish, schema: T.StructType
     parts = partitions(df)
     buckets = 2 * parts
 
+    def sent(number: int, slices: list[tuple[bytes, np.ndarray]]) -> pa.RecordBatch:
+        head = b"".join([np.array([len(slices), *(x for h, g in slices for x in (len(h), len(g)))], np.int64).tobytes(), *(h for h, _ in slices)])
+        grams = np.concatenate([g for _, g in slices])
+        route = ((grams >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int32)
+        order = np.argsort(route, kind="stable")
+        used, first = np.unique(route[order], return_index=True)
+        ends = np.append(first[1:], len(order))
+        blobs = [pack5(grams[order[i:j]]) for i, j in zip(first.tolist(), ends.tolist())]
+        known = route.astype(np.uint16 if buckets <= 65536 else np.uint32).tobytes()
+        columns = [
+            pa.array(np.full(len(blobs) + 1, number)),
+            pa.array(np.append(used, number % buckets).astype(np.int32)),
+            pa.array([None] * len(blobs) + [head], pa.binary()),
+            pa.array([*blobs, known], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=_SENT_ARROW)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
+        waiting, held = [], 0
         for batch in batches:
             for head, grams in produce(batch):
-                route = ((grams >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int32)
-                order = np.argsort(route, kind="stable")
-                used, first = np.unique(route[order], return_index=True)
-                ends = np.append(first[1:], len(order))
-                sent = [pack5(grams[order[i:j]]) for i, j in zip(first.tolist(), ends.tolist())]
-                known = route.astype(np.uint16 if buckets <= 65536 else np.uint32).tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(sent) + 1, number)),
-                        pa.array(np.append(used, number % buckets).astype(np.int32)),
-                        pa.array([None] * len(sent) + [head], pa.binary()),
-                        pa.array([*sent, known], pa.binary()),
-                    ],
-                    schema=_SENT_ARROW,
-                )
-                number += 1
+                waiting.append((head, grams))
+                held += len(grams)
+                if held >= FULL * buckets:
+                    yield sent(number, waiting)
+                    number += 1
+                    waiting, held = [], 0
+        if waiting:
+            yield sent(number, waiting)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (route,), (slices, _, heads, blobs) in runs(batches, 1):
@@ -138,10 +150,15 @@ def census(df: DataFrame, produce: Produce, finish: Finish, schema: T.StructType
                 levels[where] = own
                 ids[where[own > 0]] = unpack5(blob[n:]) | np.uint64(route) << np.uint64(40)
                 at += n
-            yield from finish(heads[0], levels, ids)
-
-    sent = arrow_map(df, send, _SENT).repartition(parts, "route").sortWithinPartitions("route", "slice")
-    counted = arrow_map(sent, count, _SENT).repartition(parts, "slice").sortWithinPartitions("slice", "route")
+            n = int(np.frombuffer(heads[0], np.int64, 1)[0])
+            lengths = np.frombuffer(heads[0], np.int64, 2 * n, 8).reshape(n, 2).tolist()
+            at, first = 8 + 16 * n, 0
+            for size, grams in lengths:
+                yield from finish(heads[0][at : at + size], levels[first : first + grams], ids[first : first + grams])
+                at, first = at + size, first + grams
+
+    routed = arrow_map(df, send, _SENT).repartition(parts, "route").sortWithinPartitions("route", "slice")
+    counted = arrow_map(routed, count, _SENT).repartition(parts, "slice").sortWithinPartitions("slice", "route")
     return arrow_map(counted, collect, schema)
 
 
