@@ -48,13 +48,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The id and text length of every document that stays."""
-    return drop_copies(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")).select("doc_id", "n_chars")
+    """The ids of the documents that stay."""
+    return drop_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id")
 
 
 SQL = r"""
 WITH d AS (
-    SELECT doc_id, n_chars, text, trim(regexp_replace(translate(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' +', ' ', 'g')) AS content FROM documents
+    SELECT doc_id, text, trim(regexp_replace(translate(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' +', ' ', 'g')) AS content FROM documents
 ), r AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id NULLS LAST) AS n FROM d)
-SELECT doc_id, n_chars FROM r WHERE n = 1 OR text IS NULL
+SELECT doc_id FROM r WHERE n = 1 OR text IS NULL
 """
