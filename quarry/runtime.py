@@ -28,15 +28,19 @@ def reachable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = f"{_ROOT}:{have}".rstrip(":")
 
 
-def arrow_map(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with the package on the workers' module path, and batches of no more than BATCH_ROWS rows.
+def ready(spark: SparkSession) -> None:
+    """Makes the package reachable, and Arrow batches no larger than BATCH_ROWS rows.
 
     The number is a setting of the session, which is lowered if it is higher.
     """
-    spark = df.sparkSession
     reachable(spark)
     if not 0 < int(spark.conf.get(_RECORDS)) <= BATCH_ROWS:
         spark.conf.set(_RECORDS, str(BATCH_ROWS))
+
+
+def arrow_map(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` in a session that is ``ready``."""
+    ready(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
