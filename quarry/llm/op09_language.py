@@ -7,11 +7,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..runtime import arrow_map
+from ..runtime import ready
 from .frames import table
 from .textkit import data_of, slices
 
@@ -151,46 +150,51 @@ def train(docs: DataFrame, most: int = TRAIN_A_LANGUAGE) -> Model | None:
     return Model(x, rows.column("lang").to_pylist())
 
 
-_OUT = [T.StructField("family", T.StringType()), T.StructField("language", T.StringType()), T.StructField("margin", T.DoubleType()), T.StructField("accepted", T.BooleanType())]
+_OUT = "struct<family:string,language:string,margin:double,accepted:boolean>"
 
 
-def identify(docs: DataFrame, model: Model | None, letters: float = LETTERS, margin: float = MARGIN, keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` of ``docs`` (``doc_id`` alone by default), and ``family, language, margin, accepted``, one row per row.
+def decision(text: Column, model: Model | None, letters: float = LETTERS, margin: float = MARGIN) -> Column:
+    """A struct of ``family, language, margin, accepted`` of a text; only texts go to Python, and only this comes back."""
+    spark = SparkSession.active()
+    ready(spark)
+    shared = spark.sparkContext.broadcast(model)
 
-    A text is accepted if enough of its bytes are letters (of a multi-byte
-    character all are taken as letters) and every decision on its way has the
-    margin.  Null and empty texts, texts without a trigram that holds a letter,
-    and all texts where there is no model, have null family and language and
-    aren't accepted.  Columns of ``docs`` named like the new ones are an error;
-    repeated rows are decided each.
-    """
-    names = keep or ["doc_id"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([docs.schema[n] for n in names] + _OUT)
-    last = len(names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(_OUT)
+    def decide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for batch in batches:
-            for part, raw, off in slices(batch, "__text", 1 << 18):
+            out = []
+            for part, raw, off in slices(pa.RecordBatch.from_arrays([batch], names=["text"]), "text", 1 << 18):
                 n = part.num_rows
                 family, language, least, share = model.decide(raw, off) if model else ([None] * n, [None] * n, np.zeros(n), np.zeros(n))
                 least = np.where(np.isinf(least), 1e9, least)
                 none = (share == 0) | (np.diff(off) < 3) if model else np.ones(n, bool)
                 good = ~none & (share >= letters) & (least >= margin)
                 least = np.where(none, 0.0, least)
-                out = [pa.array(family, pa.string(), mask=none), pa.array(language, pa.string(), mask=none), pa.array(least), pa.array(good)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:last], *out], names=[*names, "family", "language", "margin", "accepted"])
+                columns = [pa.array(family, pa.string(), mask=none), pa.array(language, pa.string(), mask=none), pa.array(least), pa.array(good)]
+                out.append(pa.StructArray.from_arrays(columns, names=["family", "language", "margin", "accepted"]))
+            yield pa.concat_arrays(out) if out else pa.array([], pa.struct([("family", pa.string()), ("language", pa.string()), ("margin", pa.float64()), ("accepted", pa.bool_())]))
+
+    return decide(text.cast("string"))
 
-    return arrow_map(docs.select(*names, docs["text"].cast("string").alias("__text")), run, schema)
+
+def identify(docs: DataFrame, model: Model | None, letters: float = LETTERS, margin: float = MARGIN, keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` of ``docs`` (``doc_id`` alone by default), and ``family, language, margin, accepted``, one row per row.
+
+    A text is accepted if enough of its bytes are letters (of a multi-byte
+    character all are taken as letters) and every decision on its way has the
+    margin.  Null and empty texts, texts without a trigram that holds a letter,
+    and all texts where there is no model, have null family and language and
+    aren't accepted.  Columns of ``keep`` may not be named like the new ones;
+    repeated rows are decided each.
+    """
+    names = keep or ["doc_id"]
+    return docs.select(*names, decision(docs["text"], model, letters, margin).alias("__decision")).select(*names, "__decision.*")
 
 
 def accepted(docs: DataFrame, letters: float = LETTERS, margin: float = MARGIN) -> DataFrame:
-    """The rows of ``docs`` that are accepted, in the same columns; the model is fitted on ``docs`` by its ``lang``."""
-    clash = {"family", "language", "margin", "accepted"} & set(docs.columns)
-    plain = docs.select(*[docs[c].alias("__own_" + c) if c in clash else docs[c] for c in docs.columns])
-    found = identify(plain, train(docs), letters, margin, plain.columns).where("accepted")
-    return found.select(*[F.col("__own_" + c if c in clash else c).alias(c) for c in docs.columns])
+    """The rows of ``docs`` that are accepted, in the same columns whatever their names; the model is fitted on ``docs`` by its ``lang``."""
+    return docs.where(decision(docs["text"], train(docs), letters, margin)["accepted"])
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
