@@ -22,7 +22,7 @@ class RunError(RuntimeError):
 def repair_lines(spark: SparkSession, config: Config, logical: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Texts, issues of sources, and processed lines of the corpus of ``config``."""
     reachable(spark)
-    texts, source_issues = files.discover(files.read_files(spark, config.corpus.path), logical)
+    texts, source_issues = files.discover(files.read_files(spark, config.corpus.path), logical, keep=True)
     root = config.corpus.path if os.path.isdir(config.corpus.path) else os.path.dirname(config.corpus.path)
     hinted = classify.path_hints(texts, root)
     return texts, source_issues, repair.process(lines.raw_lines(hinted), config)
@@ -47,9 +47,9 @@ def run(spark: SparkSession, config: Config, logical: bool = False, with_trainin
         if not counters["lines_written"]:
             raise RunError(f"no usable lines were written; see {log}")
         summary = balance_lines(classify.classify(out), config)
+        sizes = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("b")).first()
         result = {
-            "files_read": texts.count(), **counters, "source_issues": source_issues.count(), "issue_log": log,
-            "corpus_bytes": texts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0],
+            "files_read": sizes["n"], **counters, "source_issues": source_issues.count(), "issue_log": log, "corpus_bytes": sizes["b"],
             "fixed_corpus": os.path.join(work, "fixed_corpus.txt"), "balance": summary,
         }
     finally:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import reachable
+from ..runtime import reachable, saved
 
 SNIFF, DEPTH = 8192, 16
 _TAR_AT = 257
@@ -192,12 +192,14 @@ def unpack(path: str, content: bytes, depth: int = 0, logical: bool = False, str
             yield path, None, "archive_read_failed", str(error) or type(error).__name__
 
 
-def discover(files: DataFrame, logical: bool = False, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def discover(files: DataFrame, logical: bool = False, strict: bool = False, keep: bool = False) -> tuple[DataFrame, DataFrame]:
     """Texts ``path, content`` and issues ``id, path, reason`` of ``path, content``.
 
     Texts pass by as they are, in the JVM.  Of containers with equal content the
     first by path is unpacked, in Arrow batches; the others are issues.  Within a
-    container, containers already seen there are issues as well.
+    container, containers already seen there are issues as well.  With ``keep`` the
+    unpacked rows are written to the shared folder, so that texts and issues, and
+    all that follows, unpack once.
     """
     reachable(files.sparkSession)
     kinds = files.where(F.col("content").isNotNull()).withColumn("kind", sniff_column(F.col("content")))
@@ -214,6 +216,8 @@ def discover(files: DataFrame, logical: bool = False, strict: bool = False) -> t
                     yield pd.DataFrame([row], columns=["path", "content", "id", "reason"])
 
     unpacked = other.where("n = 1").select("path", "content").mapInPandas(run, "path string, content binary, id string, reason string")
+    if keep:
+        unpacked = saved(unpacked)
     found = unpacked.where("id IS NULL").select("path", "content")
     issues = unpacked.where("id IS NOT NULL").select("id", "path", "reason")
     return texts.unionByName(found), cycles.unionByName(issues)
