@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from quarry.llm import census
 from quarry.llm import op02_repeats as repeats
 from quarry.llm import op08_jaccard as jaccard
 from quarry.llm import op10_exact as exact
@@ -167,3 +168,16 @@ def test_repeats_are_cut_out(spark):
     assert got.columns == df.columns
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: f"é {a} end", 2: "start   tail é", 3: None, 4: "x"}
     assert repeats.repeated_spans(frame(spark, [])).count() == 0
+
+
+def test_slices_sent_together_give_the_same(spark, monkeypatch):
+    rows = near_rows(6, 6)
+    want = brute_pairs(rows, jaccard.N, jaccard.THRESHOLD)
+    spans = brute_spans(rows, 12)
+    for module in (jaccard, repeats):
+        monkeypatch.setattr(module, "SLICE", 400)
+    for full in (1, 40, 10**6):
+        monkeypatch.setattr(census, "FULL", full)
+        df = frame(spark, rows)
+        assert {(r["doc_id_a"], r["doc_id_b"]) for r in jaccard.jaccard_pairs(df).collect()} == want.keys()
+        assert {tuple(r) for r in repeats.repeated_spans(df, 12, 5).collect()} == spans
