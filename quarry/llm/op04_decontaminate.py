@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..runtime import arrow_map
 from .census import SLICE, texts
-from .frames import saved, table
+from .frames import saved, sized, table
 from .textkit import Words, _ranges, data_of, mix, slices, words_of
 
 #: Words of a shingle, least weighted similarity, and Hamming radius of 64 bits.
@@ -291,7 +291,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` whose document matches no item, in the same columns; rows without an id stay."""
-    found = contaminated(docs, benchmark, least, radius).select(F.col("doc_id").alias("__leak")).distinct()
+    found = sized(contaminated(docs, benchmark, least, radius).select(F.col("doc_id").alias("__leak")).distinct())
     return docs.join(found, docs["doc_id"] == found["__leak"], "left_anti")
 
 
