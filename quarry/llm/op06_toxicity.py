@@ -148,15 +148,31 @@ def features(raw: np.ndarray, off: np.ndarray, lex: Lexicon) -> np.ndarray:
     ], axis=1).astype(np.float64)
 
 
-def learn_words(raw: np.ndarray, off: np.ndarray, y: np.ndarray, most: int = 2000) -> np.ndarray:
+def _parts(texts: pa.Array, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and offsets of consecutive texts, so that working arrays stay small."""
+    for _, raw, off in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", most):
+        yield raw, off
+
+
+def _features(texts: pa.Array, lex: Lexicon) -> np.ndarray:
+    return np.concatenate([features(raw, off, lex) for raw, off in _parts(texts)])
+
+
+def learn_words(texts: pa.Array, y: np.ndarray, most: int = 2000) -> np.ndarray:
     """Words and stems that toxic training texts have far more often than others, by a z score of document counts."""
-    w = words_of(raw, off)
-    doc = w.doc
+    keys, docs, first = [], [], 0
+    for raw, off in _parts(texts):
+        w = words_of(raw, off)
+        keys.append(keys_of(raw, off, w))
+        docs.append((w.doc + first).astype(np.int32))
+        first += len(off) - 1
+    doc = np.concatenate(docs)
     na, nb = max(1, int((y > 0).sum())), max(1, int((y == 0).sum()))
     found, scores = [np.zeros(0, np.uint64)], [np.zeros(0)]
-    for keys in keys_of(raw, off, w):
-        order = np.lexsort((doc, keys))
-        k, d = keys[order], doc[order]
+    for kind in range(1 + len(STEMS)):
+        own = np.concatenate([k[kind] for k in keys])
+        order = np.lexsort((doc, own))
+        k, d = own[order], doc[order]
         fresh = np.append(True, (k[1:] != k[:-1]) | (d[1:] != d[:-1]))[: len(k)] & (k != 0)
         k, d = k[fresh], d[fresh]
         known, at = np.unique(k, return_inverse=True)
@@ -186,12 +202,11 @@ def fit(texts: pa.Array, y: np.ndarray, weight: np.ndarray) -> Model:
     held = np.arange(len(y)) % 4 == 3
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         held[:] = False
-    raw, off = data_of(texts.filter(pa.array(~held)))
-    lex = lexicon(learn_words(raw, off, y[~held]))
-    forest = boosted(features(raw, off, lex), y[~held], weight[~held])
+    rows = texts.filter(pa.array(~held))
+    lex = lexicon(learn_words(rows, y[~held]))
+    forest = boosted(_features(rows, lex), y[~held], weight[~held])
     use = held if held.any() else ~held
-    raw, off = data_of(texts.filter(pa.array(use)))
-    return Model(lex, forest, *isotonic(forest.sums(features(raw, off, lex)), y[use], weight[use]))
+    return Model(lex, forest, *isotonic(forest.sums(_features(texts.filter(pa.array(use)), lex)), y[use], weight[use]))
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_A_CLASS) -> Model | None:
@@ -207,7 +222,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_A_CLASS) -> Mode
     chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("toxic").alias("__toxic"))
     # At most two times ``most`` ids are broadcast.
     rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["__id"]).where(docs["text"].isNotNull()).select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), chosen["__toxic"].alias("toxic")).toArrow()
-    rows = rows.take(pa.array(np.lexsort((rows.column("text").combine_chunks().to_pandas(), rows.column("doc_id").to_numpy())))) if rows.num_rows else rows
+    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
     y = rows.column("toxic").to_numpy().astype(float)
     if not len(y):
         return None
