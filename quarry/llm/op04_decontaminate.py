@@ -256,8 +256,8 @@ def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS, item_shingles: int = ITEM_SHINGLES) -> DataFrame:
     """``(doc_id, item_id, similarity, start_word, n_words)``: the best window of each document for each item that it reaches ``least`` for.
 
-    Words are runs of letters, digits and non-ASCII characters, without regard to
-    ASCII case; a window has as many words as the item.  Windows more than
+    Words are runs of letters and digits without regard to ASCII case, and single
+    characters of scripts without spaces; a window has as many words as the item.  Windows more than
     ``radius`` bits of 64 from an item's fingerprint are not compared with it.
     Rows without an id or a text, and texts or items without a word, match
     nothing; equal similarities go to the earlier window; rows that repeat an id

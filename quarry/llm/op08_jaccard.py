@@ -239,8 +239,8 @@ def _joined(docs: DataFrame, n: int, t: float, edges: bool) -> DataFrame:
 def jaccard_pairs(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
     """``(doc_id_a, doc_id_b, jaccard)``: all pairs a < b whose sets of word n-grams reach t.
 
-    Words are runs of letters, digits and non-ASCII characters, without regard to
-    ASCII case.  Rows without an id or a text, and texts without a word, pair with
+    Words are runs of letters and digits without regard to ASCII case, and single
+    characters of scripts without spaces.  Rows without an id or a text, and texts without a word, pair with
     nothing; a text of fewer than n words is one gram.  Rows that repeat an id
     make no pair with each other, and a pair of ids comes once, with the largest
     similarity.  An empty table gives no pairs; other columns are not read.

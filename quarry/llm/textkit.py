@@ -3,12 +3,18 @@
 Everything works on whole Arrow string columns: words are found and hashed with
 a handful of numpy passes over the UTF-8 bytes, so no Python code runs per
 character or per word.  Nulls count as empty texts.
+
+Code points beyond ASCII are told apart by their Unicode category: white space and
+punctuation end a word, and each character of a script that puts no spaces between
+words is a word, as is each symbol.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +26,78 @@ _ROOT = 0x9E3779B97F4A7C15 | 1
 _ROOT_INV = pow(_ROOT, -1, 2**64)
 _POWERS: dict[int, np.ndarray] = {}
 
-#: ASCII letters, digits and every byte of a multi-byte character make up a word.
+#: What a character is: between words, part of one, one by itself, or part of what stands before it.
+_GAP, _PART, _ALONE, _MARK = 0, 1, 2, 3
+#: ASCII letters and digits make up a word; what other characters are, ``_kinds`` says.
 _WORDLIKE = np.zeros(256, bool)
 _WORDLIKE[[c for c in range(256) if c >= 128 or chr(c).isalnum()]] = True
+#: Blocks of scripts without spaces between words: Thai and Lao, Myanmar, Khmer, Tai, Balinese, Han with kana,
+#: bopomofo and Yi, Javanese to Tai Viet, half-width kana, cuneiform, hieroglyphs, Tangut, Khitan, Nushu, Han beyond the BMP.
+_UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF),
+    (0xA980, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x12000, 0x1254F), (0x13000, 0x1345F), (0x14400, 0x1467F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+]
+#: Invisible characters that end a word: zero-width space, byte order mark, directions.
+_SPLITTING = {0x200B, 0xFEFF, 0x200E, 0x200F, *range(0x202A, 0x202F), *range(0x2060, 0x206A)}
 _NONSPACE = np.ones(256, bool)
 _NONSPACE[[9, 10, 11, 12, 13, 32]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """What each code point is; those that Unicode leaves open are parts of words."""
+    kinds = np.full(0x110000, _PART, np.uint8)
+    for first, last in _UNSPACED:
+        kinds[first : last + 1] = _ALONE
+    for c in [*range(0x80, 0x20000), *range(0xE0000, 0xE0200)]:
+        k = unicodedata.category(chr(c))
+        if k[0] in "ZP" or k in ("Cc", "Sk") or c in _SPLITTING:
+            kinds[c] = _GAP
+        elif k[0] == "M" or k == "Cf":
+            kinds[c] = _MARK
+        elif k[0] == "S":
+            kinds[c] = _ALONE
+    return kinds
+
+
+def _beyond_ascii(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes are not part of a word, by their characters; and where a word ends or begins without a gap.
+
+    Bytes that aren't UTF-8 are parts of words.
+    """
+    n = len(raw)
+    padded = np.append(raw, np.zeros(4, np.uint8))
+    first = np.zeros(n + 4, bool)
+    first[off] = True
+    at = np.flatnonzero(raw >= 0xC2)
+    lead = raw[at]
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0).astype(np.int64)
+    point = (lead & (0xFF >> (size + 1)).astype(np.uint8)).astype(np.int64)
+    whole = lead < 0xF5
+    for k in (1, 2, 3):
+        more = size > k
+        byte = padded[at + k]
+        whole &= ~more | (((byte & 0xC0) == 0x80) & ~first[at + k])
+        point = np.where(more, point << 6 | (byte & 0x3F), point)
+    whole &= point < 0x110000
+    at, size = at[whole], size[whole]
+    kind = _kinds()[point[whole]]
+    gap = np.zeros(n + 4, bool)
+    for k in (0, 1, 2, 3):
+        gap[(at + k)[(kind == _GAP) & (size > k)]] = True
+    if not len(at):
+        return gap[:n], at
+    # a mark belongs to the character right before it
+    tied = np.zeros(len(at), bool)
+    tied[1:] = (kind[1:] == _MARK) & (at[:-1] + size[:-1] == at[1:]) & ~first[at[1:]]
+    head = np.flatnonzero(~tied)
+    last = np.append(head[1:], len(at)) - 1
+    alone = kind[head] == _ALONE
+    return gap[:n], np.concatenate([at[head[alone]], (at + size)[last[alone]]])
+
+
 def _powers(root: int, n: int) -> np.ndarray:
     have = _POWERS.get(root)
     if have is None or len(have) < n:
@@ -101,16 +170,22 @@ def data_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def words_of(raw: np.ndarray, off: np.ndarray, exact: bool = False) -> Words:
     """Words of the texts ``raw[off[i]:off[i+1]]``.
 
-    exact: words are runs without white space, compared byte by byte; else runs
-    of letters and digits, with ASCII case folded.
+    exact: words are runs without ASCII white space, compared byte by byte; else
+    runs of letters, marks and digits, with ASCII case folded, and single characters
+    of scripts without spaces and symbols beyond ASCII, with the marks on them.
     """
     n = len(raw)
     inside = np.zeros(n + 2, bool)
     inside[1:-1] = (_NONSPACE if exact else _WORDLIKE)[raw]
+    cut = off
+    if not exact and n and int(raw.max()) >= 128:
+        gap, breaks = _beyond_ascii(raw, off)
+        inside[1:-1] &= ~gap
+        cut = np.unique(np.concatenate([off, breaks]))
     flips = inside[1:] != inside[:-1]
     begins, stops = flips & inside[1:], flips & inside[:-1]
-    # a word also ends where its text ends
-    cut = off[(off > 0) & (off < n)]
+    # a word also ends where its text or a character that is a word ends
+    cut = cut[(cut > 0) & (cut < n)]
     cut = cut[inside[cut] & inside[cut + 1]]
     begins[cut] = True
     stops[cut] = True

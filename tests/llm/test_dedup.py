@@ -112,6 +112,19 @@ def test_trie_join_prunes_nothing_that_reaches_t():
         assert got == want and len(a) == len(got)
 
 
+def test_copies_without_ascii_spaces_are_pairs(spark):
+    r = random.Random(12)
+    han = "".join(chr(0x4E00 + r.randint(0, 3000)) for _ in range(80))
+    thai = "".join(chr(r.randint(0x0E01, 0x0E2E)) + r.choice(["", "\u0e34", "\u0e48"]) for _ in range(80))
+    w = words(r, 60)
+    rows = [
+        (1, han), (2, han[:40] + "\u597d" + han[41:]), (3, thai), (4, thai[:40] + "\u0e2e" + thai[41:]),
+        (5, "\u00a0".join(w)), (6, "\u3000".join([*w[:30], "other", *w[31:]])), (7, "\u201c" + "\u201d \u2014 ".join(w)), (8, "".join(r.sample(han, len(han)))),
+    ]
+    got = {(x["doc_id_a"], x["doc_id_b"]): x["jaccard"] for x in jaccard.jaccard_pairs(frame(spark, rows)).collect()}
+    assert got.keys() == {(1, 2), (3, 4), (5, 6), (5, 7), (6, 7)} and got[5, 7] == 1
+
+
 def test_one_of_each_group_stays(spark):
     base = " ".join(f"x{k}" for k in range(60))
     rows = [(7, base, "a"), (3, base + " y", "b"), (9, base + " y z", "c"), (4, "other text of five words", "d"), (None, base, "e"), (8, None, "f")]

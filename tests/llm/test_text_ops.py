@@ -101,6 +101,38 @@ def test_leaks_are_brute_force(spark):
     assert leaks.contaminated(df.limit(0), benchmark).count() == leaks.contaminated(df, benchmark.limit(0)).count() == 0
 
 
+def test_passages_without_ascii_spaces_are_found(spark):
+    r = random.Random(14)
+    han = lambda n: "".join(chr(0x4E00 + r.randint(0, 3000)) for _ in range(n))
+    item, plain = han(30), [word(r) for _ in range(20)]
+    docs = [(1, f"{han(50)}\uff0c{item}\u3002{han(50)}"), (2, han(90)), (3, han(20) + item[:14] + "\u597d" + item[15:] + han(20)), (4, "\u00a0".join([word(r), *plain, word(r)])), (5, "\u2014".join([word(r), *plain]))]
+    found = leaks.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, item), (2, " ".join(plain))], "item_id bigint, text string"))
+    assert {(x["doc_id"], x["item_id"]) for x in found.collect()} == {(1, 1), (3, 1), (4, 2), (5, 2)}
+
+
+WORDS = [
+    ("h\u00e9llo\u00a0w\u00f6rld \u201cdon\u2019t\u201d\u2014x\u0301y", ["h\u00e9llo", "w\u00f6rld", "don", "t", "x\u0301y"]), ("\u4f60\u597d\uff0cabc\u4e2d1", ["\u4f60", "\u597d", "abc", "\u4e2d", "1"]),
+    ("\u0e01\u0e34\u0e19", ["\u0e01\u0e34", "\u0e19"]), ("\uc548\ub155 \ud558", ["\uc548\ub155", "\ud558"]), ("\u2764\ufe0fa\U0001f642\U0001f642", ["\u2764\ufe0f", "a", "\U0001f642", "\U0001f642"]),
+]
+
+
+def test_words_end_at_code_points():
+    raw, off = data_of(pa.array([t for t, _ in WORDS], pa.string()))
+    w = words_of(raw, off)
+    for k, (t, want) in enumerate(WORDS):
+        mine = slice(w.bounds[k], w.bounds[k + 1])
+        assert [t.encode()[i:j].decode() for i, j in zip(w.start[mine].tolist(), w.end[mine].tolist())] == want
+
+
+def test_bytes_that_are_not_utf8_are_words_of_their_text_alone():
+    r = random.Random(15)
+    texts = [bytes(r.choice(b"a \xe4\xbd\xa0\xc3\xa9\xf0\x9f\xff\xc0\xed\xf4") for _ in range(r.randint(0, 8))) for _ in range(2000)]
+    w = words_of(*data_of(pa.array(texts, pa.binary())))
+    for k, t in enumerate(texts):
+        alone = words_of(*data_of(pa.array([t], pa.binary())))
+        assert alone.hash.tolist() == w.hash[w.bounds[k] : w.bounds[k + 1]].tolist() and (alone.end > alone.start).all()
+
+
 def test_the_index_finds_all_within_the_radius():
     r = np.random.RandomState(1)
     sets = [r.randint(0, 2**62, 10).astype(np.uint64) for _ in range(90)]
