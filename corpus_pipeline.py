@@ -43,7 +43,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     reachable(spark)
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), within=True)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Benchmark decontamination by SimHash over windows of an item's size.
 
-A window of a document is as long as the item that it is held against.  Only
+A window of a document is as long as the item that it is held against; a document
+that is shorter than the item is one window.  Only
 windows that hold enough of the benchmark's word shingles can reach the wanted
 similarity, by a bound that loses none.  Each gets a weighted SimHash of 64 bits;
 an index of its eight bytes, entered under all bytes within the block radius,
@@ -128,10 +129,11 @@ class Items:
 _REGIONS = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("start_word", T.LongType()),
+    T.StructField("whole", T.BooleanType()),
     T.StructField("grams", T.BinaryType()),
     T.StructField("counts", T.BinaryType()),
 ])
-_REGIONS_ARROW = pa.schema([("doc_id", pa.int64()), ("start_word", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
+_REGIONS_ARROW = pa.schema([("doc_id", pa.int64()), ("start_word", pa.int64()), ("whole", pa.bool_()), ("grams", pa.binary()), ("counts", pa.binary())])
 _MATCHES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("item_id", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("start_word", T.LongType()), T.StructField("n_words", T.LongType())])
 _MATCHES_ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("start_word", pa.int64()), ("n_words", pa.int64())])
 
@@ -141,10 +143,10 @@ def need(n: np.ndarray | int, least: float):
     return np.maximum(1, np.ceil(least * n / 1.5 - 1e-9)).astype(np.int64)
 
 
-def windows(doc_hits: np.ndarray, n: int, least: float) -> np.ndarray:
-    """Starts of windows of n shingles (one at least) that hold enough hits."""
+def windows(doc_hits: np.ndarray, n: int, least: float, whole: bool = True) -> np.ndarray:
+    """Starts of windows of n shingles (one at least) that hold enough hits; fewer shingles are one window if they are a ``whole`` document."""
     if len(doc_hits) < n:
-        return np.zeros(0, np.int64)
+        return np.arange(int(whole and doc_hits.sum() >= need(n, least)))
     total = np.concatenate([[0], np.cumsum(doc_hits)])
     return np.flatnonzero(total[n:] - total[:-n] >= need(n, least))
 
@@ -182,15 +184,15 @@ def _regions(docs: DataFrame, known: np.ndarray, sizes: list[int], least: float)
                     for size in sizes:
                         start = windows(hit, size, least)
                         np.add.at(cover, start, 1)
-                        np.add.at(cover, start + size, -1)
+                        np.add.at(cover, np.minimum(start + size, n), -1)
                     inside = np.concatenate([[0], (np.cumsum(cover[:-1]) > 0).astype(np.int64), [0]])
                     for i, j in zip(np.flatnonzero(np.diff(inside) == 1).tolist(), np.flatnonzero(np.diff(inside) == -1).tolist()):
-                        rows.append((part.column(0)[d].as_py(), i, grams[bounds[d] + i : bounds[d] + j].tobytes(), None))
+                        rows.append((part.column(0)[d].as_py(), i, j - i == n, grams[bounds[d] + i : bounds[d] + j].tobytes(), None))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _REGIONS_ARROW)], schema=_REGIONS_ARROW)
         if total.any():
             some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.binary()), pa.array([np.stack([some, total[some]]).tobytes()], pa.binary())], schema=_REGIONS_ARROW)
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.bool_()), pa.array([None], pa.binary()), pa.array([np.stack([some, total[some]]).tobytes()], pa.binary())], schema=_REGIONS_ARROW)
 
     return saved(arrow_map(texts(docs), run, _REGIONS))
 
@@ -218,7 +220,7 @@ def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
         items = shared.value
         for batch in batches:
             rows = []
-            for doc, first, blob in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, first, whole, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 grams = np.frombuffer(blob, np.uint64)
                 at = items.places(grams)
                 w = np.where(at >= 0, items.weight[at], 1.0)
@@ -226,9 +228,11 @@ def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
                 sums = None
                 for words in items.index:
                     n = max(1, words - SHINGLE + 1)
-                    start = windows((at >= 0) & items.member[words][at], n, least)
+                    start = windows((at >= 0) & items.member[words][at], n, least, whole)
                     if not len(start):
                         continue
+                    short = max(0, n - len(grams))
+                    n -= short
                     if sums is None:
                         sums = np.concatenate([np.zeros((1, 64)), np.cumsum(signs(grams, w), axis=0)])
                     for k, mine in items.near(words, simhash(sums[start + n] - sums[start])):
@@ -246,18 +250,48 @@ def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
                             if value > best + 1e-12 or (value > best - 1e-12 and 0 <= begin[i] < where):
                                 best, where = value, int(begin[i])
                         if where >= 0:
-                            rows.append((doc, items.ids[k], best, first + where, words))
+                            rows.append((doc, items.ids[k], best, first + where, words - short))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _MATCHES_ARROW)], schema=_MATCHES_ARROW)
 
-    return arrow_map(regions.where("counts IS NULL").select("doc_id", "start_word", "grams").repartition(regions.sparkSession.sparkContext.defaultParallelism), run, _MATCHES)
+    return arrow_map(regions.where("counts IS NULL").select("doc_id", "start_word", "whole", "grams").repartition(regions.sparkSession.sparkContext.defaultParallelism), run, _MATCHES)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS, item_shingles: int = ITEM_SHINGLES) -> DataFrame:
+def _within(docs: DataFrame, items: list[tuple[int, int, np.ndarray]]) -> DataFrame:
+    """Matches of items of fewer words than a shingle, by shingles of their own length: only equal words match."""
+    by_size = {n: sorted((int(grams[0]), i) for i, m, grams in items if m == n) for n in {m for _, m, _ in items}}
+    shared = docs.sparkSession.sparkContext.broadcast(by_size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, raw, off in slices(batch, "text", SLICE):
+                w = words_of(raw, off)
+                rows = []
+                for n, pairs in shared.value.items():
+                    at = w.gram_starts(n)
+                    grams, owner = w.gram_hash(at, n), w.doc[at]
+                    own, ids = np.array([g for g, _ in pairs], np.uint64), [i for _, i in pairs]
+                    hits = np.flatnonzero(np.isin(grams, own))
+                    hits = hits[np.lexsort((hits, grams[hits], owner[hits]))]
+                    g, d = grams[hits], owner[hits]
+                    hits = hits[np.append(True, (g[1:] != g[:-1]) | (d[1:] != d[:-1]))[: len(hits)]]
+                    low, high = np.searchsorted(own, grams[hits]), np.searchsorted(own, grams[hits], "right")
+                    for h, i, j in zip(hits.tolist(), low.tolist(), high.tolist()):
+                        doc = int(owner[h])
+                        rows += [(part.column(0)[doc].as_py(), k, 1.0, int(at[h] - w.bounds[doc]), n) for k in ids[i:j]]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _MATCHES_ARROW)], schema=_MATCHES_ARROW)
+
+    return arrow_map(texts(docs), run, _MATCHES)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS, item_shingles: int = ITEM_SHINGLES, within: bool = False) -> DataFrame:
     """``(doc_id, item_id, similarity, start_word, n_words)``: the best window of each document for each item that it reaches ``least`` for.
 
     Words are runs of letters and digits without regard to ASCII case, and single
-    characters of scripts without spaces; a window has as many words as the item.  Windows more than
+    characters of scripts without spaces; a window has as many words as the item, or
+    is the whole document where that has fewer.  Items of one or two words match
+    documents of exactly those words, and with ``within`` all that hold them.  Windows more than
     ``radius`` bits of 64 from an item's fingerprint are not compared with it.
     Rows without an id or a text, and texts or items without a word, match
     nothing; equal similarities go to the earlier window; rows that repeat an id
@@ -268,18 +302,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     spark = docs.sparkSession
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
     groups: list[list[tuple[int, int, np.ndarray]]] = [[]]
+    small: list[tuple[int, int, np.ndarray]] = []
     held = 0
     for row in rows.toLocalIterator():
         raw, off = data_of(pa.array([row["text"]], pa.string()))
         w = words_of(raw, off)
         if len(w.hash):
             grams, _ = shingles(w, SHINGLE)
+            if within and len(w.hash) < SHINGLE:
+                small.append((row["item_id"], len(w.hash), grams))
+                continue
             if held and held + len(grams) > item_shingles:
                 groups.append([])
                 held = 0
             groups[-1].append((row["item_id"], len(w.hash), grams))
             held += len(grams)
-    out = spark.createDataFrame([], _MATCHES)
+    out = _within(docs, small) if small else spark.createDataFrame([], _MATCHES)
     for group in groups:
         if group:
             ids, words, sets = (list(x) for x in zip(*group))
@@ -289,11 +327,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     return out.groupBy("doc_id", "item_id").agg(F.min_by(F.struct("similarity", "start_word", "n_words"), F.struct(-F.col("similarity"), F.col("start_word"))).alias("m")).select("doc_id", "item_id", "m.*")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS, within: bool = False) -> DataFrame:
     """The rows of ``docs`` whose document matches no item, in the same columns; rows without an id stay."""
-    found = sized(contaminated(docs, benchmark, least, radius).select(F.col("doc_id").alias("__leak")).distinct())
+    found = sized(contaminated(docs, benchmark, least, radius, within=within).select(F.col("doc_id").alias("__leak")).distinct())
     return docs.join(found, docs["doc_id"] == found["__leak"], "left_anti")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), within=True)

@@ -110,6 +110,34 @@ def test_passages_without_ascii_spaces_are_found(spark):
     assert {(x["doc_id"], x["item_id"]) for x in found.collect()} == {(1, 1), (3, 1), (4, 2), (5, 2)}
 
 
+def test_short_documents_and_short_items_are_brute_force(spark):
+    r = random.Random(16)
+    items = [(k, " ".join(word(r) for _ in range(r.randint(20, 60)))) for k in range(12)]
+    cuts = [(i, t.split()[a : len(t.split()) - b]) for i, t in items for a, b in ((0, 1), (1, 0), (2, 2), (6, 12), (15, 4))]
+    docs = [(k, " ".join(w)) for k, (_, w) in enumerate(cuts)] + [(100, "some Two Words two words"), (101, "all solo"), (102, "two"), (103, "words two")]
+    raw, off = data_of(pa.array([t for _, t in items + docs], pa.string()))
+    grams, counts = leaks.shingles(words_of(raw, off), leaks.SHINGLE)
+    parts = np.split(grams, np.cumsum(counts)[:-1])
+    sets, texts = parts[: len(items)], parts[len(items) :]
+    known = np.unique(np.concatenate(sets))
+    them = leaks.Items([i for i, _ in items], [len(t.split()) for _, t in items], sets, known, sum(np.isin(known, t).astype(int) for t in texts), leaks.RADIUS)
+    want = {}
+    for (d, _), t in zip(docs, texts):
+        for (i, _), s in zip(items, sets):
+            best = max(leaks.similarity(t[p : p + len(s)], s, them.weigh) for p in range(max(1, len(t) - len(s) + 1)))
+            if best >= leaks.SIMILARITY:
+                want[d, i] = best
+    assert len(want) > 35 and all(len(docs[d][1].split()) < len(items[i][1].split()) for d, i in want)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([*items, (50, "two words"), (51, "Solo!"), (52, "TWO words")], "item_id bigint, text string")
+    rows = {(x["doc_id"], x["item_id"]): x for x in leaks.contaminated(df, benchmark, within=True).collect()}
+    small = {k: (x["similarity"], x["start_word"], x["n_words"]) for k, x in rows.items() if k[1] >= 50}
+    assert small == {(100, 50): (1.0, 1, 2), (100, 52): (1.0, 1, 2), (101, 51): (1.0, 1, 1)}
+    got = {k: x for k, x in rows.items() if k[1] < 50}
+    assert got.keys() <= want.keys() and len(got) >= 0.97 * len(want) and all(abs(got[k]["similarity"] - want[k]) < 1e-9 for k in got)
+    assert all(x["start_word"] == 0 and x["n_words"] == len(docs[d][1].split()) for (d, _), x in got.items())
+
+
 WORDS = [
     ("h\u00e9llo\u00a0w\u00f6rld \u201cdon\u2019t\u201d\u2014x\u0301y", ["h\u00e9llo", "w\u00f6rld", "don", "t", "x\u0301y"]), ("\u4f60\u597d\uff0cabc\u4e2d1", ["\u4f60", "\u597d", "abc", "\u4e2d", "1"]),
     ("\u0e01\u0e34\u0e19", ["\u0e01\u0e34", "\u0e19"]), ("\uc548\ub155 \ud558", ["\uc548\ub155", "\ud558"]), ("\u2764\ufe0fa\U0001f642\U0001f642", ["\u2764\ufe0f", "a", "\U0001f642", "\U0001f642"]),
