@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from .frames import saved, table
 
-#: Public suffixes of two labels that are known here; all others have one label.
+#: Public suffixes of two labels that are known here, beside generic labels under a country; all others have one label.
 SUFFIXES = "co.uk org.uk ac.uk gov.uk com.au net.au org.au co.jp ne.jp or.jp co.nz com.br com.cn com.mx co.in co.kr co.za com.ar com.tr github.io blogspot.com".split()
 _TWO = "(" + "|".join(s.replace(".", "[.]") for s in SUFFIXES) + ")$"
+_GENERIC = "^(com|co|net|org|edu|gov|ac)[.][a-z]{2}$"
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 STRENGTH_LEAST, STRENGTH_MOST = 0.5, 1000.0
 LIMIT, Z = 0.3, 1.0
@@ -29,7 +30,7 @@ def host_of(url: Column) -> Column:
 
 def suffix_of(host: Column) -> Column:
     two = F.regexp_extract(host, r"(^|[.])([^.]+[.][^.]+)$", 2)
-    return F.when(two.rlike("^" + _TWO), two).otherwise(F.regexp_extract(host, r"([^.]*)$", 1))
+    return F.when(two.rlike("^" + _TWO) | two.rlike(_GENERIC), two).otherwise(F.regexp_extract(host, r"([^.]*)$", 1))
 
 
 def domain_of(host: Column, suffix: Column) -> Column:

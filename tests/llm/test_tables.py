@@ -77,6 +77,12 @@ def test_hosts_in_python(spark):
     assert [tuple(x) for x in df.collect()] == [("a.example.co.uk", "co.uk", "example.co.uk"), ("b.example.com", "com", "example.com"), ("example.com", "com", "example.com"), ("", "", ""), ("", "", ""), ("localhost", "localhost", "localhost"), ("x.y.z.org", "org", "z.org")]
 
 
+def test_hosts_under_generic_labels_of_countries_are_apart(spark):
+    df = spark.createDataFrame([(h,) for h in ("good.com.tw", "a.spam.com.tw", "x.edu.au", "x.co.il", "com.tw", "a.t.co", "a.web.de", "a.com.info")], "h string")
+    df = df.withColumn("s", hosts.suffix_of(F.col("h"))).withColumn("d", hosts.domain_of(F.col("h"), F.col("s")))
+    assert [(x["s"], x["d"]) for x in df.collect()] == [("com.tw", "good.com.tw"), ("com.tw", "spam.com.tw"), ("edu.au", "x.edu.au"), ("co.il", "x.co.il"), ("com.tw", "com.tw"), ("co", "t.co"), ("de", "web.de"), ("info", "com.info")]
+
+
 def test_reputation_shrinks_and_filters(spark):
     pages = [(k, f"http://bad.spam.com/{k}") for k in range(30)] + [(100 + k, f"http://good.fine.org/{k}") for k in range(30)] + [(200, "http://new.spam.com/"), (201, "http://new.fine.org/"), (202, None), (203, "http://one.other.net/"), (None, "http://bad.spam.com/")]
     labels = [(k, 0) for k in range(30)] + [(100 + k, 1) for k in range(30)] + [(203, 0), (999, 0), (None, 0), (5, None)]
