@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 BATCH_ROWS = 1000
 _RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
+#: Workers take Arrow's memory from the C library, so that ``_trim`` gives it back as well.
+_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2"}
+
 _ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -26,6 +31,8 @@ def reachable(spark: SparkSession) -> None:
     have = environment.get("PYTHONPATH", "")
     if _ROOT not in have.split(":"):
         environment["PYTHONPATH"] = f"{_ROOT}:{have}".rstrip(":")
+    for name, value in _MEMORY.items():
+        environment.setdefault(name, value)
 
 
 def ready(spark: SparkSession) -> None:
@@ -38,10 +45,25 @@ def ready(spark: SparkSession) -> None:
         spark.conf.set(_RECORDS, str(BATCH_ROWS))
 
 
+def _trim() -> None:
+    """Gives freed memory back to the system, where the C library can; workers live on between tasks."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        environment.setdefault(name, value)
+
+
 def arrow_map(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` in a session that is ``ready``."""
+    """``mapInArrow`` in a session that is ``ready``; a worker keeps no freed memory beyond its task."""
     ready(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            _trim()
+
+    return df.mapInArrow(run, schema)
 
 
 _made: set[str] = set()
@@ -76,15 +98,24 @@ def _remove(spark: SparkSession, path: str) -> None:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
     except Exception:  # noqa: BLE001 - the JVM may have ended before us
-        pass
+        environment.setdefault(name, value)
 
 
 def saved(df: DataFrame) -> DataFrame:
     """The rows written once to the shared folder and read again.
 
     Cuts lineage like ``checkpoint()`` but computes the rows a single time, and
-    survives the loss of any executor.
+    survives the loss of any executor.  ``dropped`` deletes them.
     """
     path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._quarry_path = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Deletes what ``saved`` wrote for these frames; nothing may read them, or what is made of them, any more."""
+    for df in frames:
+        if path := getattr(df, "_quarry_path", None):
+            _remove(df.sparkSession, path)
