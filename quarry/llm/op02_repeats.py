@@ -1,12 +1,14 @@
 """Repeated passages by bucket-pointer refinement.
 
 Suffixes begin at every word.  Their initial buckets are those of their first q
-words.  A suffix whose bucket holds others is refined by the pair of bucket
-identifiers at its own place and at a later offset, which tells twice as many
-words apart; the new identifiers are then used in the same way, until suffixes
-that share a bucket share ``words`` words.  Suffixes alone in their bucket leave,
-so each round holds only what still repeats.  Identifiers are hashes of 40 bits
-and the bucket's number, paired over rounds that look at different words.
+words; a bucket's pointer is its number in the order of all q-grams of one route.
+A suffix can only repeat for ``words`` words if it stands in a run of places whose
+buckets all hold others, so shorter runs leave.  The buckets of the others are
+refined by sorting: first on the pointers q words on, then, within what is still
+together, on those 2q words on, and so forth up to the last q of the words; every
+step sorts on the pointers that the step before has just renewed.  What is together
+at the end shares all words, up to q-grams that agree in a hash of 64 bits while
+the other q-grams of both windows agree as well.
 """
 
 from __future__ import annotations
@@ -20,156 +22,158 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..runtime import arrow_map
-from .census import SLICE, census, partitions, runs, texts
-from .frames import saved, table
-from .textkit import mix, slices, words_of
+from .census import SLICE, Columns, head_parts, heads_of, numbered, partitions, texts, trade
+from .frames import free, saved, table
+from .textkit import slices, words_of
 
 Q, WORDS = 13, 50
 
-_PACKET = T.StructType([T.StructField("docs", T.BinaryType()), T.StructField("sizes", T.BinaryType()), T.StructField("places", T.BinaryType()), T.StructField("ids", T.BinaryType())])
-_PACKET_ARROW = pa.schema([("docs", pa.binary()), ("sizes", pa.binary()), ("places", pa.binary()), ("ids", pa.binary())])
-_SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start_word", T.LongType()), T.StructField("end_word", T.LongType()), T.StructField("first_doc_id", T.LongType())])
-_SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("first_doc_id", pa.int64())])
+_PACKET = T.StructType([T.StructField(c, T.BinaryType()) for c in ("docs", "starts", "lengths", "pointers")])
+_PACKET_ARROW = pa.schema([(c, pa.binary()) for c in ("docs", "starts", "lengths", "pointers")])
+_SPANS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "start_word", "end_word", "first_doc_id")])
+_SPANS_ARROW = pa.schema([(c, pa.int64()) for c in ("doc_id", "start_word", "end_word", "first_doc_id")])
+#: Makes the order of signed ids that of unsigned numbers.
+_SIGN = np.uint64(1 << 63)
 
 
-def _head(docs: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> bytes:
-    """Documents, how many suffixes each has, and the words where they begin."""
-    return np.int64(len(docs)).tobytes() + docs.astype(np.int64).tobytes() + sizes.astype(np.int64).tobytes() + places.astype(np.int32).tobytes()
+def later_offsets(words: int, q: int) -> list[int]:
+    """Where the q-grams begin that cover, with the one at 0, a window of ``words`` words."""
+    return [*range(q, words - q, q), words - q] if words > q else []
 
 
-def _parts(head: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(head, np.int64, 1)[0])
-    return np.frombuffer(head, np.int64, n, 8), np.frombuffer(head, np.int64, n, 8 + 8 * n), np.frombuffer(head, np.int32, -1, 8 + 16 * n)
+def first_buckets(docs: DataFrame, words: int, q: int, parts: int) -> DataFrame:
+    """Runs of at least ``words - q + 1`` places whose q-grams all stand again, with the pointers of their buckets."""
+    need = words - q + 1
 
-
-def _packets(head: bytes, levels: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """What still repeats of a slice."""
-    docs, sizes, places = _parts(head)
-    if not len(places) and len(levels):  # the first round: suffixes begin at the words 0, 1, ...
-        ends = np.cumsum(sizes)
-        places = (np.arange(len(levels)) - np.repeat(ends - sizes, sizes)).astype(np.int32)
-    alive = levels > 0
-    if alive.any():
-        owner = np.repeat(np.arange(len(docs)), sizes)[alive]
-        left = np.bincount(owner, minlength=len(docs))
-        kept = left > 0
-        row = [docs[kept].tobytes(), left[kept].astype(np.int64).tobytes(), places[alive].tobytes(), ids[alive].tobytes()]
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], schema=_PACKET_ARROW)
-
-
-def _refined(row: list[bytes], offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Documents, sizes, places and new identifiers of the suffixes whose later offset still repeats as well."""
-    docs, sizes, places, ids = (np.frombuffer(x, k) for x, k in zip(row, (np.int64, np.int64, np.int32, np.uint64)))
-    owner = np.repeat(np.arange(len(docs), dtype=np.int64), sizes)
-    key = owner << 32 | places
-    at = np.minimum(np.searchsorted(key, key + offset), len(key) - 1)
-    both = key[at] == key + offset
-    return docs, np.bincount(owner[both], minlength=len(docs)), places[both], mix(ids[both] * np.uint64(0x9E3779B97F4A7C15) + mix(ids[at[both]]))
-
-
-def first_buckets(docs: DataFrame, q: int) -> DataFrame:
-    def produce(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
+    def produce(batch: pa.RecordBatch) -> Iterator[tuple[bytes, Columns]]:
         for part, raw, off in slices(batch, "text", SLICE):
             w = words_of(raw, off, exact=True)
-            at = w.gram_starts(q)
             sizes = np.maximum(np.diff(w.bounds) - q + 1, 0)
-            yield _head(part.column(0).to_numpy(zero_copy_only=False), sizes, np.zeros(0)), w.gram_hash(at, q)
-
-    return census(texts(docs), produce, _packets, _PACKET)
-
-
-def refine(packets: DataFrame, offset: int) -> DataFrame:
-    def produce(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            docs, sizes, places, ids = _refined(row, offset)
-            if len(ids):
-                yield _head(docs, sizes, places), ids
-
-    return census(packets, produce, _packets, _PACKET)
-
-
-_OCCURRENCE = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("ids", T.BinaryType()), T.StructField("docs", T.BinaryType()), T.StructField("places", T.BinaryType())])
-_OCCURRENCE_ARROW = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("docs", pa.binary()), ("places", pa.binary())])
-_LATER = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("docs", T.BinaryType()), T.StructField("places", T.BinaryType()), T.StructField("firsts", T.BinaryType())])
-_LATER_ARROW = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("places", pa.binary()), ("firsts", pa.binary())])
-
-
-def _split(route: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
-    order = np.argsort(route, kind="stable")
-    used, first = np.unique(route[order], return_index=True)
-    for r, i, j in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
-        yield (r, *(c[order[i:j]].tobytes() for c in columns))
-
+            yield heads_of(part.column(0).to_numpy(zero_copy_only=False), sizes), (w.gram_hash(w.gram_starts(q), q),)
+
+    def finish(head: bytes, levels: np.ndarray, answers: Columns) -> Iterator[pa.RecordBatch]:
+        docs, sizes = head_parts(head, 2)
+        begins = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(docs)), sizes)
+        at = np.flatnonzero(levels)
+        if not len(at):
+            return
+        fresh = np.append(True, (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]]))
+        first = np.flatnonzero(fresh)
+        lengths = np.diff(np.append(first, len(at)))
+        kept = lengths >= need
+        if not kept.any():
+            return
+        start, lengths = at[first[kept]], lengths[kept]
+        own = owner[start]
+        pointers = answers[0][np.repeat(start - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
+        row = [docs[own].tobytes(), (start - begins[own]).tobytes(), lengths.tobytes(), pointers.tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], schema=_PACKET_ARROW)
 
-def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
+    return trade(texts(docs), produce, numbered, finish, _PACKET, parts, widths=[8], answers=[5])
 
 
-def later_occurrences(packets: DataFrame, words: int) -> DataFrame:
-    """Spans of all but the first occurrence of what still repeats, from the identifiers of the last round."""
-    parts = partitions(packets)
-    buckets = 2 * parts
+def refined(columns: Columns) -> np.ndarray:
+    """New pointers of suffixes, given by those of their q-grams at 0 and at the later offsets.
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                docs, sizes, places, ids = (np.frombuffer(x, k) for x, k in zip(row, (np.int64, np.int64, np.int32, np.uint64)))
-                route = (mix(ids) % np.uint64(buckets)).astype(np.int32)
-                yield _rows(list(_split(route, ids, np.repeat(docs, sizes), places)), _OCCURRENCE_ARROW)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (_, *blobs) in runs(batches, 0):
-            ids, docs, places = (np.frombuffer(b"".join(x), k) for x, k in zip(blobs, (np.uint64, np.int64, np.int32)))
-            order = np.lexsort((places, docs, ids))
-            ids, docs, places = ids[order], docs[order], places[order]
-            start = np.append(True, ids[1:] != ids[:-1])
-            firsts = docs[np.flatnonzero(start)][np.cumsum(start) - 1]
-            docs, places, firsts = docs[~start], places[~start], firsts[~start]
-            yield _rows(list(_split((mix(docs.view(np.uint64)) % np.uint64(buckets)).astype(np.int32), docs, places, firsts)), _LATER_ARROW)
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (_, *blobs) in runs(batches, 0):
-            docs, places, firsts = (np.frombuffer(b"".join(x), k).astype(np.int64) for x, k in zip(blobs, (np.int64, np.int32, np.int64)))
-            order = np.lexsort((firsts, places, docs))
-            docs, places, firsts = docs[order], places[order], firsts[order]
-            fresh = np.append(True, (docs[1:] != docs[:-1]) | (places[1:] > places[:-1] + 1) | (firsts[1:] != firsts[:-1]))
-            at = np.flatnonzero(fresh)
-            last = np.append(at[1:], len(docs)) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (docs[at], places[at], places[last] + words, firsts[at])], schema=_SPANS_ARROW)
-
-    sent = arrow_map(packets, send, _OCCURRENCE).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    found = arrow_map(sent, first, _LATER).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return arrow_map(found, join, _SPANS)
-
-
-def repeated_spans(docs: DataFrame, words: int = WORDS, q: int = Q) -> DataFrame:
+    A pointer is the place of a bucket's first suffix in the order so far.  Only
+    buckets that hold several suffixes are sorted on, by the pointers at the next
+    offset; their new pointers are what the next sort starts from.
+    """
+    order = np.argsort(columns[0], kind="stable")
+    pointer = np.empty(len(order), np.int64)
+
+    def renew(at: np.ndarray, where: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+        """Pointers of the suffixes ``at``, which stand at the places ``where`` of the order, sorted by the keys; which of them are together with others."""
+        fresh = np.zeros(len(at), bool)
+        fresh[:1] = True
+        for k in keys:
+            fresh[1:] |= k[1:] != k[:-1]
+        first = np.flatnonzero(fresh)
+        pointer[at] = where[first][np.cumsum(fresh) - 1]
+        return np.repeat(np.diff(np.append(first, len(at))) > 1, np.diff(np.append(first, len(at))))
+
+    where = np.arange(len(order))
+    tied = renew(order, where, columns[0][order])
+    for later in columns[1:]:
+        where = where[tied]
+        if not len(where):
+            break
+        at = order[where]
+        at = at[np.lexsort((later[at], pointer[at]))]
+        order[where] = at
+        tied = renew(at, where, pointer[at].copy(), later[at])
+    return pointer
+
+
+def repeated_spans(docs: DataFrame, words: int = WORDS, q: int = Q, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, start_word, end_word, first_doc_id)``: maximal spans whose every window of ``words`` words stands earlier too.
 
     Words are runs without ASCII white space, compared byte for byte; ``end_word``
     is exclusive.  Occurrences are ordered by document id and place; the first one
     isn't listed but named by ``first_doc_id``, which may be the document itself.
     A span ends where its first occurrence changes to another document.  Rows
-    without an id or a text, and texts shorter than ``words``, have no spans; rows
-    that repeat an id are places of one document.  Empty tables give no rows, and
-    other columns are not read.
+    without an id or a text, and texts shorter than ``words``, have no spans.  Rows
+    that repeat an id have their spans listed each, but occurrences at one place of
+    rows of one id count as one.  Empty tables give no rows, and other columns are
+    not read.
     """
     q = min(q, words)
-    reach = q
-    packets = saved(first_buckets(docs, q))
-    while reach < words:
-        offset = min(reach, words - reach)
-        packets = saved(refine(packets, offset))
-        reach += offset
-    return later_occurrences(packets, words)
+    offsets = later_offsets(words, q)
+    parts = partitions(docs)
+    packets = saved(first_buckets(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), words, q, parts))
+    n = 1 + len(offsets)
+
+    def produce(batch: pa.RecordBatch) -> Iterator[tuple[bytes, Columns]]:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            docs, starts, lengths = (np.frombuffer(x, np.int64) for x in row[:3])
+            pointers = np.frombuffer(row[3], np.uint64)
+            windows = lengths - (words - q)
+            local = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+            at = np.repeat(np.cumsum(lengths) - lengths, windows) + local
+            ids = np.repeat(docs, windows).view(np.uint64) ^ _SIGN
+            places = (np.repeat(starts, windows) + local).astype(np.uint64)
+            yield heads_of(docs, starts, windows), (pointers[at], *(pointers[at + o] for o in offsets), ids, places)
+
+    def settle(columns: Columns, times: np.ndarray) -> tuple[np.ndarray, Columns]:
+        pointer = refined(columns[:n])
+        ids, places = columns[n:]
+        order = np.lexsort((places, ids, pointer))
+        fresh = np.append(True, pointer[order][1:] != pointer[order][:-1])
+        starts = np.flatnonzero(fresh)
+        each = np.cumsum(fresh) - 1
+        levels, first, place = np.empty(len(order), np.uint8), np.empty(len(order), np.uint64), np.empty(len(order), np.uint64)
+        levels[order] = (np.add.reduceat(times[order], starts) > 1)[each]
+        first[order], place[order] = ids[order[starts]][each], places[order[starts]][each]
+        return levels, (first, place)
+
+    def finish(head: bytes, levels: np.ndarray, answers: Columns) -> Iterator[pa.RecordBatch]:
+        docs, starts, windows = head_parts(head, 3)
+        own = np.repeat(docs, windows)
+        run = np.repeat(np.arange(len(docs)), windows)
+        places = np.repeat(starts - (np.cumsum(windows) - windows), windows) + np.arange(len(own))
+        firsts, first_places = (answers[0] ^ _SIGN).view(np.int64), answers[1].astype(np.int64)
+        at = np.flatnonzero((levels > 0) & ((firsts != own) | (first_places != places)))
+        own, run, places, firsts = own[at], run[at], places[at], firsts[at]
+        fresh = np.ones(len(at), bool)
+        fresh[1:] = (run[1:] != run[:-1]) | (places[1:] > places[:-1] + 1) | (firsts[1:] != firsts[:-1])
+        at = np.flatnonzero(fresh)
+        last = np.append(at[1:], len(own)) - 1
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own[at], places[at], places[last] + words if len(at) else places, firsts[at])], schema=_SPANS_ARROW)
+
+    return trade(packets, produce, settle, finish, _SPANS, parts, widths=[5] + [8] * len(offsets) + [8, 4], answers=[8, 4], keys=n, hashed=False)
 
 
 def without_repeats(docs: DataFrame, words: int = WORDS, q: int = Q) -> DataFrame:
-    """``docs`` with the repeated spans cut out of ``text``; other columns and rows stay as they are.
+    """``docs`` with all but the first of each repeated passage cut out of ``text``; other columns and rows stay as they are.
 
-    The ids should be unique: rows that share one lose the spans of all of them.
+    Rows are numbered first, and passages are first by these numbers, so rows that
+    repeat an id, or have none, are told apart.  Null texts stay null.
     """
-    spans = repeated_spans(docs, words, q).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("__spans")).withColumnRenamed("doc_id", "__id")
-    schema = T.StructType([f for f in docs.schema])
+    number, found = free(docs, "number", "spans")
+    rows = saved(docs.withColumn(number, F.monotonically_increasing_id()))
+    spans = repeated_spans(rows, words, q, number).groupBy(F.col("doc_id").alias("at")).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("cuts"))
+    schema = docs.schema
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,16 +187,27 @@ def without_repeats(docs: DataFrame, words: int = WORDS, q: int = Q) -> DataFram
                 w = words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]), exact=True)
                 keep = np.ones(len(data), bool)
                 for s in found:
-                    stop = min(s["end_word"], len(w.start))
-                    if s["start_word"] < stop:
-                        keep[w.start[s["start_word"]] : w.end[stop - 1]] = False
+                    keep[w.start[s["start_word"]] : w.end[s["end_word"] - 1]] = False
                 out[k] = np.frombuffer(data, np.uint8)[keep].tobytes().decode()
             columns = [pa.array(out, pa.string()) if n == "text" else c for n, c in zip(names, batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = docs.join(spans, docs["doc_id"] == spans["__id"], "left").select(*[docs[c] for c in names], "__spans")
+    joined = rows.join(spans, rows[number] == spans["at"], "left").select(*[rows[c] for c in names], spans["cuts"].alias(found))
     return arrow_map(joined, cut, schema)
 
 
 def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of 50 words or more of all documents that stand earlier too; edge cases as in ``repeated_spans``."""
     return repeated_spans(table(spark, sf_dir, "documents"))
+
+
+#: Windows are compared as texts; no hash takes part.
+SQL = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(text, '[\t\n\r\f\v ]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), p AS (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS place FROM d WHERE len(w) >= 50
+), g AS (SELECT doc_id, place, array_to_string(w[place + 1:place + 50], ' ') AS content FROM p
+), f AS (SELECT doc_id, place, first_value(doc_id) OVER o AS first_doc_id, row_number() OVER o AS n FROM g WINDOW o AS (PARTITION BY content ORDER BY doc_id, place)
+), r AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id, first_doc_id ORDER BY place) AS island FROM f WHERE n > 1)
+SELECT doc_id, min(place)::BIGINT AS start_word, (max(place) + 50)::BIGINT AS end_word, first_doc_id FROM r GROUP BY doc_id, first_doc_id, island
+"""

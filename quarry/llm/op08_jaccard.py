@@ -3,9 +3,10 @@
 Every document is the set of its word n-grams, under one global order: rarest
 first, by their counts over all documents.  Two sets whose Jaccard similarity
 reaches t share one of their first ``|x| - ceil(t |x|) + 1`` grams, so a document
-whose prefix holds nobody else's grams is done.  The others are tied together by
-the prefix grams that they share; what is tied makes a block, and every pair that
-reaches t lies within one.  A block's sets are stored in a trie.  One walk of the
+whose prefix holds nobody else's grams is done.  Of equal sets one stands for all,
+with their number.  The others are tied together by the prefix grams that they
+share; what is tied makes a block, and every pair that reaches t lies within one.
+A block's sets are stored in a trie.  One walk of the
 trie carries the overlap of its path with all probes at once, so sets that begin
 alike share that work, and a subtree is left as soon as the longest remainder in
 it can't lift any probe to t.  The result is exact up to collisions of hashes.
@@ -13,6 +14,7 @@ it can't lift any probe to t.  The result is exact up to collisions of hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,14 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..runtime import arrow_map
-from .census import SLICE, census, head_parts, heads_of, partitions, runs, texts
+from .census import SLICE, Columns, counted, head_parts, heads_of, partitions, runs, texts, trade
 from .frames import saved, sized, table
-from .graph import components
+from .graph import components, spanning
 from .textkit import _ranges, mix, slices, words_of
 
 N, THRESHOLD = 4, 0.5
-#: Documents of a part of a block; larger blocks are joined part by part.
-PART = 4096
+#: Sets of a part of a block; larger blocks are joined part by part.
+PART = 1024
 
 
 def gram_sets(raw: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,29 +142,45 @@ def trie_join(sizes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, t: fl
 
 _SETS = T.StructType([
     T.StructField("doc_id", T.LongType()),
+    T.StructField("sign", T.LongType()),
+    T.StructField("mark", T.LongType()),
     T.StructField("size", T.LongType()),
     T.StructField("prefix", T.ArrayType(T.LongType())),
     T.StructField("grams", T.BinaryType()),
 ])
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("prefix", pa.list_(pa.int64())), ("grams", pa.binary())])
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("sign", pa.int64()), ("mark", pa.int64()), ("size", pa.int64()), ("prefix", pa.list_(pa.int64())), ("grams", pa.binary())])
 _PAIRS = T.StructType([T.StructField("doc_id_a", T.LongType()), T.StructField("doc_id_b", T.LongType()), T.StructField("jaccard", T.DoubleType())])
 _PAIRS_ARROW = pa.schema([("doc_id_a", pa.int64()), ("doc_id_b", pa.int64()), ("jaccard", pa.float64())])
+_LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("rep", "sign", "mark", "low", "links")])
+_LINKS_ARROW = pa.schema([(c, pa.int64()) for c in ("rep", "sign", "mark", "low", "links")])
+#: Two columns of 64 bits that tell sets apart.
+_SET = ["sign", "mark"]
 
 
 def prefix_length(size: np.ndarray, t: float) -> np.ndarray:
     return size - np.ceil(t * size - 1e-9).astype(np.int64) + 1
 
 
+def marks(grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each set, by the sums of hashes of its grams."""
+    total = np.zeros((2, len(grams) + 1), np.uint64)
+    np.cumsum(mix(grams + np.uint64(0x5851F42D4C957F2D)), out=total[0, 1:])
+    np.cumsum(mix(grams * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)), out=total[1, 1:])
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    return tuple(mix(t[at[1:]] - t[at[:-1]] + sizes.astype(np.uint64)) for t in total)
+
+
 def candidates(docs: DataFrame, n: int, t: float) -> DataFrame:
-    """``(doc_id, size, prefix, grams)`` of the documents whose prefix holds a gram that another document has."""
+    """``(doc_id, sign, mark, size, prefix, grams)`` of the documents whose prefix holds a gram that another document has."""
 
-    def produce(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
+    def produce(batch: pa.RecordBatch) -> Iterator[tuple[bytes, Columns]]:
         for part, raw, off in slices(batch, "text", SLICE):
             grams, sizes = gram_sets(raw, off, n)
-            yield heads_of(part.column(0).to_numpy(zero_copy_only=False), sizes), grams
+            yield heads_of(part.column(0).to_numpy(zero_copy_only=False), sizes, *marks(grams, sizes)), (grams,)
 
-    def finish(head: bytes, levels: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-        doc_ids, sizes = head_parts(head)
+    def finish(head: bytes, levels: np.ndarray, answers: Columns) -> Iterator[pa.RecordBatch]:
+        ids = answers[0]
+        doc_ids, sizes, sign, mark = head_parts(head, 4)
         doc = np.repeat(np.arange(len(sizes)), sizes)
         known = np.flatnonzero(levels > 0)
         own = np.bincount(doc[known], minlength=len(sizes))
@@ -174,90 +192,159 @@ def candidates(docs: DataFrame, n: int, t: float) -> DataFrame:
         spans = list(zip(at[:-1].tolist(), at[1:].tolist(), need[kept].tolist()))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(doc_ids[kept]),
-                pa.array(sizes[kept]),
+                *(pa.array(c[kept]) for c in (doc_ids, sign, mark, sizes)),
                 pa.array([grams[i : min(j, i + p)].view(np.int64) for i, j, p in spans], pa.list_(pa.int64())),
                 pa.array([grams[i:j].tobytes() for i, j, _ in spans], pa.binary()),
             ],
             schema=_SETS_ARROW,
         )
 
-    return census(texts(docs), produce, finish, _SETS)
-
-
-def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest one that the edges (a, b) connect it with."""
-    low = np.arange(n)
-    while True:
-        new = low.copy()
-        np.minimum.at(new, a, low[b])
-        np.minimum.at(new, b, low[a])
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
-def _joined(docs: DataFrame, n: int, t: float, edges: bool) -> DataFrame:
-    """``(doc_id_a, doc_id_b, jaccard)`` of all pairs; or, with ``edges``, of as few as keep the same documents connected."""
-    sets = saved(candidates(docs, n, t))
-    token = sets.select("doc_id", F.explode("prefix").alias("token"))
-    ties = token.withColumn("low", F.min("doc_id").over(Window.partitionBy("token"))).where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))
-    members = saved(components(ties))
-    sized_members = members.join(sets.select(F.col("doc_id").alias("node"), "size").distinct(), "node")
-    counts = members.groupBy("root").agg(F.count("*").alias("n"))
-    large = counts.where(F.col("n") > PART)
-    small_keys = members.join(counts.where(F.col("n") <= PART), "root").select("node", "root", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    # Blocks beyond one part: sorted by size, each part meets those whose sizes allow t.
-    number = (F.row_number().over(Window.partitionBy("root").orderBy("size", "node")) - 1) / PART
-    placed = sized_members.join(large, "root").withColumn("part", number.cast("int"))
-    ranges = placed.groupBy("root", "part").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    x, y = ranges.alias("x"), ranges.alias("y")
-    meets = x.join(y, (F.col("x.root") == F.col("y.root")) & (F.col("x.part") <= F.col("y.part")) & (F.col("y.low") * t <= F.col("x.high"))).select(F.col("x.root").alias("root"), F.col("x.part").alias("i"), F.col("y.part").alias("j"))
-    sides = meets.select("root", "i", "j", F.explode(F.array(*[F.struct(F.col(c).alias("part"), F.lit(s).alias("side")) for s, c in enumerate("ij")])).alias("e")).select("root", "i", "j", "e.part", "e.side").where("i <> j or side = 0")
-    large_keys = placed.join(sides, ["root", "part"]).select("node", "root", "i", "j", "side")
-    keys = small_keys.unionByName(large_keys)
+    return trade(texts(docs), produce, counted, finish, _SETS, partitions(docs), widths=[5], answers=[5])
+
+
+def representatives(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Membership ``(sign, mark, doc_id, rep, copies)`` of all sets, saved, and the rows of ``sets`` that stand for others.
+
+    The smallest id of equal sets stands for them.  Counts combine before they are
+    shuffled, so a set of which there are very many gathers nowhere.
+    """
+    narrow = sets.select(*_SET, "doc_id").distinct()
+    reps = narrow.groupBy(*_SET).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    members = saved(narrow.join(reps, _SET))
+    extra = sized(members.where("doc_id <> rep").select(*_SET, "doc_id"))
+    return members, sets.join(extra, [*_SET, "doc_id"], "left_anti")
+
+
+def blocks(one: DataFrame, members: DataFrame, t: float) -> DataFrame:
+    """``(root, i, j, side, rep, sign, mark, copies, size, grams)``: the sets of each block, or of each two parts of a large one.
+
+    Two sets that share a prefix gram get the gram's least document as a common
+    neighbour; connected sets make a block.  A block of more than ``PART`` sets is cut
+    into parts by classes of size and a hash, so that no task counts or sorts a whole
+    block, and two parts meet if sets of their sizes can reach t.
+    """
+    token = one.select("doc_id", F.explode("prefix").alias("token")).distinct()
+    low = token.groupBy("token").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
+    tied = (components(token.join(low, "token").where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))))
+    size_class = (F.floor(F.ln(F.col("size")) / (-0.5 * math.log(t))) if t < 1 else F.col("size")).cast("int")
+    placed = one.select(F.col("doc_id").alias("node"), *_SET, "size").distinct().join(tied, "node").withColumn("class", size_class)
+    placed = saved(placed.join(members.select(F.col("rep").alias("node"), *_SET, "copies").distinct(), ["node", *_SET]))
+    total = F.sum("n").over(Window.partitionBy("root"))  # a row a class of size, no more than a few dozen a block
+    sizes = placed.groupBy("root", "class").agg(F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("most")).withColumn("total", total)
+    classes = saved(sizes.where(F.col("total") > PART).select("root", "class", F.ceil(F.col("n") / PART).cast("int").alias("parts"), "least", "most"))
+    whole = lambda keys: keys.select("node", *_SET, "copies", "root", F.lit("").alias("i"), F.lit("").alias("j"), F.lit(0).alias("side"))
+    if classes.isEmpty():
+        return _filled(one, whole(placed))
+    keys = placed.join(sized(classes.select("root", "class", "parts")), ["root", "class"], "left").withColumn("part", F.pmod(F.xxhash64("node", *_SET), F.coalesce("parts", F.lit(1))).cast("int"))
+    each = classes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    x, y = each.alias("x"), each.alias("y")
+    ordered = (F.col("x.class") < F.col("y.class")) | ((F.col("x.class") == F.col("y.class")) & (F.col("x.part") <= F.col("y.part")))
+    meets = x.join(y, (F.col("x.root") == F.col("y.root")) & ordered & (F.col("y.least") * t <= F.col("x.most") + 1e-9))
+    name = lambda s: F.concat_ws(".", f"{s}.class", f"{s}.part")
+    same = (F.col("x.class") == F.col("y.class")) & (F.col("x.part") == F.col("y.part"))
+    ends = F.when(same, F.array(F.struct(F.col("x.class"), F.col("x.part"), F.lit(0).alias("side")))).otherwise(F.array(*[F.struct(F.col(f"{s}.class"), F.col(f"{s}.part"), F.lit(k).alias("side")) for k, s in enumerate("xy")]))
+    sides = meets.select(F.col("x.root").alias("root"), name("x").alias("i"), name("y").alias("j"), F.inline(ends))
+    cut = keys.where("parts IS NOT NULL").join(sides, ["root", "class", "part"]).select("node", *_SET, "copies", "root", "i", "j", "side")
+    return _filled(one, whole(keys.where("parts IS NULL")).unionByName(cut))
+
+
+def _filled(one: DataFrame, keys: DataFrame) -> DataFrame:
+    return one.join(keys.withColumnRenamed("node", "doc_id"), ["doc_id", *_SET]).select("root", "i", "j", "side", F.col("doc_id").alias("rep"), *_SET, "copies", "size", "grams")
+
+
+def _joined(one: DataFrame, members: DataFrame, t: float, pairs: bool) -> DataFrame:
+    """All pairs of sets that reach t; or, without ``pairs``, their numbers of links and the least set that each is connected with."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (_, _, _, side, ids, sizes, grams) in runs(batches, 0, 1, 2):
-            ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
-            a, b, overlap = trie_join(sizes, [np.frombuffer(g, np.uint64) for g in grams], np.array(side), t)
-            jaccard = overlap / (sizes[a] + sizes[b] - overlap)
-            if edges:
-                low = spanning(len(ids), a, b)
-                a = np.flatnonzero(low < np.arange(len(ids)))
-                b, jaccard = low[a], np.ones(len(a))
-            keep = ids[a] != ids[b]
-            low_id, high_id = np.minimum(ids[a], ids[b])[keep], np.maximum(ids[a], ids[b])[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(low_id), pa.array(high_id), pa.array(jaccard[keep])], schema=_PAIRS_ARROW)
-
-    blocks = sets.select("doc_id", "size", "grams").join(keys, F.col("doc_id") == F.col("node")).select("root", "i", "j", "side", "doc_id", "size", "grams")
-    blocks = blocks.repartition(partitions(docs), "root", "i", "j").sortWithinPartitions("root", "i", "j")
-    return arrow_map(blocks, join, _PAIRS)
+        for _, (_, _, _, side, reps, sign, mark, copies, sizes, grams) in runs(batches, 0, 1, 2):
+            first = list({(s, *key): k for k, (s, *key) in enumerate(zip(side, reps, sign, mark))}.values())  # a row that stands twice counts once
+            ids, sign, mark, copies, sizes, side = (np.array(x, np.int64)[first] for x in (reps, sign, mark, copies, sizes, side))
+            a, b, overlap = trie_join(sizes, [np.frombuffer(grams[k], np.uint64) for k in first], side, t)
+            if pairs:
+                keep = ids[a] != ids[b]
+                a, b, overlap = a[keep], b[keep], overlap[keep]
+                low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(overlap / (sizes[a] + sizes[b] - overlap))], schema=_PAIRS_ARROW)
+                continue
+            m = len(ids)
+            links = np.zeros(m, np.int64)
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
+            order = np.argsort(ids, kind="stable")
+            rank = np.empty(m, np.int64)
+            rank[order] = np.arange(m)
+            low = ids[order][spanning(m, rank[a], rank[b])][rank]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, sign, mark, low, links)], schema=_LINKS_ARROW)
+
+    parts = partitions(one)
+    spread = blocks(one, members, t).repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j", "side", "rep")
+    return arrow_map(spread, join, _PAIRS if pairs else _LINKS)
 
 
 def jaccard_pairs(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """``(doc_id_a, doc_id_b, jaccard)``: all pairs a < b whose sets of word n-grams reach t.
+    """``(doc_id_a, doc_id_b, jaccard)``: all pairs a < b of different sets of word n-grams that reach t.
 
-    Words are runs of letters and digits without regard to ASCII case, and single
-    characters of scripts without spaces.  Rows without an id or a text, and texts without a word, pair with
-    nothing; a text of fewer than n words is one gram.  Rows that repeat an id
-    make no pair with each other, and a pair of ids comes once, with the largest
-    similarity.  An empty table gives no pairs; other columns are not read.
+    The smallest id of the documents with one set stands for them in these pairs.
+    Edge cases are those of ``jaccard_classes``.
+    """
+    members, one = representatives(saved(candidates(docs, n, t)))
+    return _joined(one, members, t, True).groupBy("doc_id_a", "doc_id_b").agg(F.max("jaccard").alias("jaccard"))
+
+
+def _classes(docs: DataFrame, n: int, t: float) -> tuple[DataFrame, DataFrame]:
+    """``(node, root)`` of the documents that have a link, and ``(doc_id, links)`` of those that may have one."""
+    members, one = representatives(saved(candidates(docs, n, t)))
+    linked = saved(_joined(one, members, t, False))
+    ties = linked.select(F.col("rep").alias("a"), F.col("low").alias("b")).unionByName(members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    counts = linked.groupBy("rep", *_SET).agg(F.sum("links").alias("links"))
+    own = members.join(counts, ["rep", *_SET], "left").select("doc_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    return components(ties.where("a <> b")), own.groupBy("doc_id").agg(F.sum("links").alias("links"))
+
+
+def jaccard_classes(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
+    """``(doc_id, class_id, links)``, one row an id: with how many other documents it reaches t, and the smallest id that a chain of such links leads to.
+
+    Every link counts, those between copies and those between different texts, but
+    none becomes a row.  Words are runs of letters and digits without regard to ASCII
+    case, and single characters of scripts without spaces.  A text of fewer than n
+    words is one gram.  Null and empty texts, and texts without a word, have no
+    links and are classes of their own; rows without an id are left out.  Rows that
+    repeat an id and a text count once; of those that repeat an id with other texts
+    the links add up, those among each other included, and they are one document to
+    the classes.  An empty table gives no rows; other columns are not read.
     """
-    return _joined(docs, n, t, False).groupBy("doc_id_a", "doc_id_b").agg(F.max("jaccard").alias("jaccard"))
+    classes, links = _classes(docs, n, t)
+    ids = docs.select(docs["doc_id"].cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    out = ids.join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(links, "doc_id", "left")
+    return out.select("doc_id", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def keep_one(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` but those that a chain of pairs ties to a document of smaller id; all columns are kept.
+    """The rows of ``docs`` but those that a chain of links ties to a document of smaller id; all columns are kept.
 
-    Rows without an id or a text stay.  Each block hands on a spanning forest of its
-    pairs, so what follows grows with the documents, not with the pairs.
+    Rows without an id or a text stay, and so do rows that repeat an id that stays.
     """
-    ties = _joined(docs, n, t, True).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-    gone = sized(components(ties).where("node <> root").select(F.col("node").alias("__gone")))
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    gone = sized(_classes(docs, n, t)[0].where("node <> root").select(F.col("node").alias("gone")))
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_pairs(table(spark, sf_dir, "documents"))
+    """Class and number of links of every document, at a similarity of 0.5 of word 4-grams; edge cases as in ``jaccard_classes``."""
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+#: Compares all sets by an inverted index of grams that are texts; words as in ``textkit``, by Unicode classes.
+SQL = r"""
+WITH RECURSIVE t AS (
+    SELECT doc_id, regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]\p{M}*)', ' \1 ', 'g') AS text
+    FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), d AS (SELECT doc_id, list_filter(regexp_extract_all(text, '[\p{L}\p{M}\p{N}]+|[\p{Sm}\p{Sc}\p{So}]'), lambda x: NOT regexp_matches(x, '^[$+<=>|~]$')) AS w FROM t
+), g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS gram FROM d WHERE len(w) > 0
+), s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1
+), o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM g x JOIN g y USING (gram) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2
+), p AS MATERIALIZED (SELECT a, b FROM o JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE o.n >= 0.5 * (x.n + y.n - o.n)
+), c AS (SELECT a AS node, a AS other FROM p UNION SELECT c.node, p.b FROM c JOIN p ON p.a = c.other
+), k AS (SELECT node, min(other) AS class_id FROM c GROUP BY 1
+), l AS (SELECT a AS node, count(*) AS links FROM p GROUP BY 1)
+SELECT doc_id, coalesce(class_id, doc_id)::BIGINT AS class_id, coalesce(links, 0)::BIGINT AS links FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) LEFT JOIN k ON k.node = doc_id LEFT JOIN l ON l.node = doc_id
+"""
