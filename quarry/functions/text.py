@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,16 @@ def composed(text: Column, compatible: bool = False) -> Column:
     return F.reflect(F.lit(_ICU), F.lit("compose"), text, F.lit(compatible))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def beyond_ascii(text: Column) -> Column:
+    """Whether a text has any character beyond ASCII; no pattern is run for it."""
+    return F.octet_length(text) != F.char_length(text)
+
+
 def fold_arabic(text: Column) -> Column:
     """Arabic presentation forms in their compatible form, all other characters as they are."""
     folded = F.concat_ws("", F.transform(F.split(text, ""), lambda c: F.when(c.rlike(ARABIC), composed(c, True)).otherwise(c)))
@@ -25,22 +37,22 @@ def fold_arabic(text: Column) -> Column:
 
 
 def canonical(text: Column, strip: tuple[str, ...] = ("bom", "zero_width_space"), nbsp: bool = True, arabic: bool = True) -> Column:
-    """A line with artifacts mapped character by character, and composed.
+    """A line with artifacts mapped character by character, and composed; ASCII lines are left alone.
 
     Stripping comes first, so U+FEFF never counts as an Arabic form.  A soft hyphen
     at the very end of the original line becomes a hyphen, any other goes.
     """
-    out = F.regexp_replace(text, "\\x{AD}\\z", "-")
+    out = F.when(text.endswith(SHY), F.concat(F.substring(text, F.lit(1), F.char_length(text) - 1), F.lit("-"))).otherwise(text)
     gone = SHY + "".join(_STRIPPED[s] for s in strip)
     out = F.translate(out, (NBSP if nbsp else "") + gone, " " if nbsp else "")
-    if arabic:
-        out = fold_arabic(out)
-    return F.when(out.rlike(_MAY_COMPOSE), composed(out)).otherwise(out)
+    compose = lambda x: F.when(x.rlike(_MAY_COMPOSE), composed(x)).otherwise(x)
+    done = bound(out, lambda x: F.when(x.rlike(ARABIC), bound(fold_arabic(x), compose)).otherwise(compose(x)) if arabic else compose(x))
+    return F.when(beyond_ascii(text), done).otherwise(text)
 
 
 def needs_mapping(text: Column) -> Column:
     """Whether any character would be mapped, before composition."""
-    return text.rlike(f"[{BOM}{ZWSP}{NBSP}{SHY}]") | text.rlike(ARABIC)
+    return beyond_ascii(text) & (text.rlike(f"[{BOM}{ZWSP}{NBSP}{SHY}]") | text.rlike(ARABIC))
 
 
 def domain(text: Column) -> Column:
@@ -52,15 +64,26 @@ def length_bin(text: Column) -> Column:
     return F.when(n <= 40, "short").when(n <= 240, "normal").otherwise("long")
 
 
-def dominant_script(text: Column) -> Column:
-    """The script of most letters, in lower case; of equals the first by name; ``unknown`` without letters of a script."""
+#: Scripts whose letters are counted by a pattern each.
+COMMON_SCRIPTS = "arabic armenian bengali cyrillic devanagari ethiopic georgian greek gujarati gurmukhi han hangul hebrew hiragana kannada katakana khmer lao latin malayalam myanmar sinhala tamil telugu thai tibetan".split()
+_RARE = "[\\p{IsAlphabetic}&&[^\\p{IsCommon}\\p{IsInherited}\\p{IsUnknown}" + "".join(f"\\p{{Is{s.title()}}}" for s in COMMON_SCRIPTS) + "]]"
+
+
+def _script_by_letter(text: Column) -> Column:
+    """Looks each letter up; for texts with letters of rare scripts."""
     letters = F.filter(F.split(text, ""), lambda c: c.rlike("\\p{IsAlphabetic}"))
     scripts = F.filter(F.transform(letters, lambda c: F.lower(F.reflect(F.lit("java.lang.Character$UnicodeScript"), F.lit("of"), F.ascii(c)))), lambda s: ~s.isin("common", "inherited", "unknown"))
-    ranked = F.transform(F.array_distinct(scripts), lambda s: F.struct((-F.size(F.filter(scripts, lambda x: x == s))).alias("n"), s.alias("script")))
-    best = F.coalesce(F.array_min(ranked)["script"], F.lit("unknown"))
+    return bound(scripts, lambda all_: F.array_min(F.transform(F.array_distinct(all_), lambda s: F.struct((-F.size(F.filter(all_, lambda x: x == s))).alias("n"), s.alias("script"))))["script"])
+
+
+def dominant_script(text: Column) -> Column:
+    """The script of most letters, in lower case; of equals the first by name; ``unknown`` without letters of a script."""
+    counts = F.array(*[F.struct((-F.regexp_count(text, F.lit(f"[\\p{{IsAlphabetic}}&&\\p{{Is{s.title()}}}]"))).alias("n"), F.lit(s).alias("script")) for s in COMMON_SCRIPTS])
+    common = bound(F.array_min(counts), lambda best: F.when(best["n"] < 0, best["script"]))
+    best = F.coalesce(F.when(text.rlike(_RARE), _script_by_letter(text)).otherwise(common), F.lit("unknown"))
     # Letters below U+0250 are all Latin, so most lines never reach the counting.
     plain = F.when(text.rlike("[A-Za-z\\x{AA}\\x{BA}\\x{C0}-\\x{D6}\\x{D8}-\\x{F6}\\x{F8}-\\x{24F}]"), "latin").otherwise("unknown")
-    return F.when(text.rlike("[^\\x{0}-\\x{24F}]"), best).otherwise(plain)
+    return F.when(beyond_ascii(text) & text.rlike("[^\\x{0}-\\x{24F}]"), best).otherwise(plain)
 
 
 def _codes(table: str) -> list[str]:

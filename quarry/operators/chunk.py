@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +15,18 @@ from ..runtime import reachable  # noqa: F401 - callers need it for the UDF
 
 _CLUSTER = regex.compile(r"\X")
 _STOPS = frozenset(".,;:!?)]}")
+_BREAK = re.compile(r"(?s).*[\s.,;:!?)\]}]")
+
+
+def _plain_chunks(text: str, most: int) -> list[str]:
+    """``chunks`` of ASCII text, in which each character is a cluster of one byte."""
+    out, start, last = [], 0, len(text)
+    while start < last:
+        found = _BREAK.match(text, start, min(start + most, last - 1))
+        end = found.end() if found else min(start + most, last)
+        out.append(text[start:end])
+        start = end
+    return out
 
 
 def chunks(text: str, most: int) -> list[str] | None:
@@ -26,7 +39,9 @@ def chunks(text: str, most: int) -> list[str] | None:
         return None
     if len(text.encode("utf-8")) <= most:
         return [text]
-    clusters = list(text) if text.isascii() and "\r\n" not in text else _CLUSTER.findall(text)
+    if text.isascii() and "\r\n" not in text:
+        return _plain_chunks(text, most)
+    clusters = _CLUSTER.findall(text)
     sizes = [len(c.encode("utf-8")) for c in clusters]
     if max(sizes) > most:
         return None
@@ -47,14 +62,17 @@ def chunks(text: str, most: int) -> list[str] | None:
 
 
 def chunk_column(text: Column, most: int) -> Column:
-    """``chunks`` as an array; only lines that are too long reach Python, in Arrow batches."""
+    """``chunks`` as an array, in Arrow batches; lines that are short enough cross to Python as nulls.
+
+    The function isn't declared deterministic, so that no filter repeats it.
+    """
     if most <= 0:
         return F.lit(None).cast("array<string>")
 
     @pandas_udf("array<string>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield batch.map(lambda t: None if t is None else chunks(t, most))
+            yield pd.Series([None if t is None else chunks(t, most) for t in batch], batch.index, object)
 
     long = F.octet_length(text) > most
-    return F.when(~long, F.array(text)).when(long, cut(F.when(long, text)))
+    return F.when(~long, F.array(text)).when(long, cut.asNondeterministic()(F.when(long, text)))

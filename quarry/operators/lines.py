@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 
 def split_lines(text: Column) -> Column:
-    """Lines between ``\\n``, each without one trailing ``\\r``; a text's last line break opens no further line."""
-    parts = F.split(text, "\n")
-    parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return F.transform(parts, lambda x: F.regexp_replace(x, "\r\\z", ""))
+    """Parts between ``\\n``; a text's last line break opens no further line."""
+    parts = F.split(F.when(text.endswith("\n"), F.substring(text, F.lit(1), F.char_length(text) - 1)).otherwise(text), "\n")
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(parts)
+
+
+def without_return(line: Column) -> Column:
+    """The line without one trailing ``\\r``."""
+    return F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.char_length(line) - 1)).otherwise(line)
 
 
 #: Columns of a file that its lines keep.
@@ -27,7 +31,7 @@ def lines(files: DataFrame, text: str = "text") -> DataFrame:
     Path hints that ``files`` has already go along.
     """
     numbered = files.select("path", *kept(files), F.posexplode(split_lines(F.col(text))).alias("n", "line"))
-    return numbered.select("path", *kept(files), (F.col("n") + 1).cast("long").alias("line_number"), "line")
+    return numbered.select("path", *kept(files), (F.col("n") + 1).cast("long").alias("line_number"), without_return(F.col("line")).alias("line"))
 
 
 def raw_lines(files: DataFrame, content: str = "content") -> DataFrame:

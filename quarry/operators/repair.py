@@ -19,6 +19,17 @@ def _issue(id_: str, action: str, reason: Column, text: Column, log_text: bool)
     return F.struct(F.lit(id_).alias("id"), F.lit(action).alias("action"), F.col("path").alias("path"), F.col("line_number").alias("line_number"), reason.alias("reason"), shown.alias("line_text")).cast(ISSUE)
 
 
+def _first_invalid(raw: Column, valid: Column) -> Column:
+    """The byte from which bytes stop to be UTF-8, by the first replacement that they don't hold themselves."""
+    step = lambda at, part: F.when(at["done"], at).otherwise(
+        F.struct(
+            (at["n"] + F.octet_length(part) + F.when(F.hex(F.substring(raw, at["n"] + F.octet_length(part) + 1, F.lit(3))) == "EFBFBD", 3).otherwise(0)).alias("n"),
+            (F.hex(F.substring(raw, at["n"] + F.octet_length(part) + 1, F.lit(3))) != "EFBFBD").alias("done"),
+        )
+    )
+    return F.aggregate(F.split(valid, "\ufffd"), F.struct(F.lit(0).alias("n"), F.lit(False).alias("done")), step, lambda at: at["n"])
+
+
 def process(lines: DataFrame, config: Config) -> DataFrame:
     """``path, line_number`` with ``issues`` and ``output`` (both arrays) for ``path, line_number`` and ``line`` or ``bytes``.
 
@@ -32,11 +43,12 @@ def process(lines: DataFrame, config: Config) -> DataFrame:
     if "bytes" in lines.columns:
         line = F.coalesce(F.col("bytes").cast("string"), F.lit(""))
         lines = lines.withColumns({"valid": F.is_valid_utf8(line), "line": F.make_valid_utf8(line)})
+        from_ = F.when(~F.col("valid"), _first_invalid(F.col("bytes"), F.col("line")))
+        lines = lines.withColumn("invalid", F.concat(F.lit("line is not valid UTF-8 from byte "), from_.cast("string"), F.lit(" on")))
     else:
-        lines = lines.withColumns({"valid": F.lit(True), "line": F.coalesce("line", F.lit(""))})
-    # ASCII lines map to themselves; the rest is canonicalized once, and a second time if that changed it.
-    once = F.when(F.col("line").rlike("[^\\x{0}-\\x{7F}]"), canonical(F.col("line"), *args)).otherwise(F.col("line"))
-    done = lines.withColumn("text", once).withColumn("changed", F.col("text") != F.col("line"))
+        lines = lines.withColumns({"valid": F.lit(True), "line": F.coalesce("line", F.lit("")), "invalid": F.lit(None).cast("string")})
+    # A line is canonicalized a second time only if that changed it.
+    done = lines.withColumn("text", canonical(F.col("line"), *args)).withColumn("changed", F.col("text") != F.col("line"))
     done = done.withColumn("stable", ~F.col("changed") | (canonical(F.col("text"), *args) == F.col("text")))
     done = done.withColumn("chunks", F.when(F.col("valid") & F.col("stable"), chunk_column(F.col("text"), most)))
     line, text = F.col("line"), F.col("text")
@@ -51,7 +63,7 @@ def process(lines: DataFrame, config: Config) -> DataFrame:
         lambda x: x.isNotNull(),
     )
     issues = (
-        F.when(~F.col("valid"), skip("invalid_utf8", F.lit("line is not valid UTF-8"), F.lit(None).cast("string")))
+        F.when(~F.col("valid"), skip("invalid_utf8", F.col("invalid"), F.lit(None).cast("string")))
         .when(~F.col("stable"), skip("non_idempotent_canonicalization", F.lit("line changed after a second canonicalization pass"), line))
         .when(F.col("chunks").isNull(), skip("max_sentence_length", long, text))
         .otherwise(fixes)

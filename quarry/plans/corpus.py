@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import Config, read_json
 from ..operators import balance, classify, lines, repair
-from ..runtime import reachable, saved
+from ..runtime import dropped, reachable, saved
 from ..sources import files, sinks
 from ..train import TrainerError, train
 
@@ -31,11 +29,11 @@ def repair_lines(spark: SparkSession, config: Config, logical: bool = False) ->
 def run(spark: SparkSession, config: Config, logical: bool = False, with_training: bool = True) -> dict:
     """Repairs, balances and writes the corpus, and trains a model; the summary of all of it.
 
-    Processed lines are used by several sinks, so they are kept on disk once.
+    Processed lines are used by several sinks, so they are written to the shared folder once.
     """
     work = config.output.work_dir
     texts, source_issues, processed = repair_lines(spark, config, logical)
-    processed = processed.persist(StorageLevel.DISK_ONLY)
+    processed = saved(processed)
     try:
         sinks.write_json(config.to_dict(), os.path.join(work, "effective_config.json"))
         log = config.validation.issue_log
@@ -47,13 +45,13 @@ def run(spark: SparkSession, config: Config, logical: bool = False, with_trainin
         if not counters["lines_written"]:
             raise RunError(f"no usable lines were written; see {log}")
         summary = balance_lines(classify.classify(out), config)
-        sizes = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("b")).first()
+        sizes = files.sizes(texts).first()
         result = {
-            "files_read": sizes["n"], **counters, "source_issues": source_issues.count(), "issue_log": log, "corpus_bytes": sizes["b"],
+            "files_read": sizes["files"], **counters, "source_issues": source_issues.count(), "issue_log": log, "corpus_bytes": sizes["n_bytes"],
             "fixed_corpus": os.path.join(work, "fixed_corpus.txt"), "balance": summary,
         }
     finally:
-        processed.unpersist()
+        dropped(processed)
     if with_training:
         result["trainer"] = train(config, summary["training_files"])
     return result
@@ -63,14 +61,14 @@ def balance_lines(classified: DataFrame, config: Config) -> dict:
     """Targets, sample, training parts and report of classified lines."""
     b, work = config.balancing, config.output.work_dir
     classified = saved(classified)
-    counts = classify.counts(classified).persist(StorageLevel.DISK_ONLY)
+    counts = saved(classify.counts(classified))
     try:
         wanted = balance.targets(counts, b)
         sampled = saved(balance.parts(saved(balance.sample(classified, wanted, b)), b))
         written = sinks.write_parts(sampled, os.path.join(work, "train_corpus"))
         return sinks.write_report(balance.report(counts, wanted, sampled), written, os.path.join(work, "reports", "balance.json"))
     finally:
-        counts.unpersist()
+        dropped(counts, classified)
 
 
 def train_only(config: Config) -> dict:

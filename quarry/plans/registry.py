@@ -6,9 +6,10 @@ their id, in the same way on both sides.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Balancing, Config, effective
@@ -21,6 +22,10 @@ from . import reports
 
 #: Bytes a line in the chunking query; the other queries use the preset's limit.
 SHORT = 200
+#: A letter with more accents than ``SHORT`` bytes hold, as one cluster.
+PILED = "e" + "\u0301" * 101
+#: Arabic presentation forms, letters and ligatures, and what they fold to.
+FORMS = {c: unicodedata.normalize("NFKC", c) for c in map(chr, (0xFB56, 0xFB8A, 0xFBFC, 0xFDF2, 0xFDFA, 0xFE8D, 0xFE91, 0xFECB, 0xFEDB, 0xFEE0, 0xFEF7, 0xFEFB))}
 #: A line budget below what any test table holds, so that targets bind.
 TOTAL = 1500
 
@@ -42,16 +47,23 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, text`` of all documents, with artifacts."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     put = lambda n, s: F.when(F.col("doc_id") % n == 0, s).otherwise("")
-    text = F.concat(put(11, T.BOM), put(13, "Привет мир "), put(7, "café" + T.NBSP), put(17, "ﻛ "), put(19, "∑ x ≤ y "), "text", put(5, T.SHY), put(23, "\r"))
+    form = F.element_at(F.array(*map(F.lit, FORMS)), (F.floor(F.col("doc_id") / 17) % len(FORMS) + 1).cast("int"))
+    text = F.concat(
+        put(11, T.BOM), put(13, "Привет мир "), put(7, "cafe\u0301" + T.NBSP), put(17, F.concat(form, F.lit(" "))), put(19, "∑ x ≤ y "), put(29, "a" + T.ZWSP + "b "),
+        put(31, "Ελλάδα και κόσμος "), put(37, "漢字 "), put(41, PILED + " "), "text", put(5, T.SHY), put(23, "\r"),
+    )
     return docs.select(F.concat_ws("/", "lang", "source", "doc_id").alias("path"), text.alias("text"))
 
 
+_FORM_LIST = "[" + ", ".join(f"'{c}'" for c in FORMS) + "]"
+_FORM = "regexp_extract({0}, '[" + "".join(FORMS) + "]')"
 _FILES = f"""
 files AS (
     SELECT concat_ws('/', lang, source, doc_id) AS path,
         (CASE WHEN doc_id % 11 = 0 THEN chr(65279) ELSE '' END) || (CASE WHEN doc_id % 13 = 0 THEN 'Привет мир ' ELSE '' END)
-        || (CASE WHEN doc_id % 7 = 0 THEN 'cafe' || chr(769) || chr(160) ELSE '' END) || (CASE WHEN doc_id % 17 = 0 THEN chr(65243) || ' ' ELSE '' END)
-        || (CASE WHEN doc_id % 19 = 0 THEN '∑ x ≤ y ' ELSE '' END) || text
+        || (CASE WHEN doc_id % 7 = 0 THEN 'cafe' || chr(769) || chr(160) ELSE '' END) || (CASE WHEN doc_id % 17 = 0 THEN {_FORM_LIST}[(doc_id // 17) % {len(FORMS)} + 1] || ' ' ELSE '' END)
+        || (CASE WHEN doc_id % 19 = 0 THEN '∑ x ≤ y ' ELSE '' END) || (CASE WHEN doc_id % 29 = 0 THEN 'a' || chr(8203) || 'b ' ELSE '' END)
+        || (CASE WHEN doc_id % 31 = 0 THEN 'Ελλάδα και κόσμος ' ELSE '' END) || (CASE WHEN doc_id % 37 = 0 THEN '漢字 ' ELSE '' END) || (CASE WHEN doc_id % 41 = 0 THEN 'e' || repeat(chr(769), 101) || ' ' ELSE '' END) || text
         || (CASE WHEN doc_id % 5 = 0 THEN chr(173) ELSE '' END) || (CASE WHEN doc_id % 23 = 0 THEN chr(13) ELSE '' END) AS text
     FROM documents
 ),
@@ -59,19 +71,28 @@ split AS (SELECT path, string_split(text, chr(10)) AS parts FROM files WHERE tex
 kept AS (SELECT path, CASE WHEN parts[len(parts)] = '' THEN parts[1:len(parts) - 1] ELSE parts END AS parts FROM split),
 numbered AS (SELECT path, unnest(range(1, len(parts) + 1)) AS line_number, unnest(parts) AS raw FROM kept),
 lines AS (SELECT path, line_number, CASE WHEN suffix(raw, chr(13)) THEN left(raw, length(raw) - 1) ELSE raw END AS line FROM numbered)"""
-_CANON = """,
-canon AS (
-    SELECT path, line_number, line, nfc_normalize(replace(replace(replace(replace(replace(
-        CASE WHEN suffix(line, chr(173)) THEN left(line, length(line) - 1) || '-' ELSE line END, chr(160), ' '), chr(173), ''), chr(65279), ''), chr(8203), ''), chr(65243), chr(1603))) AS text
+
+
+def _folded(text: str) -> str:
+    """At most one of the forms stands in a line."""
+    return f"CASE {_FORM.format(text)} " + " ".join(f"WHEN '{c}' THEN replace({text}, '{c}', '{to}')" for c, to in FORMS.items()) + f" ELSE {text} END"
+
+
+_CANON = f""",
+mapped AS (
+    SELECT path, line_number, line, replace(replace(replace(replace(
+        CASE WHEN suffix(line, chr(173)) THEN left(line, length(line) - 1) || '-' ELSE line END, chr(160), ' '), chr(173), ''), chr(65279), ''), chr(8203), '') AS text
     FROM lines
-)"""
+), canon AS (SELECT path, line_number, line, nfc_normalize({_folded("text")}) AS text FROM mapped)"""
 
 
 def _chunked(most: int) -> str:
-    """Pieces of every line: characters stand for clusters, as no long line here has a combining mark."""
+    """Pieces of every line: characters stand for clusters, as the only long cluster has no place to break in it, and is over the shorter limit."""
+    over = f"({most} < 203 AND contains(text, repeat(chr(769), 100)))"
     return f""",
+over AS (SELECT path, line_number FROM canon WHERE {over}),
 cut AS (
-    SELECT path, line_number, -1 AS chunk_index, NULL::VARCHAR AS text, text AS rest FROM canon WHERE strlen(text) > {most}
+    SELECT path, line_number, -1 AS chunk_index, NULL::VARCHAR AS text, text AS rest FROM canon WHERE strlen(text) > {most} AND NOT {over}
     UNION ALL
     SELECT path, line_number, chunk_index + 1, left(rest, size), substr(rest, size + 1) FROM (
         SELECT *, coalesce(list_max(list_filter(range(1, room + 1), lambda i: i < length(rest) AND regexp_matches(substr(rest, i, 1), '[\\s.,;:!?)\\]}}]'))), room) AS size FROM (
@@ -89,11 +110,11 @@ tokens AS (SELECT path, list_transform(list_filter(regexp_split_to_array(path, '
 hints AS (SELECT path, coalesce(list_filter(t, lambda x: list_contains({_LANGUAGES}, x))[1], 'unknown') AS language_hint,
     coalesce(list_filter(t, lambda x: NOT list_contains({_LANGUAGES}, x) AND strlen(x) >= 3)[1], 'unknown') AS source_group FROM tokens)"""
 _CLASSES = r""",
-scripts AS (SELECT *, len(regexp_extract_all(text, '\p{Arabic}')) AS ar, len(regexp_extract_all(text, '\p{Cyrillic}')) AS cy, len(regexp_extract_all(text, '\p{Latin}')) AS la FROM repaired),
+scripts AS (SELECT *, [len(regexp_extract_all(text, '\p{Arabic}')), len(regexp_extract_all(text, '\p{Cyrillic}')), len(regexp_extract_all(text, '\p{Greek}')), len(regexp_extract_all(text, '\p{Han}')), len(regexp_extract_all(text, '\p{Latin}'))] AS n FROM repaired),
 classified AS (
     SELECT s.path, line_number, chunk_index, text, language_hint, source_group,
         CASE WHEN regexp_matches(text, '[\\∑∫√≤≥]') THEN 'math' ELSE 'text' END AS domain,
-        CASE WHEN ar + cy + la = 0 THEN 'unknown' WHEN ar >= cy AND ar >= la THEN 'arabic' WHEN cy >= la THEN 'cyrillic' ELSE 'latin' END AS script,
+        CASE WHEN list_max(n) = 0 THEN 'unknown' ELSE ['arabic', 'cyrillic', 'greek', 'han', 'latin'][list_position(n, list_max(n))] END AS script,
         CASE WHEN length(text) <= 40 THEN 'short' WHEN length(text) <= 240 THEN 'normal' ELSE 'long' END AS length_bin
     FROM scripts s JOIN hints USING (path)
 )"""
@@ -101,13 +122,14 @@ _BUCKET = ", ".join(classify.BUCKET)
 _ORDER = "CASE domain WHEN 'text' THEN 0 ELSE 1 END, script, language_hint, source_group, CASE length_bin WHEN 'short' THEN 0 WHEN 'normal' THEN 1 ELSE 2 END"
 
 
-def _balanced() -> str:
+def _balanced(total: str | None = None) -> str:
     b = budget()
+    total = total or str(b.total_lines)
     return f""",
 counts AS (SELECT {_BUCKET}, count(*) AS lines FROM classified GROUP BY ALL),
 floors AS (SELECT *, CASE WHEN lines = 0 THEN 0 WHEN lines < {b.collapse_buckets_below_lines} THEN lines
     ELSE least(greatest(ceil(lines * {b.min_keep_fraction}::DOUBLE), ceil(lines / {b.max_downsample_ratio}::DOUBLE), 1), lines) END::BIGINT AS floor FROM counts),
-sums AS (SELECT sum(round(pow(lines, {b.alpha}::DOUBLE), 9)::DECIMAL(38, 9))::DOUBLE AS w, least({b.total_lines}, sum(lines))::BIGINT AS requested FROM counts),
+sums AS (SELECT sum(round(pow(lines, {b.alpha}::DOUBLE), 9)::DECIMAL(38, 9))::DOUBLE AS w, least({total}, sum(lines))::BIGINT AS requested FROM counts),
 smoothed AS (SELECT {_BUCKET}, lines, floor, requested, least(greatest(round(round(round(pow(lines, {b.alpha}::DOUBLE), 9) / w * requested, 9))::BIGINT, floor), lines)::BIGINT AS target FROM floors CROSS JOIN sums),
 placed AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS place, requested - sum(target) OVER () AS change FROM smoothed),
 more AS (SELECT place, change, unnest(range(1, lines - target + 1)) AS level FROM placed WHERE change > 0),
@@ -136,7 +158,9 @@ _UTF = (_CANON, _chunked(SHORT))
 
 def _log(most: int) -> str:
     return f"""
-SELECT 'canonicalized' AS id, 'fixed' AS action, path, line_number, 'line changed under configured canonicalization' AS reason FROM canon WHERE text <> line
+SELECT 'canonicalized' AS id, 'fixed' AS action, path, line_number, 'line changed under configured canonicalization' AS reason FROM canon ANTI JOIN over USING (path, line_number) WHERE text <> line
+UNION ALL
+SELECT 'max_sentence_length', 'skipped', path, line_number, 'canonicalized line has a grapheme cluster over max_sentence_length {most}' FROM over
 UNION ALL
 SELECT 'chunked_long_line', 'fixed', path, line_number, 'canonicalized line is ' || strlen(c.text) || ' byte(s), split into ' || n || ' chunk(s) at max_sentence_length {most}'
 FROM canon c JOIN (SELECT path, line_number, count(*) AS n FROM repaired GROUP BY ALL) USING (path, line_number) WHERE n > 1"""
@@ -172,7 +196,7 @@ def _utf8_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     content = F.when(F.col("doc_id") % 7 == 0, F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF")))).otherwise(F.encode("text", "UTF-8"))
     raw = lines.raw_lines(docs.select(F.concat_ws("/", "lang", "source", "doc_id").alias("path"), content.alias("content")))
-    return repair.issues(repair.process(raw, config())).where("id = 'invalid_utf8'").select("id", "action", "path", "line_number")
+    return repair.issues(repair.process(raw, config())).where("id = 'invalid_utf8'").select("id", "action", "path", "line_number", "reason")
 
 
 def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,8 +254,101 @@ def _unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select(F.regexp_extract("path", "^([0-9]+)!", 1).cast("long").alias("page_id"), F.length("content").cast("long").alias("n_bytes"), F.md5("content").alias("digest"))
 
 
+def _packed(spark: SparkSession, sf_dir: str, pack: Callable[[int, bytes], bytes]) -> tuple[DataFrame, DataFrame]:
+    """Texts and issues of the pages, each made unlike any other by its id and packed in its own way."""
+
+    def run(batches):
+        for batch in batches:
+            batch["content"] = [pack(int(p), bytes(c)) for p, c in zip(batch["path"], batch["content"])]
+            yield batch
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").cast("string").alias("path"), F.encode(F.concat("html", F.col("page_id").cast("string")), "UTF-8").alias("content"))
+    return source.discover(pages.mapInPandas(run, "path string, content binary"), logical=True, keep=True)
+
+
+def _page() -> Column:
+    return F.regexp_extract("path", "^([0-9]+)", 1).cast("long").alias("page_id")
+
+
+def _containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in archives and compressed files of every kind, in turn, unpacked."""
+    import bz2
+    import gzip
+    import io
+    import lzma
+    import tarfile
+    import zipfile
+
+    def pack(page: int, content: bytes) -> bytes:
+        out = io.BytesIO()
+        if page % 5 == 0:
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(zipfile.ZipInfo("a"), content)
+        elif page % 5 == 1:
+            with tarfile.open(fileobj=out, mode="w") as t:
+                info = tarfile.TarInfo("a")
+                info.size = len(content)
+                t.addfile(info, io.BytesIO(content))
+        else:
+            return [gzip, bz2, lzma][page % 5 - 2].compress(content)
+        return out.getvalue()
+
+    return _packed(spark, sf_dir, pack)[0].select(_page(), F.regexp_extract("path", "!/(.*)$", 1).alias("member"), F.length("content").cast("long").alias("n_bytes"), F.md5("content").alias("digest"))
+
+
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages compressed 14 to 19 times over: those beyond the limit of depth are issues."""
+    import gzip
+
+    def pack(page: int, content: bytes) -> bytes:
+        for _ in range(14 + page % 6):
+            content = gzip.compress(content, 1, mtime=0)
+        return content
+
+    texts, issues = _packed(spark, sf_dir, pack)
+    return texts.select(_page(), F.lit("text").alias("result")).unionByName(issues.select(_page(), F.col("id").alias("result")))
+
+
+def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages twice in an archive that ends within the second member: the first is kept, the archive is an issue."""
+    import io
+    import tarfile
+
+    def pack(page: int, content: bytes) -> bytes:
+        out = io.BytesIO()
+        with tarfile.open(fileobj=out, mode="w") as t:
+            for name in "ab":
+                info = tarfile.TarInfo(name)
+                info.size = len(content)
+                t.addfile(info, io.BytesIO(content))
+        return out.getvalue()[: -(-len(content) // 512) * 512 + 1024 + len(content) // 2]
+
+    texts, issues = _packed(spark, sf_dir, pack)
+    return texts.select(_page(), F.lit("text").alias("result")).unionByName(issues.select(_page(), F.col("id").alias("result")))
+
+
+def _source_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the issue log says of sources: pages as contents of every kind, of which most can't be read."""
+    blobs = _blobs(spark, sf_dir).select(F.col("page_id").cast("string").alias("path"), F.when(F.length("content") > 0, F.concat("content", F.encode(F.col("page_id").cast("string"), "UTF-8"))).otherwise(F.col("content")).alias("content"))
+    texts, issues = source.discover(blobs, logical=True, keep=True)
+    log = repair.issues(repair.process(lines.raw_lines(texts), config()), issues)
+    return log.where("line_number IS NULL").select("id", "action", "path", F.when(F.col("id") == "unsupported_file", F.col("reason")).alias("reason"))
+
+
+def _corpus_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts, _ = source.discover(files(spark, sf_dir).select("path", F.encode("text", "UTF-8").alias("content")))
+    return source.sizes(texts)
+
+
+def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets under a budget of nine tenths of the lines, which the shares of large buckets don't use up."""
+    counts, b = saved(classify.counts(classified(spark, sf_dir))), budget()
+    b.total_lines = (counts.agg(F.sum("lines")).first()[0] or 0) * 9 // 10
+    return balance.targets(counts, b)
+
+
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = _parts(spark, sf_dir).withColumn("name", F.regexp_replace(bucket_stem("train", F.col("part")), "-[0-9a-f]{8}$", ""))
+    named = _parts(spark, sf_dir).withColumn("name", bucket_stem("train", F.col("part")))
     return named.groupBy("name").agg(F.count("*").alias("lines"))
 
 
@@ -269,14 +386,14 @@ _ENTRIES: dict[str, tuple[Query, str | None]] = {
     "discovered_files": (_discovered, _sql("SELECT f.path, strlen(text) AS n_bytes, len(parts) AS lines FROM files f JOIN kept USING (path)")),
     "lines": (all_lines, _sql("SELECT path, line_number, line FROM lines")),
     "canonicalize": (_canonicalize, _sql("SELECT path, line_number, text, text <> line AS changed FROM canon", _CANON)),
-    "arabic_fold": (lambda s, d: all_lines(s, d).where(F.col("line").rlike(T.ARABIC)).select("path", "line_number", T.fold_arabic(F.col("line")).alias("text")), _sql("SELECT path, line_number, replace(line, chr(65243), chr(1603)) AS text FROM lines WHERE contains(line, chr(65243)) OR contains(line, chr(65279))")),
-    "needs_repair": (lambda s, d: all_lines(s, d).groupBy(T.needs_mapping(F.col("line")).alias("needs_mapping")).agg(F.count("*").alias("lines")), _sql("SELECT contains(line, chr(65279)) OR contains(line, chr(160)) OR contains(line, chr(173)) OR contains(line, chr(65243)) AS needs_mapping, count(*) AS lines FROM lines GROUP BY 1")),
+    "arabic_fold": (lambda s, d: all_lines(s, d).where(F.col("line").rlike(T.ARABIC)).select("path", "line_number", T.fold_arabic(F.col("line")).alias("text")), _sql(f"SELECT path, line_number, {_folded('line')} AS text FROM lines WHERE {_FORM.format('line')} <> '' OR contains(line, chr(65279))")),
+    "needs_repair": (lambda s, d: all_lines(s, d).groupBy(T.needs_mapping(F.col("line")).alias("needs_mapping")).agg(F.count("*").alias("lines")), _sql(f"SELECT contains(line, chr(65279)) OR contains(line, chr(8203)) OR contains(line, chr(160)) OR contains(line, chr(173)) OR {_FORM.format('line')} <> '' AS needs_mapping, count(*) AS lines FROM lines GROUP BY 1")),
     "idempotence_check": (_idempotence, _sql("SELECT text <> line AS changed, true AS stable, count(*) AS lines FROM canon GROUP BY 1, 2", _CANON)),
-    "utf8_filter": (_utf8_filter, "WITH d AS (SELECT concat_ws('/', lang, source, doc_id) AS path, string_split(text, chr(10)) AS parts FROM documents WHERE doc_id % 7 = 0 AND text IS NOT NULL) SELECT 'invalid_utf8' AS id, 'skipped' AS action, path, len(parts)::BIGINT AS line_number FROM d"),
+    "utf8_filter": (_utf8_filter, "WITH d AS (SELECT concat_ws('/', lang, source, doc_id) AS path, string_split(text, chr(10)) AS parts FROM documents WHERE doc_id % 7 = 0 AND text IS NOT NULL) SELECT 'invalid_utf8' AS id, 'skipped' AS action, path, len(parts)::BIGINT AS line_number, 'line is not valid UTF-8 from byte ' || strlen(parts[-1]) || ' on' AS reason FROM d"),
     "chunk_lines": (lambda s, d: repair.outputs(processed(s, d, SHORT)), _sql("SELECT path, line_number, chunk_index, text FROM repaired", *_UTF)),
     "issue_log": (lambda s, d: repair.issues(processed(s, d, SHORT)).drop("line_text"), _sql(_log(SHORT), *_UTF)),
     "issue_counts": (_issue_counts, _sql(f"SELECT id, action, count(*) AS issues FROM ({_log(SHORT)}) GROUP BY ALL", *_UTF)),
-    "repair_summary": (_summary, _sql(f"SELECT (SELECT count(*) FROM lines) AS lines_read, (SELECT count(*) FROM repaired) AS lines_written, (SELECT count(*) FROM ({_log(SHORT)})) AS lines_fixed, 0::BIGINT AS lines_skipped", *_UTF)),
+    "repair_summary": (_summary, _sql(f"SELECT (SELECT count(*) FROM lines) AS lines_read, (SELECT count(*) FROM repaired) AS lines_written, (SELECT count(*) FROM ({_log(SHORT)}) WHERE action = 'fixed') AS lines_fixed, (SELECT count(*) FROM over) AS lines_skipped", *_UTF)),
     "fixed_corpus": (lambda s, d: repair.outputs(processed(s, d)).orderBy("path", "line_number", "chunk_index"), _sql("SELECT * FROM repaired", *_REPAIRED)),
     "path_hints": (_hints, _sql("SELECT * FROM hints", _HINTS)),
     "classified_lines": (lambda s, d: classified(s, d).select("path", "line_number", "chunk_index", *classify.BUCKET), _sql(f"SELECT path, line_number, chunk_index, {_BUCKET} FROM classified", *_ALL)),
@@ -287,14 +404,20 @@ _ENTRIES: dict[str, tuple[Query, str | None]] = {
     "targets_final": (_targets, _sql("SELECT * FROM targets", *_ALL, _balanced())),
     "balanced_sample": (lambda s, d: _sampled(s, d).select("path", "line_number", "chunk_index", *classify.BUCKET), _sql(f"SELECT path, line_number, chunk_index, {_BUCKET} FROM sampled", *_ALL, _balanced())),
     "training_parts": (lambda s, d: _parts(s, d).select("path", "line_number", "chunk_index", "text", "part", "position", *classify.BUCKET), _sql(f"SELECT path, line_number, chunk_index, text, part, position, {_BUCKET} FROM parts", *_ALL, _balanced())),
-    "part_names": (_names, _sql("SELECT printf('train-%s-script_%s-lang_%s-source_%s-len_%s-part_%04d', domain, script, language_hint, source_group, length_bin, part + 1) AS name, count(*) AS lines FROM parts GROUP BY 1", *_ALL, _balanced())),
+    "part_names": (_names, _sql("SELECT printf('train-%s-script_%s-lang_%s-source_%s-len_%s-part_%04d-%s', domain, script, language_hint, source_group, length_bin, part + 1, left(sha256(printf('{\"domain\":\"%s\",\"script\":\"%s\",\"language_hint\":\"%s\",\"source_group\":\"%s\",\"length_bin\":\"%s\"}', domain, script, language_hint, source_group, length_bin)), 8)) AS name, count(*) AS lines FROM parts GROUP BY 1", *_ALL, _balanced())),
     "balance_report": (_report, _sql(f"SELECT {_BUCKET}, lines AS input_lines, target AS target_lines, coalesce(n, 0) AS output_lines FROM targets LEFT JOIN (SELECT {_BUCKET}, count(*) AS n FROM sampled GROUP BY ALL) USING ({_BUCKET})", *_ALL, _balanced())),
     "bucket_rollup": (lambda s, d: reports.rollup(classified(s, d)), _sql("SELECT domain, script, language_hint, count(*) AS lines FROM classified GROUP BY ROLLUP (domain, script, language_hint)", *_ALL)),
-    "axis_report": (lambda s, d: reports.axes(all_lines(s, d)), _sql(reports.AXES_SQL)),
+    "axis_report": (lambda s, d: reports.axes(all_lines(s, d)), _sql(reports.AXES_SQL.replace("FORM", _FORM.format("line")))),
     "sniff_kind": (_sniff, f"WITH b AS ({_BLOBS}) SELECT page_id, CASE page_id % 10 WHEN 0 THEN 'zip' WHEN 1 THEN 'gzip' WHEN 2 THEN 'bzip2' WHEN 3 THEN 'xz' WHEN 6 THEN 'tar' WHEN 4 THEN 'unsupported' WHEN 5 THEN 'unsupported' WHEN 7 THEN 'unsupported' ELSE CASE WHEN octet_length(content) = 0 THEN 'unsupported' ELSE 'text' END END AS kind FROM b"),
     "container_dedupe": (_dedupe, "SELECT 'archive_cycle' AS id, path, 'compressed content was already seen' AS reason FROM (SELECT concat_ws('/', lang, source, doc_id) AS path, row_number() OVER (PARTITION BY sha256(text) ORDER BY concat_ws('/', lang, source, doc_id)) AS n FROM documents WHERE text IS NOT NULL) WHERE n > 1"),
     "unpack_gzip": (_unpack, "SELECT page_id, n_bytes, digest FROM (SELECT page_id, strlen(html)::BIGINT AS n_bytes, md5(html) AS digest, row_number() OVER (PARTITION BY html ORDER BY page_id::VARCHAR) AS n FROM pages WHERE html <> '') WHERE n = 1"),
-    "streaming_bucket_counts": (reports.streamed, "SELECT 'text' AS domain, 'latin' AS script, 'unknown' AS language_hint, CASE WHEN length(text) <= 40 THEN 'short' WHEN length(text) <= 240 THEN 'normal' ELSE 'long' END AS length_bin, count(*) AS lines FROM (SELECT unnest(string_split(text, chr(10))) AS text FROM benchmark) WHERE text <> '' GROUP BY ALL"),
+    "unpack_containers": (_containers, "SELECT page_id, ['a', 'a', 'gzip', 'bzip2', 'xz'][page_id % 5 + 1] AS member, strlen(html || page_id)::BIGINT AS n_bytes, md5(html || page_id) AS digest FROM pages WHERE html IS NOT NULL"),
+    "archive_depth": (_nested, "SELECT page_id, CASE WHEN 14 + page_id % 6 <= 16 THEN 'text' ELSE 'archive_depth_exceeded' END AS result FROM pages WHERE html IS NOT NULL"),
+    "broken_archives": (_broken, "SELECT page_id, unnest(['text', 'archive_read_failed']) AS result FROM pages WHERE html IS NOT NULL"),
+    "source_issues": (_source_issues, "SELECT CASE WHEN page_id % 10 IN (4, 5, 7) THEN 'unsupported_file' ELSE 'archive_read_failed' END AS id, 'skipped' AS action, page_id::VARCHAR AS path, CASE page_id % 10 WHEN 4 THEN 'empty file' WHEN 5 THEN 'not recognized as text, archive, or compressed text' WHEN 7 THEN 'not recognized as text, archive, or compressed text' END AS reason FROM pages WHERE html IS NOT NULL AND page_id % 10 < 8"),
+    "corpus_bytes": (_corpus_bytes, _sql("SELECT count(*) AS files, coalesce(sum(strlen(text)), 0)::BIGINT AS n_bytes FROM files WHERE text <> ''")),
+    "targets_filled": (_filled, _sql("SELECT * FROM targets", *_ALL, _balanced("(SELECT sum(lines) * 9 // 10 FROM counts)"))),
+    "streaming_bucket_counts": (lambda s, d: reports.streamed(all_lines(s, d)), _sql("SELECT domain, script, length_bin, count(*) AS lines FROM classified GROUP BY ALL", *_ALL)),
 }
 
 

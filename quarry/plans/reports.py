@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import effective
 from ..functions import text as T
-from ..operators.classify import BUCKET
 from ..runtime import scratch
-from ..streaming import bucket_counts
+from ..streaming import bucket_counts, read_stream
 
 #: Lines that each rule of canonicalization touches.
 AXES = {
@@ -23,7 +22,7 @@ AXES = {
 AXES_SQL = """
 SELECT split_part(path, '/', 2) AS source, axis, count(*) FILTER (hit) AS lines FROM (
     SELECT path, unnest(['byte_order_mark', 'zero_width_space', 'no_break_space', 'soft_hyphen', 'arabic_forms', 'combining_marks']) AS axis,
-        unnest([contains(line, chr(65279)), contains(line, chr(8203)), contains(line, chr(160)), contains(line, chr(173)), contains(line, chr(65243)), contains(line, chr(769))]) AS hit FROM lines)
+        unnest([contains(line, chr(65279)), contains(line, chr(8203)), contains(line, chr(160)), contains(line, chr(173)), FORM <> '', contains(line, chr(769))]) AS hit FROM lines)
 GROUP BY ALL"""
 
 
@@ -38,21 +37,23 @@ def rollup(classified: DataFrame) -> DataFrame:
     return classified.rollup("domain", "script", "language_hint").agg(F.count("*").alias("lines"))
 
 
-def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark lines written as text, read as a stream, repaired and counted by bucket."""
+def streamed(lines: DataFrame) -> DataFrame:
+    """Lines written as text files, read as a stream, repaired and counted by what doesn't depend on the files' names.
+
+    Returns when the stream has taken all files, however long that is; its failure is raised.
+    """
+    spark = lines.sparkSession
     at = scratch(spark)
-    spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("text <> ''").select(F.col("text").alias("value")).write.text(f"{at}/in")
+    lines.select(F.col("line").alias("value")).write.text(f"{at}/in")
     config = effective({"corpus": {"path": at}, "output": {"work_dir": at, "model_prefix": "m"}})
-    lines = (
-        spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", 1000).text(f"{at}/in")
-        .where("value <> ''").select(F.lit("stream").alias("path"), F.xxhash64("value").alias("line_number"), F.col("value").alias("line"))
-    )
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{at}/out")
 
-    query = bucket_counts(lines, config).writeStream.outputMode("complete").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).foreachBatch(write).start()
-    query.awaitTermination(600)
-    out = spark.read.parquet(f"{at}/out")
-    rows = out.groupBy(*[c for c in BUCKET if c != "source_group"]).agg(F.sum("lines").alias("lines"))
-    return rows
+    counts = bucket_counts(read_stream(spark, f"{at}/in"), config).writeStream.outputMode("complete").option("checkpointLocation", f"{at}/state")
+    query = counts.trigger(availableNow=True).foreachBatch(write).start()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    out = spark.read.schema("domain string, script string, language_hint string, source_group string, length_bin string, lines bigint").parquet(f"{at}/out")
+    return out.groupBy("domain", "script", "length_bin").agg(F.sum("lines").alias("lines"))

@@ -9,6 +9,7 @@ import hashlib
 import io
 import lzma
 import os
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
@@ -64,7 +65,7 @@ def sniff_column(content: Column) -> Column:
     for name, starts in _MAGIC:
         kind = kind.when(digits.rlike("^(" + "|".join(s.hex().upper() for s in starts) + ")"), name)
     kind = kind.when(F.hex(F.substring(content, _TAR_AT + 1, 5)) == b"ustar".hex().upper(), "tar")
-    text = F.when(F.length(content) > SNIFF, F.try_validate_utf8(head.cast("string"))).otherwise(F.try_validate_utf8(head.cast("string")))
+    text = F.try_validate_utf8(head.cast("string"))
     for back in (1, 2, 3):
         text = F.coalesce(text, F.when(F.length(content) > SNIFF, F.try_validate_utf8(F.substring(content, 1, SNIFF - back).cast("string"))))
     plain = text.isNotNull() & ~F.contains(text, F.lit("\0")) & (F.regexp_count(text, F.lit("[\\p{Cc}&&[^\\n\\r\\t]]")) * 20 <= F.length(text))
@@ -75,7 +76,7 @@ def _ignored(rules: list[tuple[str, list[str]]], path: str, folder: bool) -> boo
     """Ignore files of the folders above, nearer ones and later lines last; ``!`` takes back."""
     out = False
     for root, lines in rules:
-        below = os.path.relpath(path, root)
+        below = os.path.relpath(os.path.abspath(path), root) if os.path.isabs(root) else os.path.relpath(path, root)
         for line in lines:
             wanted, take = (line[1:], False) if line.startswith("!") else (line, True)
             if wanted.endswith("/") and not folder:
@@ -96,9 +97,24 @@ def _rules(folder: str) -> list[tuple[str, list[str]]]:
     return found
 
 
+def _above(root: str) -> list[tuple[str, list[str]]]:
+    """Rules of the folders above, farthest first, and the excludes of the repository that the folder lies in."""
+    found, folder = [], os.path.abspath(root)
+    while True:
+        exclude = os.path.join(folder, ".git", "info", "exclude")
+        if os.path.isfile(exclude):
+            with open(exclude, encoding="utf-8", errors="replace") as f:
+                found.append((folder, [x.strip() for x in f if x.strip() and not x.startswith("#")]))
+        parent = os.path.dirname(folder)
+        if parent == folder:
+            return found[::-1]
+        found += _rules(parent)[::-1]
+        folder = parent
+
+
 def walk(root: str) -> list[str]:
-    """Regular files below a folder, sorted; hidden ones and those that ignore files name are left out."""
-    out, todo = [], [(root, [])]
+    """Regular files below a folder, sorted; hidden ones and those that ignore files name, also those of folders above, are left out."""
+    out, todo = [], [(root, _above(root))]
     while todo:
         folder, rules = todo.pop()
         rules = rules + _rules(folder)
@@ -142,9 +158,8 @@ def _plain(files: DataFrame) -> DataFrame:
 
 
 def _uri(path: str) -> str:
-    for sign in "{}[]*?\\":  # Spark reads these as patterns
-        path = path.replace(sign, "?") if sign in "{}[]" else path
-    return path
+    """The path with what Spark reads as a pattern made literal."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def _members(kind: str, content: bytes, path: str) -> Iterator[tuple[int, str, bytes]]:
@@ -162,44 +177,52 @@ def _members(kind: str, content: bytes, path: str) -> Iterator[tuple[int, str, b
         yield 0, kind, {"gzip": gzip, "bzip2": bz2, "xz": lzma}[kind].decompress(content)
 
 
-def unpack(path: str, content: bytes, depth: int = 0, logical: bool = False, strict: bool = False, seen: set[str] | None = None) -> Iterator[tuple[str, bytes | None, str | None, str | None]]:
-    """``(path, content, None, None)`` for each text in a file and ``(path, None, issue, reason)`` for what isn't read.
+Unpacked = tuple[str, bytes | None, str | None, str | None, list[int]]
+
+
+def unpack(path: str, content: bytes, depth: int = 0, logical: bool = False, strict: bool = False, seen: dict[str, int] | None = None, above: tuple[int, ...] = ()) -> Iterator[Unpacked]:
+    """``(path, content, None, None, above)`` for each text in a file and ``(path, None, issue, reason, above)`` for what isn't read.
 
     Members read before an archive breaks are kept.  A member's path is the hash
     of container, index and name, or the two joined by ``!/`` if ``logical``.
-    All streams of a compressed file are read.
+    All streams of a compressed file are read.  ``seen`` gets the digest of every
+    container with its number, and ``above`` has the numbers of those around a row;
+    a container comes as a row ``(path, None, digest, kind of container, above)``
+    whose last number is its own.
     """
     if depth > DEPTH:
-        yield path, None, "archive_depth_exceeded", f"archive nesting exceeded depth limit {DEPTH}"
+        yield path, None, "archive_depth_exceeded", f"archive nesting exceeded depth limit {DEPTH}", list(above)
         return
     kind, reason = sniff(content, strict)
     if kind == "text":
-        yield path, content, None, None
+        yield path, content, None, None, list(above)
     elif kind == "unsupported":
-        yield path, None, "unsupported_file", reason
+        yield path, None, "unsupported_file", reason, list(above)
     else:
-        digest = hashlib.sha256(content).hexdigest()
-        if seen is not None:
-            if digest in seen:
-                yield path, None, "archive_cycle", ("archive" if kind in ("zip", "tar") else "compressed") + " content was already seen"
-                return
-            seen.add(digest)
+        digest, seen = hashlib.sha256(content).hexdigest(), {} if seen is None else seen
+        word = "archive" if kind in ("zip", "tar") else "compressed"
+        if digest in seen:
+            yield path, None, "archive_cycle", f"{word} content was already seen", list(above)
+            return
+        seen[digest] = len(seen)
+        above = (*above, seen[digest])
+        yield path, None, digest, word, list(above)
         try:
             for k, name, inner in _members(kind, content, path):
                 below = f"{path}!/{name}" if logical else hashlib.sha256(f"{path}:{k}:{name}".encode()).hexdigest()
-                yield from unpack(below, inner, depth + 1, logical, strict, seen)
+                yield from unpack(below, inner, depth + 1, logical, strict, seen, above)
         except (OSError, EOFError, ValueError, RuntimeError, NotImplementedError, zipfile.BadZipFile, tarfile.TarError, lzma.LZMAError, zipfile.LargeZipFile) as error:
-            yield path, None, "archive_read_failed", str(error) or type(error).__name__
+            yield path, None, "archive_read_failed", str(error) or type(error).__name__, list(above)
 
 
 def discover(files: DataFrame, logical: bool = False, strict: bool = False, keep: bool = False) -> tuple[DataFrame, DataFrame]:
     """Texts ``path, content`` and issues ``id, path, reason`` of ``path, content``.
 
-    Texts pass by as they are, in the JVM.  Of containers with equal content the
-    first by path is unpacked, in Arrow batches; the others are issues.  Within a
-    container, containers already seen there are issues as well.  With ``keep`` the
-    unpacked rows are written to the shared folder, so that texts and issues, and
-    all that follows, unpack once.
+    Texts pass by as they are, in the JVM.  Of containers with equal content, at any
+    depth of any file, the first is unpacked, in the order of the files' paths and of
+    members; the others are issues.  Files are unpacked in Arrow batches, those of
+    equal content once.  With ``keep`` the unpacked rows are written to the shared
+    folder, so that texts and issues, and all that follows, unpack once.
     """
     reachable(files.sparkSession)
     kinds = files.where(F.col("content").isNotNull()).withColumn("kind", sniff_column(F.col("content")))
@@ -212,15 +235,29 @@ def discover(files: DataFrame, logical: bool = False, strict: bool = False, keep
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
-                for row in unpack(path, bytes(content), 0, logical, strict, set()):
-                    yield pd.DataFrame([row], columns=["path", "content", "id", "reason"])
+                for row in unpack(path, bytes(content), 0, logical, strict):
+                    yield pd.DataFrame([(path, *row)], columns=["top", "path", "content", "id", "reason", "above"])
 
-    unpacked = other.where("n = 1").select("path", "content").mapInPandas(run, "path string, content binary, id string, reason string")
+    unpacked = other.where("n = 1").select("path", "content").mapInPandas(run, "top string, path string, content binary, id string, reason string, above array<int>")
     if keep:
         unpacked = saved(unpacked)
-    found = unpacked.where("id IS NULL").select("path", "content")
-    issues = unpacked.where("id IS NOT NULL").select("id", "path", "reason")
-    return texts.unionByName(found), cycles.unionByName(issues)
+    container = F.col("content").isNull() & (F.length("id") == 64)
+    # A container that stands before in another file is an issue, and what it holds isn't read from it.
+    inside = unpacked.where(container).select("top", "path", F.col("id").alias("digest"), F.col("reason").alias("word"), "above", F.element_at("above", -1).alias("own"))
+    first = inside.groupBy("digest").agg(F.min(F.struct("top", "own")).alias("first"))
+    again = inside.join(first, "digest").where((F.col("first.top") != F.col("top")) | (F.col("first.own") != F.col("own")))
+    gone = again.groupBy("top").agg(F.collect_set("own").alias("gone"))  # containers of one file, which is held by one task anyway
+    left = unpacked.where(~container).join(gone, "top", "left").where(~F.coalesce(F.arrays_overlap("above", "gone"), F.lit(False)))
+    outer = again.join(gone, "top").where(~F.arrays_overlap(F.slice("above", 1, F.size("above") - 1), "gone"))
+    nested = outer.select(F.lit("archive_cycle").alias("id"), "path", F.concat("word", F.lit(" content was already seen")).alias("reason"))
+    found = left.where("id IS NULL").select("path", "content")
+    issues = left.where("id IS NOT NULL").select("id", "path", "reason")
+    return texts.unionByName(found), cycles.unionByName(issues).unionByName(nested)
+
+
+def sizes(texts: DataFrame) -> DataFrame:
+    """One row: how many texts there are, and their bytes."""
+    return texts.agg(F.count("*").alias("files"), F.coalesce(F.sum(F.length("content")), F.lit(0)).cast("long").alias("n_bytes"))
 
 
 def read_lines_text(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ from quarry.config import effective
 from quarry.control import Cancelled, cancellable
 from quarry.plans import corpus
 from quarry.sources import files
-from quarry.train import TrainerError
+from quarry.train import TrainerError, train
 
 
 def zipped(**members):
@@ -167,3 +167,48 @@ def test_cancelling(spark):
     with pytest.raises(Cancelled), cancellable(spark):
         signal.raise_signal(signal.SIGINT)
     assert spark.range(3).count() == 3
+
+
+def test_names_that_look_like_patterns_are_read_once(spark, tmp_path):
+    for name in ("a[1].txt", "a1.txt", "a(1).txt", "b*.txt", "bb.txt", "c?.txt", "cc.txt", "{d,e}.txt", "d.txt", "f g%20.txt"):
+        (tmp_path / name).write_text(name)
+    texts, _ = found(spark, tmp_path)
+    assert sorted(c.decode() for _, c in texts) == sorted(x.name for x in tmp_path.iterdir())
+    assert [c for _, c in found(spark, tmp_path / "b*.txt")[0]] == [b"b*.txt"]
+
+
+def test_ignore_files_of_folders_above(tmp_path):
+    (tmp_path / ".git" / "info").mkdir(parents=True)
+    (tmp_path / ".git" / "info" / "exclude").write_text("# no comments\n*.tmp\n")
+    (tmp_path / ".gitignore").write_text("*.log\n")
+    root = tmp_path / "in" / "corpus"
+    root.mkdir(parents=True)
+    for name in ("a.txt", "b.log", "c.tmp", "d.log"):
+        (root / name).write_text("x")
+    (root / ".ignore").write_text("!d.log\n")
+    assert [f.rsplit("/", 1)[1] for f in files.walk(str(root))] == ["a.txt", "d.log"]
+
+
+def test_a_trainer_that_is_not_there_or_hangs(tmp_path):
+    part = tmp_path / "part.txt"
+    part.write_text("x\n")
+    config = effective({"corpus": {"path": str(tmp_path)}, "output": {"work_dir": str(tmp_path), "model_prefix": "m"}})
+    config.sentencepiece.python.runner = str(tmp_path / "nothing")
+    with pytest.raises(TrainerError, match="can't be started"):
+        train(config, [str(part)])
+    assert json.loads((tmp_path / "trainer_output.json").read_text())["status"] == "failed"
+    config.sentencepiece.python.runner = "python"
+    config.sentencepiece.python.args = ["-c", "import sys, time; print('on its way', flush=True); time.sleep(60)"]
+    with pytest.raises(TrainerError, match="stopped after 2"):
+        train(config, [str(part)], timeout=2)
+    assert json.loads((tmp_path / "trainer_output.json").read_text())["stdout"] == ["on its way"]
+
+
+def test_an_equal_archive_within_another_is_unpacked_once(spark, tmp_path):
+    inner = zipped(x=b"inside")
+    (tmp_path / "1").write_bytes(zipped(a=inner, b=b"first"))
+    (tmp_path / "2").write_bytes(zipped(a=inner, c=b"second"))
+    (tmp_path / "3").write_bytes(inner)
+    texts, issues = found(spark, tmp_path)
+    assert sorted(c for _, c in texts) == [b"first", b"inside", b"second"]
+    assert [i for i, _, _ in issues] == ["archive_cycle", "archive_cycle"]
