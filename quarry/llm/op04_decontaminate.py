@@ -3,11 +3,11 @@
 A window of a document is as long as the item that it is held against; a document
 that is shorter than the item is one window.  Only
 windows that hold enough of the benchmark's word shingles can reach the wanted
-similarity, by a bound that loses none.  Each gets a weighted SimHash of 64 bits;
-an index of its eight bytes, entered under all bytes within the block radius,
-finds every item within the Hamming radius.  Those candidates are verified by
-their exact weighted shingle similarity, with weights from counts over the whole
-corpus.
+similarity, by a bound that loses none.  Each gets a SimHash of 64 bits, in which a
+shingle weighs as often as it stands; an index of its eight bytes, entered under all
+bytes within the block radius, finds every item within the Hamming radius.  Those
+candidates are verified by their exact weighted shingle similarity: a shingle of the
+item weighs by how many documents of the whole corpus have it, any other 1.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..runtime import arrow_map
-from .census import SLICE, texts
-from .frames import saved, sized, table
+from .census import SLICE, partitions, texts
+from .frames import dropped, saved, sized, table
 from .textkit import Words, _ranges, data_of, mix, slices, words_of
 
 #: Words of a shingle, least weighted similarity, and Hamming radius of 64 bits.
@@ -53,24 +53,25 @@ def weights(counts: np.ndarray) -> np.ndarray:
 
 
 def similarity(a: np.ndarray, b: np.ndarray, weigh) -> float:
-    """Weighted Jaccard similarity of two multisets of shingles."""
+    """Weighted Jaccard similarity of two multisets of shingles; what isn't in the second weighs 1."""
     x, cx = np.unique(a, return_counts=True)
     y, cy = np.unique(b, return_counts=True)
     every = np.union1d(x, y)
     p, q = np.zeros(len(every)), np.zeros(len(every))
     p[np.searchsorted(every, x)], q[np.searchsorted(every, y)] = cx, cy
-    w = weigh(every)
+    w = np.where(q > 0, weigh(every), 1.0)
     whole = (w * np.maximum(p, q)).sum()
     return float((w * np.minimum(p, q)).sum() / whole) if whole else 0.0
 
 
-def signs(grams: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.where(mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5))[:, None] >> _BITS & np.uint64(1), w[:, None], -w[:, None])
+def signs(grams: np.ndarray) -> np.ndarray:
+    """1 or -1 for each of 64 bits of each shingle."""
+    return ((mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5))[:, None] >> _BITS & np.uint64(1)) * np.uint64(2)).astype(np.int32) - np.int32(1)
 
 
 def simhash(sums: np.ndarray) -> np.ndarray:
-    """Fingerprints of rows of 64 sums; rounding keeps sums that cancel out from depending on their order."""
-    return np.packbits(np.round(sums, 9) > 0, axis=-1, bitorder="little").view("<u8")[..., 0]
+    """Fingerprints of rows of 64 sums."""
+    return np.packbits(sums > 0, axis=-1, bitorder="little").view("<u8")[..., 0]
 
 
 class Items:
@@ -84,7 +85,7 @@ class Items:
         self.ids, self.words, self.sets, self.known, self.radius = ids, words, sets, known, radius
         self.weight = weights(counts)
         self.whole = [float(self.weigh(s).sum()) for s in sets]
-        self.prints = np.array([simhash(signs(s, self.weigh(s)).sum(axis=0)) for s in sets], np.uint64)
+        self.prints = np.array([simhash(signs(s).sum(axis=0)) for s in sets], np.uint64)
         near = np.array([v for v in range(256) if v.bit_count() <= radius // _BLOCKS])
         self.by_size: dict[int, np.ndarray] = {}
         self.index: dict[int, np.ndarray] = {}
@@ -114,15 +115,13 @@ class Items:
         found = index[0, blocks[:, 0]]
         for b in range(1, _BLOCKS):
             found = found | index[b, blocks[:, b]]
-        any_ = np.bitwise_or.reduce(found, axis=0)
+        some = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(found, axis=0).astype("<u8").view(np.uint8), bitorder="little"))
         out = []
-        for place, k in enumerate(self.by_size[n].tolist()):
-            bit = np.uint64(1 << place % 64)
-            if any_[place // 64] & bit:
-                mine = np.flatnonzero(found[:, place // 64] & bit)
-                mine = mine[np.bitwise_count(prints[mine] ^ self.prints[k]) <= self.radius]
-                if len(mine):
-                    out.append((k, mine))
+        for place, k in zip(some.tolist(), self.by_size[n][some].tolist()):
+            mine = np.flatnonzero(found[:, place // 64] & np.uint64(1 << place % 64))
+            mine = mine[np.bitwise_count(prints[mine] ^ self.prints[k]) <= self.radius]
+            if len(mine):
+                out.append((k, mine))
         return out
 
 
@@ -214,6 +213,7 @@ def _counts(regions: DataFrame, size: int) -> np.ndarray:
 
 
 def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
+    """The matches, saved; the items leave the executors with it."""
     shared = regions.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +224,6 @@ def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
                 grams = np.frombuffer(blob, np.uint64)
                 at = items.places(grams)
                 w = np.where(at >= 0, items.weight[at], 1.0)
-                weight = np.concatenate([[0.0], np.cumsum(w)])
                 sums = None
                 for words in items.index:
                     n = max(1, words - SHINGLE + 1)
@@ -234,14 +233,17 @@ def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
                     short = max(0, n - len(grams))
                     n -= short
                     if sums is None:
-                        sums = np.concatenate([np.zeros((1, 64)), np.cumsum(signs(grams, w), axis=0)])
+                        sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(signs(grams), axis=0, dtype=np.int32)])
                     for k, mine in items.near(words, simhash(sums[start + n] - sums[start])):
                         begin = start[mine]
                         # Shared weight is at most that of the window's shingles that the item has: the best bound is verified first.
-                        held = np.concatenate([[0.0], np.cumsum(np.where(np.isin(grams, items.sets[k]), w, 0.0))])
+                        has = np.isin(grams, items.sets[k])
+                        held = np.concatenate([[0.0], np.cumsum(np.where(has, w, 0.0))])
+                        rest = np.concatenate([[0], np.cumsum(~has)])
                         most = held[begin + n] - held[begin]
+                        whole_window = most + rest[begin + n] - rest[begin]
                         most = np.minimum(most, items.whole[k])
-                        bound = most / np.maximum(items.whole[k] + weight[begin + n] - weight[begin] - most, 1e-12) + 1e-9
+                        bound = most / np.maximum(items.whole[k] + whole_window - most, 1e-12) + 1e-9
                         best, where = least - 1e-9, -1
                         for i in np.lexsort((begin, -np.round(bound, 6))).tolist():
                             if bound[i] + 1e-6 < best:
@@ -254,7 +256,9 @@ def _matches(regions: DataFrame, items: Items, least: float) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _MATCHES_ARROW)], schema=_MATCHES_ARROW)
 
-    return arrow_map(regions.where("counts IS NULL").select("doc_id", "start_word", "whole", "grams").repartition(regions.sparkSession.sparkContext.defaultParallelism), run, _MATCHES)
+    found = saved(arrow_map(regions.where("counts IS NULL").select("doc_id", "start_word", "whole", "grams").repartition(partitions(regions)), run, _MATCHES))
+    shared.destroy()
+    return found
 
 
 def _within(docs: DataFrame, items: list[tuple[int, int, np.ndarray]]) -> DataFrame:
@@ -285,6 +289,22 @@ def _within(docs: DataFrame, items: list[tuple[int, int, np.ndarray]]) -> DataFr
     return arrow_map(texts(docs), run, _MATCHES)
 
 
+def _groups(rows: DataFrame, most: int, within: bool) -> Iterator[tuple[list, list]]:
+    """Short items, and the others, of as many consecutive rows as have ``most`` shingles; one group is held at a time."""
+    small, group, held = [], [], 0
+    for row in rows.toLocalIterator():
+        w = words_of(*data_of(pa.array([row["text"]], pa.string())))
+        if len(w.hash):
+            grams, _ = shingles(w, SHINGLE)
+            if held and held + len(grams) > most:
+                yield small, group
+                small, group, held = [], [], 0
+            (small if within and len(w.hash) < SHINGLE else group).append((row["item_id"], len(w.hash), grams))
+            held += len(grams)
+    if held:
+        yield small, group
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS, item_shingles: int = ITEM_SHINGLES, within: bool = False) -> DataFrame:
     """``(doc_id, item_id, similarity, start_word, n_words)``: the best window of each document for each item that it reaches ``least`` for.
 
@@ -295,43 +315,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     ``radius`` bits of 64 from an item's fingerprint are not compared with it.
     Rows without an id or a text, and texts or items without a word, match
     nothing; equal similarities go to the earlier window; rows that repeat an id
-    are one document.  An empty table or benchmark gives no rows.  The benchmark
-    is read to the driver in parts of ``item_shingles`` shingles, each with a
-    pass over the documents of its own.
+    are one document; very long texts are taken whole, and other columns aren't read.
+    An empty table or benchmark gives no rows.  The benchmark
+    is read to the driver in parts of ``item_shingles`` shingles, one at a time, each
+    with a pass over the documents of its own; results don't depend on the parts.
     """
     spark = docs.sparkSession
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
-    groups: list[list[tuple[int, int, np.ndarray]]] = [[]]
-    small: list[tuple[int, int, np.ndarray]] = []
-    held = 0
-    for row in rows.toLocalIterator():
-        raw, off = data_of(pa.array([row["text"]], pa.string()))
-        w = words_of(raw, off)
-        if len(w.hash):
-            grams, _ = shingles(w, SHINGLE)
-            if within and len(w.hash) < SHINGLE:
-                small.append((row["item_id"], len(w.hash), grams))
-                continue
-            if held and held + len(grams) > item_shingles:
-                groups.append([])
-                held = 0
-            groups[-1].append((row["item_id"], len(w.hash), grams))
-            held += len(grams)
-    out = _within(docs, small) if small else spark.createDataFrame([], _MATCHES)
-    for group in groups:
+    out = spark.createDataFrame([], _MATCHES)
+    for small, group in _groups(rows, item_shingles, within):
+        if small:
+            out = out.unionByName(_within(docs, small))
         if group:
             ids, words, sets = (list(x) for x in zip(*group))
             known = np.unique(np.concatenate(sets))
             regions = _regions(docs, known, sorted({len(s) for s in sets}), least)
             out = out.unionByName(_matches(regions, Items(ids, words, sets, known, _counts(regions, len(known)), radius), least))
+            dropped(regions)
     return out.groupBy("doc_id", "item_id").agg(F.min_by(F.struct("similarity", "start_word", "n_words"), F.struct(-F.col("similarity"), F.col("start_word"))).alias("m")).select("doc_id", "item_id", "m.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS, within: bool = False) -> DataFrame:
     """The rows of ``docs`` whose document matches no item, in the same columns; rows without an id stay."""
-    found = sized(contaminated(docs, benchmark, least, radius, within=within).select(F.col("doc_id").alias("__leak")).distinct())
-    return docs.join(found, docs["doc_id"] == found["__leak"], "left_anti")
+    found = sized(contaminated(docs, benchmark, least, radius, within=within).select(F.col("doc_id").alias("leak")).distinct())
+    return docs.join(found, docs["doc_id"] == found["leak"], "left_anti")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best window of every document and benchmark item at a similarity of 0.6, short items included; edge cases as in ``contaminated``."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), within=True)

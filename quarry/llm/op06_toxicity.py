@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +15,8 @@ from .frames import table
 from .textkit import _BYTE, _LOWER, _ROOT, _ROOT_INV, Words, _powers, data_of, mix, slices, words_of
 from .trees import Forest, boosted, isotonic
 
-#: At most this many labelled documents a class are gathered to fit the model.
-TRAIN_A_CLASS = 2000
+#: At most this many labelled documents, and bytes of them, a class are gathered to fit the model.
+TRAIN_A_CLASS, TRAIN_BYTES = 2000, 32 << 20
 #: Words within which second person and insult count as near.
 NEAR = 5
 #: Bytes of the beginnings of words that are learned beside whole words.
@@ -141,7 +141,7 @@ def features(raw: np.ndarray, off: np.ndarray, lex: Lexicon) -> np.ndarray:
             hidden[d] = max(0, hits - int(insult[owner == d].sum()))
     hits = per(insult)
     return np.stack([
-        per(strong) / words, per(weak) / words, per(learned) / words, np.minimum(hits + hidden, 20), per(you) / words,
+        per(strong) / words, per(weak) / words, per(learned) / words, hits + hidden, per(you) / words,
         np.bincount(owner[insult][near], minlength=n) / words, _per_text(upper, off) / letters, _per_text(shout, off) / letters,
         _per_text(bang, off) / size, _per_text(ask, off) / size, _per_text(punct, off) / size, _per_text(run, off) / size,
         disguised / words, hidden / words, np.log1p(count), _per_text(high, off) / size,
@@ -209,8 +209,8 @@ def fit(texts: pa.Array, y: np.ndarray, weight: np.ndarray) -> Model:
     return Model(lex, forest, *isotonic(forest.sums(_features(texts.filter(pa.array(use)), lex)), y[use], weight[use]))
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_A_CLASS) -> Model | None:
-    """A model from up to ``most`` labelled documents a class, taken in the order of a hash of their ids; None without labels."""
+def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_A_CLASS, most_bytes: int = TRAIN_BYTES) -> Model | None:
+    """A model from up to ``most`` labelled documents and ``most_bytes`` bytes a class (one document at least), taken in the order of a hash of their ids; None without labels."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not totals:
@@ -219,9 +219,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_A_CLASS) -> Mode
     for y in sorted(totals):
         own = known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = own if chosen is None else chosen.unionByName(own)
-    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("toxic").alias("__toxic"))
-    # At most two times ``most`` ids are broadcast.
-    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["__id"]).where(docs["text"].isNotNull()).select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), chosen["__toxic"].alias("toxic")).toArrow()
+    chosen = chosen.select(F.col("doc_id").alias("id"), F.col("toxic").alias("y"))
+    # At most two times ``most`` ids are broadcast; of their texts no more come back than the bytes allow.
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["id"]).where(docs["text"].isNotNull()).select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), chosen["y"].alias("toxic"))
+    within = F.sum(F.octet_length("text").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumns({"within": within, "n": F.row_number().over(order)}).where((F.col("n") == 1) | (F.col("within") <= most_bytes)).drop("within", "n").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
     y = rows.column("toxic").to_numpy().astype(float)
     if not len(y):
@@ -263,4 +266,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, limit: float = 0.5, most: int =
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of toxicity of every document, by a model of the tables' labels; edge cases as in ``toxicity``."""
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import ready
-from .frames import table
+from .frames import free, table
 from .textkit import data_of, slices
 
-#: At most this many labelled documents a language are gathered to fit the machines.
-TRAIN_A_LANGUAGE = 400
+#: At most this many labelled documents, and bytes of them, a language are gathered to fit the machines; one document at least.
+TRAIN_A_LANGUAGE, TRAIN_BYTES = 400, 4 << 20
 #: A text is rejected if a smaller share of its bytes are letters, or a decision's margin is smaller.
 LETTERS, MARGIN = 0.3, 0.02
 DIM = 1 << 13
@@ -50,25 +50,27 @@ def grams_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g[inside], total[np.minimum(off, len(g))]
 
 
-def _counts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
-    g, bounds = grams_of(raw, off)
-    n = len(off) - 1
-    owner = np.repeat(np.arange(n), np.diff(bounds))
-    x = np.bincount(owner * DIM + g, minlength=n * DIM).reshape(n, DIM).astype(np.float32)
-    return x / np.maximum(x.sum(axis=1, keepdims=True), 1)
+Row = tuple[np.ndarray, np.ndarray]
 
 
-def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 30, seed: int = 3) -> np.ndarray:
-    """Weights of a linear machine with hinge loss, by dual coordinate descent; y is -1 or 1."""
+def _shares(raw: np.ndarray) -> Row:
+    """The grams of one text, and the share that each has of them."""
+    found, n = np.unique(grams_of(raw, np.array([0, len(raw)]))[0], return_counts=True)
+    return found, n / max(1, n.sum())
+
+
+def svm(rows: list[Row], y: np.ndarray, size: int, c: float = 10.0, rounds: int = 30, seed: int = 3) -> np.ndarray:
+    """Weights of a linear machine with hinge loss on sparse rows, by dual coordinate descent; y is -1 or 1."""
     rng = np.random.RandomState(seed)
-    a, w, norm = np.zeros(len(x)), np.zeros(x.shape[1]), (x * x).sum(axis=1)
+    a, w, norm = np.zeros(len(rows)), np.zeros(size), np.array([(v * v).sum() for _, v in rows])
     for _ in range(rounds):
         most = 0.0
-        for i in rng.permutation(len(x)):
-            g = y[i] * (w @ x[i]) - 1
+        for i in rng.permutation(len(rows)):
+            at, v = rows[i]
+            g = y[i] * (w[at] @ v) - 1
             new = min(max(a[i] - g / max(norm[i], 1e-12), 0.0), c)
             if abs(new - a[i]) > 1e-12:
-                w += (new - a[i]) * y[i] * x[i]
+                w[at] += (new - a[i]) * y[i] * v
                 most = max(most, abs(new - a[i]))
                 a[i] = new
         if most < 1e-3:
@@ -82,21 +84,21 @@ class Model:
     A document's decision value is the mean weight of its grams, plus a bias.
     """
 
-    def __init__(self, x: np.ndarray, languages: list[str]):
+    def __init__(self, rows: list[Row], languages: list[str]):
         family = [FAMILY.get(c, c) for c in languages]
         self.families = sorted(set(family))
         self.languages = {f: sorted({c for c, g in zip(languages, family) if g == f}) for f in self.families}
-        self.scale = 1 / float(np.sqrt((x * x).sum(axis=1).mean()) or 1)
-        own = np.concatenate([x * self.scale, np.ones((len(x), 1), np.float32)], axis=1)
+        self.scale = 1 / float(np.sqrt(np.mean([(v * v).sum() for _, v in rows])) or 1)
+        own = [(np.append(at, DIM), np.append(v * self.scale, 1.0)) for at, v in rows]
         family, langs = np.array(family), np.array(languages)
         columns = []
         self.pairs = []
         for f in self.families if len(self.families) > 1 else []:
-            columns.append(svm(own, np.where(family == f, 1, -1)))
+            columns.append(svm(own, np.where(family == f, 1, -1), DIM + 1))
         for f in self.families:
             for a, b in combinations(self.languages[f], 2):
-                mine = (langs == a) | (langs == b)
-                columns.append(svm(own[mine], np.where(langs[mine] == a, 1, -1)))
+                mine = np.flatnonzero((langs == a) | (langs == b))
+                columns.append(svm([own[k] for k in mine], np.where(langs[mine] == a, 1, -1), DIM + 1))
                 self.pairs.append((f, a, b))
         weights = np.stack(columns, axis=1) if columns else np.zeros((DIM + 1, 0))
         self.table, self.bias = (weights[:-1] * self.scale).astype(np.float32), weights[-1]
@@ -135,19 +137,21 @@ class Model:
         return [self.families[k] for k in best], language.tolist(), np.where(size > 0, margin, 0.0), share
 
 
-def train(docs: DataFrame, most: int = TRAIN_A_LANGUAGE) -> Model | None:
-    """A model from up to ``most`` documents a language, by the order of a hash of their ids; None without any."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND length(text) > 0").select("doc_id", "lang")
-    ids = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
+def train(docs: DataFrame, most: int = TRAIN_A_LANGUAGE, most_bytes: int = TRAIN_BYTES) -> Model | None:
+    """A model from up to ``most`` documents and ``most_bytes`` bytes a language, by the order of a hash of their ids; None without any."""
+    size = F.octet_length("text").cast("long")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "n_bytes")
+    known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND length(text) > 0").select("doc_id", "lang", size.alias("n_bytes"))
+    first = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most)
+    fits = first.withColumn("before", F.sum("n_bytes").over(order.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("n") == 1) | (F.col("before") <= most_bytes))
+    ids = fits.select(F.col("doc_id").alias("id"), F.col("lang").alias("language"), "n_bytes").distinct()
     # At most ``most`` ids a language are broadcast.
-    rows = docs.join(F.broadcast(ids), (docs["doc_id"] == ids["__id"]) & (docs["lang"] == ids["__lang"])).select(docs["doc_id"], docs["text"], docs["lang"]).toArrow()
+    rows = docs.join(F.broadcast(ids), (docs["doc_id"] == ids["id"]) & (docs["lang"] == ids["language"]) & (F.octet_length(docs["text"]) == ids["n_bytes"])).select(docs["doc_id"].alias("id"), docs["text"].alias("text"), docs["lang"].alias("lang")).distinct().toArrow()
     if not rows.num_rows:
         return None
-    rows = rows.sort_by([("lang", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
+    rows = rows.sort_by([("lang", "ascending"), ("id", "ascending"), ("text", "ascending")])
     raw, off = data_of(rows.column("text"))
-    x = np.concatenate([_counts(raw[off[i] : off[i + 1]], np.array([0, off[i + 1] - off[i]])) for i in range(rows.num_rows)])
-    return Model(x, rows.column("lang").to_pylist())
+    return Model([_shares(raw[i:j]) for i, j in zip(off[:-1], off[1:])], rows.column("lang").to_pylist())
 
 
 _OUT = "struct<family:string,language:string,margin:double,accepted:boolean>"
@@ -185,11 +189,16 @@ def identify(docs: DataFrame, model: Model | None, letters: float = LETTERS, mar
     character all are taken as letters) and every decision on its way has the
     margin.  Null and empty texts, texts without a trigram that holds a letter,
     and all texts where there is no model, have null family and language and
-    aren't accepted.  Columns of ``keep`` may not be named like the new ones;
-    repeated rows are decided each.
+    aren't accepted.  Of equal votes the language first by name wins.  A new column
+    has ``_`` behind its name where ``keep`` has one of that name; repeated rows are
+    decided each, very long texts as a whole.
     """
     names = keep or ["doc_id"]
-    return docs.select(*names, decision(docs["text"], model, letters, margin).alias("__decision")).select(*names, "__decision.*")
+    kept = docs.select(*names)
+    (found,) = free(kept, "decision")
+    new = free(kept, "family", "language", "margin", "accepted")
+    out = docs.select(*names, decision(docs["text"], model, letters, margin).alias(found))
+    return out.select(*names, *[F.col(found)[c].alias(n) for c, n in zip(("family", "language", "margin", "accepted"), new)])
 
 
 def accepted(docs: DataFrame, letters: float = LETTERS, margin: float = MARGIN) -> DataFrame:
@@ -198,5 +207,6 @@ def accepted(docs: DataFrame, letters: float = LETTERS, margin: float = MARGIN)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Family, language and decision of every document, by machines fitted on the tables' ``lang``; edge cases as in ``identify``."""
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train(docs))

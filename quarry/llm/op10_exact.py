@@ -4,20 +4,29 @@ Texts are normalised, range-partitioned by splitters that Spark samples from
 them, and sorted externally; equals are then neighbours, and each text is
 compared with the one before it, in full.  Of equal texts the row with the
 smallest identifier stays.  Range partitioning already clusters equal texts, so
-the window below adds no further exchange.
+the window below adds no further exchange.  Copies that a task reads close together
+are dropped before they are sent, so a text of which there are very many doesn't
+gather in full in one range.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .frames import table
+from ..runtime import arrow_map
+from .frames import free, table
 
 #: White space that normalisation turns into single spaces.
 SPACE = "\t\n\r\f\v"
 #: Characters of a content that its splitter holds.
 HEAD = 16
+#: Bytes of contents among which a task drops copies before they are sent.
+SLICE = 16 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -26,29 +35,59 @@ def normalised(text: Column) -> Column:
     return F.trim(F.when(F.contains(flat, F.lit("  ")), F.regexp_replace(flat, " {2,}", " ")).otherwise(flat))
 
 
+def _combined(docs: DataFrame, content: Column, id_col: str) -> DataFrame:
+    """The rows of ``docs`` without those that have a copy of smaller id among the rows read with them."""
+    (key,) = free(docs, "content")
+    at = docs.columns.index(id_col)
+
+    def leave(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        code = rows.column(rows.num_columns - 1).cast(pa.large_string()).combine_chunks().dictionary_encode()
+        code = (code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code).indices
+        if pc.max(code).as_py() + 1 < len(code):
+            order = pc.sort_indices(pa.table({"code": code, "id": rows.column(at)}), [("code", "ascending"), ("id", "ascending")], null_placement="at_end")
+            ranked = code.take(order)
+            fresh = pa.concat_arrays([pa.array([True]), pc.not_equal(ranked[1:], ranked[:-1])])
+            kept = order.filter(fresh)
+            rows = rows.take(kept.take(pc.sort_indices(kept)))
+        yield from rows.select(range(rows.num_columns - 1)).to_batches(1000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column(batch.num_columns - 1).nbytes
+            if size >= SLICE:
+                yield from leave(held)
+                held, size = [], 0
+        if any(b.num_rows for b in held):
+            yield from leave(held)
+
+    return arrow_map(docs.withColumn(key, content), run, docs.schema)
+
+
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without all but one of each group of equal normalised texts, in the same columns.
 
     Of a group the smallest id stays; a null id counts as larger than any other.
     Of rows that agree in text and id one stays.  Texts that are null have no
     content to compare, and all stay; empty texts equal each other.  An empty
-    table stays empty.
+    table stays empty, and columns of any name stay as they are.
     """
-    key = "__content"
-    while key in docs.columns:
-        key += "_"
+    head, hashed, key, number = free(docs, "head", "hash", "content", "number")
     # Splitters come from the first bytes and a hash of the whole content: a sample of whole texts would
     # weigh on the driver, and contents that only begin alike need not fall into one range.
-    content = normalised(docs[text_col])
-    splitters = {key + "h": F.substring(content, 1, HEAD), key + "x": F.xxhash64(content)}
-    spread = docs.where(docs[text_col].isNotNull()).repartitionByRange(*splitters.values()).withColumns({**splitters, key: content})
-    order = Window.partitionBy(*splitters, key).orderBy(F.col(id_col).asc_nulls_last())
-    first = spread.withColumn(key + "n", F.row_number().over(order)).where(F.col(key + "n") == 1).drop(*splitters, key, key + "n")
+    content = normalised(F.col(f"`{text_col}`"))
+    splitters = {head: F.substring(content, 1, HEAD), hashed: F.xxhash64(content)}
+    some = _combined(docs.where(docs[text_col].isNotNull()), content, id_col)
+    spread = some.repartitionByRange(*splitters.values()).withColumns({**splitters, key: content})
+    order = Window.partitionBy(head, hashed, key).orderBy(F.col(f"`{id_col}`").asc_nulls_last())
+    first = spread.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).drop(head, hashed, key, number)
     return first.unionByName(docs.where(docs[text_col].isNull()))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ids of the documents that stay."""
+    """The ids of the documents that stay; edge cases as in ``drop_copies``."""
     return drop_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id")
 
 

@@ -16,6 +16,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import op02_repeats, op07_hosts, op08_jaccard, op10_exact
+    from . import op01_reshard, op02_repeats, op07_hosts, op08_jaccard, op10_exact
 
-    return {"op2_repeated_passages": op02_repeats.SQL, "op7_host_reputation": op07_hosts.SQL, "op8_jaccard_join": op08_jaccard.SQL, "op10_exact_dedup": op10_exact.SQL}
+    return {"op1_reshard": op01_reshard.SQL, "op2_repeated_passages": op02_repeats.SQL, "op7_host_reputation": op07_hosts.SQL, "op8_jaccard_join": op08_jaccard.SQL, "op10_exact_dedup": op10_exact.SQL}

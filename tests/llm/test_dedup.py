@@ -38,6 +38,19 @@ def test_exact_with_long_texts_clashing_names_and_no_rows(spark):
     assert exact.drop_copies(frame(spark, [])).count() == 0
 
 
+def test_exact_with_many_copies_and_names_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(exact, "SLICE", 200)
+    names = ["__CONTENT", "Content", "head", "hash", "number", "__contenth"]
+    r = random.Random(6)
+    rows = [(r.randint(0, 90), " ".join(words(r, r.randint(0, 2))) if r.random() < 0.5 else "the same", *[k] * len(names)) for k in range(400)]
+    df = frame(spark, rows, f"doc_id bigint, text string, {', '.join(f'`{n}` int' for n in names)}")
+    least = {}
+    for d, t, *_ in rows:
+        least[t] = min(d, least.get(t, d))
+    got = exact.drop_copies(df)
+    assert got.columns == df.columns and sorted((x["text"], x["doc_id"]) for x in got.collect()) == sorted(least.items())
+
+
 def test_exact_among_texts_that_begin_alike(spark):
     r = random.Random(3)
     rows = [(k, "the same beginning of all texts " + str(r.randint(0, 60))) for k in range(500)]

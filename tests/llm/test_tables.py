@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from quarry.llm import op01_reshard as shards
 from quarry.llm import op07_hosts as hosts
+from quarry.llm import graph
 from quarry.llm.graph import components
 
 
@@ -47,6 +48,29 @@ def test_flow_under_other_costs_is_brute_force():
         assert cost_of(shards.least_cost_flow(old, new, lambda a, b: price[a, b]), lambda a, b: price[a, b]) == best
 
 
+def test_many_shards_are_planned_at_once():
+    r = random.Random(5)
+    old = {f"s{k}": r.randint(0, 10**9) for k in range(4096)}
+    new = {f"s{k}": sum(old.values()) // 4000 for k in range(2000, 6096)}
+    flow = shards.least_cost_flow(old, new)
+    assert cost_of(flow, lambda a, b: a != b) == sum(max(0, n - new.get(s, 0)) for s, n in old.items())
+
+
+def test_reshard_keeps_columns_of_any_name(spark, tmp_path):
+    names = ["__block", "__shard", "__TO", "__bytes", "__s", "__sone", "__h", "shard", "k", "at", "new", "__c", "__n"]
+    docs = spark.createDataFrame([(k, "x" * (k % 50), f"s{k % 3}", *range(k, k + len(names))) for k in range(200)], f"doc_id bigint, text string, source string, {', '.join(f'`{n}` int' for n in names)}")
+    got = shards.reshard(docs, str(tmp_path / "o"), 5, block_bytes=100)
+    assert got.columns[: len(docs.columns)] == docs.columns and len({c.lower() for c in got.columns}) == len(got.columns)
+    assert sorted(tuple(x)[: len(docs.columns)] for x in got.collect()) == sorted(map(tuple, docs.collect()))
+
+
+def test_reshard_with_a_very_long_text_and_repeated_rows(spark, tmp_path):
+    rows = [(1, "y" * 3_000_000, "a"), (2, "z", "a"), (2, "z", "a"), (3, "", "b"), (None, None, None)]
+    got = shards.reshard(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), str(tmp_path / "o"), 2, block_bytes=10, capacities={"a": 2_000_000, "n": 2_000_000}).collect()
+    assert sorted(((x["doc_id"], x["text"], x["source"]) for x in got), key=str) == sorted(rows, key=str)
+    assert len({x["__to"] for x in got if x["doc_id"] == 2}) == 1
+
+
 def test_reshard_fills_shards_and_moves_little(spark, tmp_path):
     r = random.Random(3)
     rows = [(k, "x" * r.randint(0, 400), "hot" if r.random() < 0.6 else f"s{r.randint(0, 3)}", k) for k in range(1500)] + [(None, "n" * 50, "s1", 1), (5000, None, "s1", 2), (5001, "", None, 3), (7, "again", "hot", 4)]
@@ -96,7 +120,9 @@ def test_reputation_shrinks_and_filters(spark):
     assert {x["rate"] for x in hosts.reputations(p, y.limit(0)).collect()} == {0.5}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 100])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
     edges = [(1, 2), (2, 3), (9, 8), (3, 3), (8, 10), (10, 9), (20, 21), (21, 20), (None, 4)] + [(k, k + 1) for k in range(100, 160)]
     got = {x["node"]: x["root"] for x in components(spark.createDataFrame(edges, "a bigint, b bigint").where("a IS NOT NULL")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8, 10: 8, 20: 20, 21: 20} | {k: 100 for k in range(100, 161)}
