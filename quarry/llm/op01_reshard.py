@@ -237,7 +237,7 @@ flow AS (
 ),
 ends AS (SELECT s, new, lo, CASE WHEN row_number() OVER (PARTITION BY s ORDER BY lo DESC) = 1 THEN 1::BIGINT << 62 ELSE hi END AS hi FROM flow),
 ids AS (SELECT s, h, doc_id, sum(b) AS b FROM d GROUP BY ALL),
-at AS (SELECT s, h, doc_id, coalesce(sum(b) OVER (PARTITION BY s ORDER BY h, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM ids),
-too AS (SELECT at.s, doc_id, new FROM at JOIN ends ON ends.s = at.s AND at >= lo AND at < hi)
+placed AS (SELECT s, doc_id, coalesce(sum(b) OVER (PARTITION BY s ORDER BY h, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM ids),
+too AS (SELECT p.s, doc_id, new FROM placed p JOIN ends ON ends.s = p.s AND o >= lo AND o < hi)
 SELECT d.doc_id, d.s AS old_shard, new AS new_shard, d.b AS n_bytes, d.s <> new AS moved FROM d JOIN too ON too.s = d.s AND too.doc_id IS NOT DISTINCT FROM d.doc_id
 """

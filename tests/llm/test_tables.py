@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,45 @@ def test_components(spark, monkeypatch, few):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@pytest.mark.parametrize("documents", [True, False])
+def test_the_pipeline_on_empty_tables_and_odd_rows(spark, tmp_path, documents):
+    """Nulls in any column, repeated rows, empty and very long texts, columns that operators use names like; no benchmark."""
+    r = random.Random(10)
+    word = lambda: "".join(r.choice("etaoinshrdlucm") for _ in range(r.randint(3, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    same = text(50)
+    rows = [(k, text(40), "en", "s", None, k, "x") for k in range(12)] + [(20, same, "en", None, 1, None, None)] * 3 + [(None, text(30), "en", "s", 1, 1, "y"), (21, text(60_000), None, "s", 1, 1, "z"), (22, None, "en", "s", 0, 1, "z"), (23, "", "en", "s", 0, 1, "z")]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, `__Content` bigint, rep string"
+    spark.createDataFrame(rows if documents else [], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+    got = [x["doc_id"] for x in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == (sorted([*range(12), 20, 21, None], key=str) if documents else [])
+
+
+def test_hosts_in_numbers_and_rules_of_a_list(spark):
+    urls = ["http://192.168.1.10/a", "https://[2001:db8::1]:80/", "http://b.co.il/", "http://a.gov.in/x", "http://x.y.ck/", "http://www.ck/", "http://z.uk/", "http://q.city.kawasaki.jp/", "http://w.other.kawasaki.jp/", "nothing"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string").select(hosts.host_of(F.col("u")).alias("host"))
+    mine = df.withColumn("s", hosts.suffix_of(F.col("host"))).withColumn("d", hosts.domain_of(F.col("host"), F.col("s"))).collect()
+    assert [(x["s"], x["d"]) for x in mine][:4] == [("192.168.1.10", "192.168.1.10"), ("[2001:db8::1]", "[2001:db8::1]"), ("co.il", "b.co.il"), ("gov.in", "a.gov.in")]
+    rules = ["// a comment", "", "com", "co.il", "*.ck", "!www.ck", "uk", "co.uk", "jp", "*.kawasaki.jp", "!city.kawasaki.jp"]
+    got = {x["host"]: x["suffix"] for x in hosts.with_suffixes(df.distinct(), rules).collect()}
+    assert got == {"192.168.1.10": "192.168.1.10", "[2001:db8::1]": "[2001:db8::1]", "b.co.il": "co.il", "a.gov.in": "in", "x.y.ck": "y.ck", "ck": "ck", "z.uk": "uk", "q.city.kawasaki.jp": "kawasaki.jp", "w.other.kawasaki.jp": "other.kawasaki.jp", "": ""}
+
+
+def test_the_lower_quantile_is_that_of_the_beta_distribution(spark):
+    shapes = [(2.0, 8.0), (1.0, 30.0), (12.0, 4.0), (0.8, 40.0), (50.0, 50.0), (3.0, 3.0)]
+    df = spark.createDataFrame([(a / (a + b), a + b) for a, b in shapes], "rate double, s double")
+    got = [x["q"] for x in df.select(hosts.lower_quantile(F.col("rate"), F.col("s"), 1.0).alias("q")).collect()]
+    for (a, b), q in zip(shapes, got):
+        x = (np.arange(2_000_000) + 0.5) / 2_000_000
+        p = np.cumsum(x ** (a - 1) * (1 - x) ** (b - 1))
+        true = x[np.searchsorted(p / p[-1], 0.158655)]
+        assert abs(q - true) < 0.01
+
+
 def test_the_pipeline_on_small_tables(spark, tmp_path):
     r = random.Random(9)
     word = lambda: "".join(r.choice("etaoinshrdlucm") for _ in range(r.randint(3, 9)))
