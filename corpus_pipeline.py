@@ -23,31 +23,48 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is decided with enough margin."""
+    """Documents whose language is decided with enough margin.
+
+    Null and empty texts, and texts without a letter, have no language and go.  Rows
+    with a null id, source or count, repeated rows and columns of any name stay as
+    they are; where no row has a ``lang`` there is nothing to fit on, and all go.
+    """
     reachable(spark)
     return accepted(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of smallest id, of each group of equal normalised texts."""
+    """One document, the one of smallest id, of each group of equal normalised texts.
+
+    Null ids come after all others, null texts all stay, empty texts equal each
+    other, and of rows that agree in text and id one stays.
+    """
     reachable(spark)
     return drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of smallest id, of each group that n-gram Jaccard pairs connect."""
+    """One document, the one of smallest id, of each group that links of n-gram Jaccard similarity connect.
+
+    Rows without an id, or without a word in their text, stay; rows that share an id
+    stay or go together.
+    """
     reachable(spark)
     return keep_one(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Rows without an id or a word stay; with an empty benchmark all do; rows that share
+    an id stay or go together.
+    """
     reachable(spark)
     return decontaminate(docs, table(spark, sf_dir, "benchmark"), within=True)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of every document that is left."""
+    """Tokens of every document that is left: a row a row, null for a null text, none for an empty one."""
     reachable(spark)
     return encode_documents(docs)
 
