@@ -7,12 +7,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Balancing
+from ..runtime import saved
 from .classify import BUCKET, order
 
 #: Rows of the targets table that may be broadcast; more are joined by a shuffle.
 BROADCAST_BUCKETS = 500_000
-#: Ranges of the hash within a bucket: 16 to this many digits.
-DIGITS = 2
+#: Rows that a range of the hash within a bucket is meant for; the largest bucket says how many ranges there are.
+RANGE_ROWS = 100_000
+#: Buckets whose targets the driver settles; more are settled by searching the level with aggregations.
+DRIVER_BUCKETS = 1_000_000
 
 
 def floors(counts: DataFrame, b: Balancing) -> DataFrame:
@@ -64,15 +67,43 @@ def settle(lines: np.ndarray, floor: np.ndarray, target: np.ndarray, requested:
     return target + taken if change > 0 else target - taken
 
 
+def settle_apart(buckets: DataFrame) -> DataFrame:
+    """``settle`` for a saved table of ``lines, floor, target, requested``, with a few dozen aggregations instead of a row a bucket on the driver."""
+    first = buckets.agg(F.first("requested").alias("requested"), F.sum("target").alias("target"), F.max("lines").alias("most")).first()
+    change = first["requested"] - first["target"]
+    if not change:
+        return buckets
+    low, high = (F.lit(0), F.col("lines") - F.col("target")) if change > 0 else (F.col("floor"), F.col("target"))
+    above = lambda level: F.greatest(high - F.greatest(low, F.lit(level)), F.lit(0))
+    total = lambda level: buckets.agg(F.sum(above(level)).alias("n")).first()["n"]
+    want = min(abs(change), buckets.agg(F.sum(F.greatest(high - low, F.lit(0))).alias("n")).first()["n"])
+    least, most = 0, first["most"]
+    while least < most:
+        middle = (least + most) // 2
+        least, most = (least, middle) if total(middle) <= want else (middle + 1, most)
+    rest = want - total(least)
+    taken = buckets.withColumn("taken", above(least))
+    at_level = (low < least) & (high >= least)
+    extra = taken.where(at_level).orderBy(*[c.desc() for c in order()]).limit(rest).select(*[F.col(c).alias(f"{c}_x") for c in BUCKET]).withColumn("one", F.lit(1))
+    same = F.lit(True)
+    for c in BUCKET:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_x"))
+    done = taken.join(extra, same, "left")
+    units = F.col("taken") + F.coalesce("one", F.lit(0))
+    return done.withColumn("target", F.col("target") + units if change > 0 else F.col("target") - units).select(*buckets.columns)
+
+
 def targets(counts: DataFrame, b: Balancing) -> DataFrame:
     """``counts`` with ``floor`` and the final ``target`` of every bucket; all lines if balancing is off.
 
-    The one step that runs on the driver: it holds a row a bucket.
+    Up to DRIVER_BUCKETS rows are settled on the driver, which holds a row a bucket.
     """
     if not b.enabled:
         return counts.withColumns({"floor": F.col("lines"), "target": F.col("lines")})
     columns = [*BUCKET, "lines", "floor", "target"]
-    rows = smoothed(counts, b).orderBy(*order()).select(*columns, "requested").collect()
+    rows = smoothed(counts, b).orderBy(*order()).select(*columns, "requested").limit(DRIVER_BUCKETS + 1).collect()
+    if len(rows) > DRIVER_BUCKETS:
+        return settle_apart(saved(smoothed(counts, b))).select(*columns)
     if not rows:
         return smoothed(counts, b).select(*columns)
     n, floor, target = (np.array([r[c] for r in rows], np.int64) for c in ("lines", "floor", "target"))
@@ -89,7 +120,12 @@ def _draw(salt: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(salt), F.lit(str(seed)), bucket_key(), "path", F.col("line_number").cast("string"), F.col("chunk_index").cast("string")))
 
 
-def ranked(rows: DataFrame, hashed: Column, name: str, least: Column | None = None) -> DataFrame:
+def digits_for(lines: int) -> int:
+    """Hexadecimal digits of the hash that cut a bucket of so many lines into ranges."""
+    return next(d for d in range(1, 32) if lines <= RANGE_ROWS * 16**d)
+
+
+def ranked(rows: DataFrame, hashed: Column, name: str, digits: int, least: Column | None = None) -> DataFrame:
     """``rows`` with their rank from 1, by the hash, within their bucket.
 
     A bucket is cut into ranges of the hash, counted first; a row's rank is that
@@ -97,7 +133,7 @@ def ranked(rows: DataFrame, hashed: Column, name: str, least: Column | None = No
     however large it is.  With ``least``, only ranks up to it are computed: ranges
     that lie beyond are dropped before the sort.
     """
-    cut = rows.withColumns({"__h": hashed}).withColumn("__r", F.substring("__h", 1, DIGITS))
+    cut = rows.withColumns({"__h": hashed}).withColumn("__r", F.substring("__h", 1, digits))
     sizes = cut.groupBy(*BUCKET, "__r").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.partitionBy(*BUCKET).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.withColumn("__before", before).drop("__n")
@@ -114,14 +150,16 @@ def sample(classified: DataFrame, targets: DataFrame, b: Balancing, rows: int |
     ``rows`` is the number of buckets, if known; up to BROADCAST_BUCKETS they are broadcast.
     """
     wanted = targets.select(*BUCKET, "target")
-    rows = wanted.count() if rows is None else rows
+    known = targets.agg(F.count("*").alias("rows"), F.max("lines").alias("most")).first()
+    rows = known["rows"] if rows is None else rows
     joined = classified.join(F.broadcast(wanted) if rows <= BROADCAST_BUCKETS else wanted, BUCKET).where("target > 0")
-    return ranked(joined, _draw("draw", b.shuffle_seed), "draw", F.col("target")).where(F.col("draw") <= F.col("target")).drop("draw", "target")
+    return ranked(joined, _draw("draw", b.shuffle_seed), "draw", digits_for(known["most"] or 0), F.col("target")).where(F.col("draw") <= F.col("target")).drop("draw", "target")
 
 
 def parts(sampled: DataFrame, b: Balancing) -> DataFrame:
     """The sample shuffled within buckets: ``part`` from 0 and ``position`` from 1 within the bucket."""
-    shuffled = ranked(sampled, _draw("shuffle", b.shuffle_seed), "position")
+    most = sampled.groupBy(*BUCKET).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    shuffled = ranked(sampled, _draw("shuffle", b.shuffle_seed), "position", digits_for(most or 0))
     return shuffled.withColumn("part", F.floor((F.col("position") - 1) / max(1, b.max_part_lines)).cast("int"))
 
 

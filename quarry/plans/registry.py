@@ -337,7 +337,7 @@ def _source_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _corpus_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts, _ = source.discover(files(spark, sf_dir).select("path", F.encode("text", "UTF-8").alias("content")))
-    return source.sizes(texts)
+    return source.sizes(texts.select("path", F.length("content").alias("length")))
 
 
 def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:

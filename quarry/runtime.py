@@ -119,3 +119,37 @@ def dropped(*frames: DataFrame) -> None:
     for df in frames:
         if path := getattr(df, "_quarry_path", None):
             _remove(df.sparkSession, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it knows it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def write_text(path: str, text: str) -> None:
+    """A small file, on the file system that a URI names or on the driver's own."""
+    if "://" in path:
+        fs, target = file_system(SparkSession.active(), path)
+        out = fs.create(target, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        return
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(text, encoding="utf-8")
+
+
+def read_bytes(path: str, most: int | None = None) -> bytes:
+    """A small file, or the first ``most`` bytes of one."""
+    if "://" not in path:
+        with open(path, "rb") as f:
+            return f.read() if most is None else f.read(most)
+    fs, target = file_system(SparkSession.active(), path)
+    stream = fs.open(target)
+    try:
+        size = fs.getFileStatus(target).getLen()
+        return bytes(SparkSession.active().sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size if most is None else min(most, size)))
+    finally:
+        stream.close()

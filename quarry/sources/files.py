@@ -18,9 +18,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import reachable, saved
+from ..runtime import reachable, read_bytes, saved
 
 SNIFF, DEPTH = 8192, 16
+#: Bytes of a file that one task takes as a whole; larger texts are read in parts, larger containers are issues.
+WHOLE = 1 << 30
 _TAR_AT = 257
 _MAGIC = (("zip", (b"PK\x03\x04", b"PK\x05\x06", b"PK\x07\x08")), ("gzip", (b"\x1f\x8b",)), ("bzip2", (b"BZh",)), ("xz", (b"\xfd7zXZ\x00",)))
 UNKNOWN = "not recognized as text, archive, or compressed text"
@@ -128,29 +130,65 @@ def walk(root: str) -> list[str]:
     return sorted(set(out))
 
 
+def _listed(spark: SparkSession, path: str) -> tuple[DataFrame | None, list[str]]:
+    """A reader of all files of some bytes as ``path, length, content``, and the paths of files without any."""
+    reader = spark.read.format("binaryFile")
+    if "://" in path:
+        return reader.option("recursiveFileLookup", "true").load(path), []
+    if os.path.isfile(path) or os.path.isdir(path):
+        paths = [path] if os.path.isfile(path) else walk(path)
+        some = [_uri(p) for p in paths if os.path.getsize(p)]
+        # Spark's listing leaves out files of no bytes.
+        return reader.load(some) if some else None, [p for p in paths if not os.path.getsize(p)]
+    if os.path.exists(path):
+        raise SourceError(f"corpus path is neither a file nor a folder: {path}")
+    raise SourceError(f"corpus path does not exist: {path}")
+
+
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path, content`` of a file, or of all files below a folder.
+    """``path, content`` of a file, or of all files below a folder, up to WHOLE bytes each.
 
     A file that is named itself is taken whatever its name.  Folders on a local or
     mounted file system are walked with their ignore files; any other URI is left
     to Spark's own listing, which leaves out names that begin with ``.`` or ``_``.
+    Larger files are those of ``large_files``; their content isn't read here.
     """
-    reader = spark.read.format("binaryFile")
-    if "://" in path:
-        files = reader.option("recursiveFileLookup", "true").load(path)
-    elif os.path.isfile(path) or os.path.isdir(path):
-        paths = [path] if os.path.isfile(path) else walk(path)
-        # Spark's listing leaves out files of no bytes.
-        none = spark.createDataFrame([(p, bytearray()) for p in paths if not os.path.getsize(p)], "path string, content binary")
-        paths = [_uri(p) for p in paths if os.path.getsize(p)]
-        if not paths:
-            return none
-        return _plain(reader.load(paths)).unionByName(none)
-    elif os.path.exists(path):
-        raise SourceError(f"corpus path is neither a file nor a folder: {path}")
-    else:
-        raise SourceError(f"corpus path does not exist: {path}")
-    return _plain(files)
+    files, empty = _listed(spark, path)
+    none = spark.createDataFrame([(p, bytearray()) for p in empty], "path string, content binary")
+    return none if files is None else _plain(files.where(F.col("length") <= WHOLE)).unionByName(none)
+
+
+def large_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw lines, issues and ``path, length`` of the texts of the files beyond WHOLE bytes.
+
+    Their kinds are told by their heads, on the driver, which holds a row a file.  Texts
+    are split over tasks by Spark's reader; lines are numbered by the lines of the
+    parts before.  Containers of that size are issues.
+    """
+    files, _ = _listed(spark, path)
+    rows = [] if files is None else files.where(F.col("length") > WHOLE).select("path", "length").collect()
+    texts, issues = [], []
+    for r in rows:
+        kind, reason = sniff(read_bytes(r["path"].removeprefix("file:") if r["path"].startswith("file:/") else r["path"], SNIFF))
+        shown = re.sub("^file:(//)?", "", r["path"])
+        if kind == "text":
+            texts.append((r["path"], shown, r["length"]))
+        elif kind == "unsupported":
+            issues.append(("unsupported_file", shown, reason))
+        else:
+            issues.append(("archive_read_failed", shown, f"{kind} of {r['length']} bytes, beyond the limit of {WHOLE}"))
+    sizes = spark.createDataFrame([(p, n) for _, p, n in texts], "path string, length bigint")
+    found = spark.createDataFrame(issues, "id string, path string, reason string")
+    if not texts:
+        return spark.createDataFrame([], "path string, line_number bigint, bytes binary"), found, sizes
+    read = spark.read.option("lineSep", "\n").text([_uri(p) for p, _, _ in texts])
+    block = read.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:(//)?", "").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    counts = block.groupBy("path", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.withColumn("before", before).drop("n")  # a row a part of a file
+    within = F.row_number().over(Window.partitionBy("path", "block").orderBy("at"))
+    lines = block.join(starts, ["path", "block"]).select("path", (F.col("before") + within).alias("line_number"), F.regexp_replace(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), "\r\\z", "").alias("line"))
+    return lines.select("path", "line_number", F.encode("line", "ISO-8859-1").alias("bytes")), found, sizes
 
 
 def _plain(files: DataFrame) -> DataFrame:
@@ -256,17 +294,5 @@ def discover(files: DataFrame, logical: bool = False, strict: bool = False, keep
 
 
 def sizes(texts: DataFrame) -> DataFrame:
-    """One row: how many texts there are, and their bytes."""
-    return texts.agg(F.count("*").alias("files"), F.coalesce(F.sum(F.length("content")), F.lit(0)).cast("long").alias("n_bytes"))
-
-
-def read_lines_text(spark: SparkSession, path: str) -> DataFrame:
-    """``path, line`` of large text files, split at ``\\n`` only; Spark splits such files over tasks."""
-    read = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
-    return read.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r\\z", "").alias("line"))
-
-
-def read_table(spark: SparkSession, path: str, text: str = "text", name: Column | None = None) -> DataFrame:
-    """``path, text`` from a Parquet table; only the columns that are used are read."""
-    name = F.concat_ws("/", "lang", "source", "doc_id") if name is None else name
-    return spark.read.parquet(path).select(name.alias("path"), F.col(text).alias("text"))
+    """One row: how many texts of ``path, length`` there are, and their bytes."""
+    return texts.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("n_bytes"))

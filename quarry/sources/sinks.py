@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import bucket_stem
 from ..operators.classify import BUCKET, order
+from ..runtime import write_text
 
 
 def write_fixed(outputs: DataFrame, path: str) -> None:
@@ -17,11 +17,6 @@ def write_fixed(outputs: DataFrame, path: str) -> None:
     outputs.orderBy("path", "line_number", "chunk_index").select(F.col("text").alias("value")).write.mode("overwrite").text(path)
 
 
-def write_shards(classified: DataFrame, path: str) -> None:
-    """Kept lines in a folder a bucket."""
-    classified.write.mode("overwrite").partitionBy(*BUCKET).parquet(path)
-
-
 def write_issues(issues: DataFrame, path: str) -> None:
     """The issue log as JSON lines, without fields that are null."""
     issues.write.mode("overwrite").json(path)
@@ -47,8 +42,5 @@ def write_report(report: DataFrame, files: list[str], path: str) -> dict:
 
 
 def write_json(value: dict, path: str) -> dict:
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(value, f, ensure_ascii=False, indent=2)
-        f.write("\n")
+    write_text(path, json.dumps(value, ensure_ascii=False, indent=2) + "\n")
     return value

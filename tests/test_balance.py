@@ -83,3 +83,23 @@ def test_disabled_keeps_all(spark):
     b = settings(enabled=False, total_lines=1)
     assert [r["target"] for r in balance.targets(counts(spark, [9, 4]), b).orderBy("source_group").collect()] == [9, 4]
     assert balance.targets(counts(spark, []), settings()).count() == 0
+
+
+@pytest.mark.parametrize("total", [6, 300, 900, 1500, 10**6])
+def test_targets_of_more_buckets_than_the_driver_takes(spark, monkeypatch, total):
+    r = random.Random(total)
+    df, b = counts(spark, [r.choice([0, 1, 5, 40, 300]) for _ in range(12)]), settings(total_lines=total)
+    want = {x["source_group"]: x["target"] for x in balance.targets(df, b).collect()}
+    monkeypatch.setattr(balance, "DRIVER_BUCKETS", 3)
+    assert {x["source_group"]: x["target"] for x in balance.targets(df, b).collect()} == want
+
+
+def test_more_ranges_draw_the_same(spark, monkeypatch):
+    rows = [("text", "latin", "en", "s", "short", f"p{k % 7}", k, 0, str(k)) for k in range(400)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in BUCKET) + ", path string, line_number int, chunk_index int, text string")
+    wanted = spark.createDataFrame([("text", "latin", "en", "s", "short", 400, 100, 150)], ", ".join(f"{c} string" for c in BUCKET) + ", lines bigint, floor bigint, target bigint")
+    b = settings(max_part_lines=40)
+    draw = lambda: sorted((x["text"], x["part"], x["position"]) for x in balance.parts(balance.sample(df, wanted, b), b).collect())
+    once = draw()
+    monkeypatch.setattr(balance, "RANGE_ROWS", 3)
+    assert draw() == once and len(once) == 150

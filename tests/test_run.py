@@ -3,6 +3,7 @@ import gzip
 import io
 import json
 import lzma
+import random
 import signal
 import tarfile
 import zipfile
@@ -212,3 +213,38 @@ def test_an_equal_archive_within_another_is_unpacked_once(spark, tmp_path):
     texts, issues = found(spark, tmp_path)
     assert sorted(c for _, c in texts) == [b"first", b"inside", b"second"]
     assert [i for i, _, _ in issues] == ["archive_cycle", "archive_cycle"]
+
+
+def test_large_texts_are_read_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "WHOLE", 3000)
+    lines = [("x" * (k % 90) + ("\r" if k % 7 == 0 else "")).encode() + (b"\xff" if k == 500 else b"") for k in range(2000)]
+    (tmp_path / "big[1].txt").write_bytes(b"\n".join(lines) + b"\n")
+    (tmp_path / "small.txt").write_text("a\nb")
+    (tmp_path / "big.zip").write_bytes(zipped(a=bytes(random.Random(1).randbytes(9000))))
+    (tmp_path / "big.bin").write_bytes(b"\0" * 9000)
+    raw, issues, sizes = files.large_files(spark, str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        got = sorted((r["line_number"], bytes(r["bytes"])) for r in raw.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(k + 1, x.removesuffix(b"\r")) for k, x in enumerate(lines)]
+    assert sorted(r["id"] for r in issues.collect()) == ["archive_read_failed", "unsupported_file"] and sizes.count() == 1
+    config = effective({"corpus": {"path": str(tmp_path)}, "output": {"work_dir": str(tmp_path / "w"), "model_prefix": "m"}})
+    sizes, source_issues, processed = corpus.repair_lines(spark, config)
+    assert sizes.count() == 2 and source_issues.count() == 2 and processed.count() == 2002
+
+
+def test_a_run_by_uris(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(20):
+        (tmp_path / "in" / f"f{k}.txt").write_text("\n".join(f"some words of file {k} and line {j} here" for j in range(30)))
+    raw = {"corpus": {"path": f"file://{tmp_path}/in"}, "output": {"work_dir": f"file://{tmp_path}/work", "model_prefix": "m"}, "sentencepiece": {"vocab_size": 330}}
+    result = corpus.run(spark, effective(raw))
+    assert (tmp_path / "work" / "m.model").exists() and (tmp_path / "work" / "reports" / "balance.json").exists() and result["lines_read"] == 600
+    assert json.loads((tmp_path / "work" / "effective_config.json").read_text())["output"]["model_prefix"] == "m"
+    again = corpus.train_only(effective(raw))
+    assert again["trainer"]["status"] == "succeeded"
+    remote = effective(raw | {"output": {"work_dir": f"viewless://{tmp_path}/work", "model_prefix": "m"}})
+    with pytest.raises(Exception, match="viewless"):
+        train(remote, [f"viewless://{tmp_path}/part"])
