@@ -16,8 +16,9 @@ from ..config import Balancing, Config, effective
 from ..functions import text as T
 from ..functions.names import bucket_stem
 from ..operators import balance, classify, lines, repair
-from ..runtime import saved
+from ..runtime import saved, scratch
 from ..sources import files as source
+from ..sources.sinks import write_shards
 from . import reports
 
 #: Bytes a line in the chunking query; the other queries use the preset's limit.
@@ -340,6 +341,11 @@ def _corpus_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.sizes(texts.select("path", F.length("content").alias("length")))
 
 
+def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and characters of each bucket, from its shard files."""
+    return write_shards(classified(spark, sf_dir), scratch(spark)).groupBy(*classify.BUCKET).agg(F.count("*").alias("lines"), F.sum(F.length("text")).alias("chars"))
+
+
 def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Targets under a budget of nine tenths of the lines, which the shares of large buckets don't use up."""
     counts, b = saved(classify.counts(classified(spark, sf_dir))), budget()
@@ -415,6 +421,7 @@ _ENTRIES: dict[str, tuple[Query, str | None]] = {
     "archive_depth": (_nested, "SELECT page_id, CASE WHEN 14 + page_id % 6 <= 16 THEN 'text' ELSE 'archive_depth_exceeded' END AS result FROM pages WHERE html IS NOT NULL"),
     "broken_archives": (_broken, "SELECT page_id, unnest(['text', 'archive_read_failed']) AS result FROM pages WHERE html IS NOT NULL"),
     "source_issues": (_source_issues, "SELECT CASE WHEN page_id % 10 IN (4, 5, 7) THEN 'unsupported_file' ELSE 'archive_read_failed' END AS id, 'skipped' AS action, page_id::VARCHAR AS path, CASE page_id % 10 WHEN 4 THEN 'empty file' WHEN 5 THEN 'not recognized as text, archive, or compressed text' WHEN 7 THEN 'not recognized as text, archive, or compressed text' END AS reason FROM pages WHERE html IS NOT NULL AND page_id % 10 < 8"),
+    "shard_files": (_shards, _sql(f"SELECT {_BUCKET}, count(*) AS lines, sum(length(text))::BIGINT AS chars FROM classified GROUP BY ALL", *_ALL)),
     "corpus_bytes": (_corpus_bytes, _sql("SELECT count(*) AS files, coalesce(sum(strlen(text)), 0)::BIGINT AS n_bytes FROM files WHERE text <> ''")),
     "targets_filled": (_filled, _sql("SELECT * FROM targets", *_ALL, _balanced("(SELECT sum(lines) * 9 // 10 FROM counts)"))),
     "streaming_bucket_counts": (lambda s, d: reports.streamed(all_lines(s, d)), _sql("SELECT domain, script, length_bin, count(*) AS lines FROM classified GROUP BY ALL", *_ALL)),

@@ -17,6 +17,13 @@ def write_fixed(outputs: DataFrame, path: str) -> None:
     outputs.orderBy("path", "line_number", "chunk_index").select(F.col("text").alias("value")).write.mode("overwrite").text(path)
 
 
+def write_shards(classified: DataFrame, path: str) -> DataFrame:
+    """Kept lines in a folder a bucket, and the same rows read back from there; large buckets are written by several tasks."""
+    classified.hint("rebalance", *BUCKET).write.mode("overwrite").partitionBy(*BUCKET).parquet(path)
+    # With the schema given, buckets named like numbers stay strings.
+    return classified.sparkSession.read.schema(classified.schema).parquet(path).select(*classified.columns)
+
+
 def write_issues(issues: DataFrame, path: str) -> None:
     """The issue log as JSON lines, without fields that are null."""
     issues.write.mode("overwrite").json(path)

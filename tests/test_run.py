@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from quarry.__main__ import main
 from quarry.config import effective
+from quarry import control
 from quarry.control import Cancelled, cancellable
 from quarry.plans import corpus
 from quarry.sources import files
-from quarry.train import TrainerError, train
+from quarry.train import TrainerError, train, vocabulary_checks
 
 
 def zipped(**members):
@@ -243,8 +244,16 @@ def test_a_run_by_uris(spark, tmp_path):
     result = corpus.run(spark, effective(raw))
     assert (tmp_path / "work" / "m.model").exists() and (tmp_path / "work" / "reports" / "balance.json").exists() and result["lines_read"] == 600
     assert json.loads((tmp_path / "work" / "effective_config.json").read_text())["output"]["model_prefix"] == "m"
+    assert vocabulary_checks(str(tmp_path / "work" / "m.model")) == {"pieces": 330, "not_nfc": 0, "many_digits": 0, "bytes": 256}
     again = corpus.train_only(effective(raw))
     assert again["trainer"]["status"] == "succeeded"
     remote = effective(raw | {"output": {"work_dir": f"viewless://{tmp_path}/work", "model_prefix": "m"}})
     with pytest.raises(Exception, match="viewless"):
         train(remote, [f"viewless://{tmp_path}/part"])
+
+
+def test_progress_is_told_while_stages_run(spark, monkeypatch, capsys):
+    monkeypatch.setattr(control, "PLAIN", 0.05)
+    with control.progress(spark, True):
+        spark.range(4, numPartitions=4).selectExpr("reflect('java.lang.Thread', 'sleep', id * 0 + 400L)").write.format("noop").mode("overwrite").save()
+    assert "/4" in capsys.readouterr().err
