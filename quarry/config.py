@@ -186,7 +186,7 @@ def _section(kind: type, given: dict, at: str, whole: bool) -> dict:
     for name, hint in hints.items():
         if given.get(name) is None:
             if whole:
-                raise ConfigError(f"missing required preset field `{at}.{name}` after expansion")
+                raise ConfigError(f"`{at}.{name}` is set by neither the preset nor its parents")
             continue
         value = _checked(given[name], hint, f"{at}.{name}")
         out[name] = _section(hint, value, f"{at}.{name}", whole) if is_dataclass(hint) else value
@@ -204,7 +204,7 @@ def _overlay(base: dict, top: dict) -> dict:
 
 def expand_preset(name: str, presets: dict[str, dict], seen: tuple[str, ...] = ()) -> dict:
     if name in seen:
-        raise ConfigError(f"preset inheritance cycle includes `{name}`")
+        raise ConfigError(f"preset `{name}` is among its own parents")
     if name not in presets:
         raise ConfigError(f"preset `{name}` was not found")
     own = {k: v for k, v in presets[name].items() if k not in ("extends", "description")}
@@ -231,7 +231,7 @@ def effective(raw: dict, presets: dict[str, dict] | None = None, default: str =
     merged = _overlay(expand_preset(name, presets or PRESETS), {k: v for k, v in raw.items() if k != "preset"})
     threads = merged.get("num_threads")
     if threads is None:
-        raise ConfigError("missing required preset field `num_threads` after expansion")
+        raise ConfigError("`num_threads` is set by neither the preset nor its parents")
     if not isinstance(threads, int) or threads <= 0:
         raise ConfigError("invalid preset field `num_threads`: must be greater than zero")
     sections = {n: _build(k, _section(k, merged.get(n) or {}, n, True)) for n, k in SECTIONS.items()}
