@@ -24,5 +24,17 @@ def test_query(spark, name):
     assert sorted(rel.columns) == columns and got == sorted(repr(tuple(r[k] for k in at)) for r in rel.fetchall())
 
 
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
+def test_query_without_sql_reads_all_documents(spark, name):
+    docs = spark.read.parquet(f"{HERE}/documents.parquet")
+    got = registry.queries()[name](spark, HERE)
+    assert got.columns[0] == "doc_id"
+    ids = [r["doc_id"] for r in got.select("doc_id").collect()]
+    if name.split("_")[0] in ("op5", "op6", "op9"):  # a row a document
+        assert sorted(ids) == sorted(r["doc_id"] for r in docs.select("doc_id").collect())
+    if name == "op5_byte_bpe":
+        assert got.where("NOT round_trip").isEmpty()
+
+
 def test_ten_queries_are_registered():
     assert [n.split("_")[0] for n in registry.queries()] == [f"op{k}" for k in range(1, 11)]
