@@ -37,9 +37,9 @@ _SIGNS = frozenset(bytes([c]) for c in b".,;:!?)]}")
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Memoised chunks per worker, and as many pieces of longer chunks; beyond it a memo starts again.
-MEMO = 300_000
+MEMO = 150_000
 #: Memoised pairs of neighbouring tokens per worker.
-PAIRS = 600_000
+PAIRS = 300_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -268,7 +268,8 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
 
     The vocabulary file is read on the driver and broadcast (its size is fixed by
     the tokenizer).  No shuffle.  A null text gives null tokens and counts and a
-    null round_trip, an empty one an empty list; null ids stay null; repeated rows are encoded each;
+    null round_trip, an empty one an empty list; null ids stay null; repeated rows are encoded each,
+    very long texts as a whole;
     other columns are not read.  round_trip tells whether decoding the tokens
     gave the text's bytes again.
     """
@@ -311,4 +312,5 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the public 50k vocabulary, and whether they decode to it; edge cases as in ``encode_documents``."""
     return encode_documents(table(spark, sf_dir, "documents"))
