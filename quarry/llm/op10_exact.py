@@ -35,9 +35,8 @@ def normalised(text: Column) -> Column:
     return F.trim(F.when(F.contains(flat, F.lit("  ")), F.regexp_replace(flat, " {2,}", " ")).otherwise(flat))
 
 
-def _combined(docs: DataFrame, content: Column, id_col: str) -> DataFrame:
-    """The rows of ``docs`` without those that have a copy of smaller id among the rows read with them."""
-    (key,) = free(docs, "content")
+def _combined(docs: DataFrame, key: str, id_col: str) -> DataFrame:
+    """The rows of ``docs`` without those that have an equal last column ``key`` and a smaller id among the rows read with them; and without ``key``."""
     at = docs.columns.index(id_col)
 
     def leave(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +62,7 @@ def _combined(docs: DataFrame, content: Column, id_col: str) -> DataFrame:
         if any(b.num_rows for b in held):
             yield from leave(held)
 
-    return arrow_map(docs.withColumn(key, content), run, docs.schema)
+    return arrow_map(docs, run, docs.drop(key).schema)
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,9 +77,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # Splitters come from the first bytes and a hash of the whole content: a sample of whole texts would
     # weigh on the driver, and contents that only begin alike need not fall into one range.
     content = normalised(F.col(f"`{text_col}`"))
-    splitters = {head: F.substring(content, 1, HEAD), hashed: F.xxhash64(content)}
-    some = _combined(docs.where(docs[text_col].isNotNull()), content, id_col)
-    spread = some.repartitionByRange(*splitters.values()).withColumns({**splitters, key: content})
+    split = docs.where(docs[text_col].isNotNull()).withColumn(key, content)
+    split = split.withColumns({head: F.substring(F.col(key), 1, HEAD), hashed: F.xxhash64(key)}).select(*[F.col(f"`{c}`") for c in docs.columns], head, hashed, key)
+    spread = _combined(split, key, id_col).repartitionByRange(head, hashed).withColumn(key, content)
     order = Window.partitionBy(head, hashed, key).orderBy(F.col(f"`{id_col}`").asc_nulls_last())
     first = spread.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).drop(head, hashed, key, number)
     return first.unionByName(docs.where(docs[text_col].isNull()))
