@@ -22,7 +22,7 @@ from .frames import free, saved, scratch, sized, table
 BLOCK_BYTES, BLOCKS = 4 << 20, 50_000
 #: Shards that a plan may have, and that it may have under costs of a caller's own; it is solved on the driver.
 SHARDS, PRICED_SHARDS = 1_000_000, 256
-#: Bytes of a shard that one writer takes.
+#: Bytes of a shard that one writer takes; a smaller shard has up to eight writers of 2 MB at least.
 WRITER_BYTES = 128 << 20
 #: What ``plan`` adds to the columns: old shard, bytes and new shard, with ``_`` behind where a name is taken.
 PLAN = ("__shard", "__bytes", "__to")
@@ -206,7 +206,7 @@ def reshard(docs: DataFrame, path: str, shards: int, shard: str = "source", slac
         return planned
     folder, name, writers = free(planned, "shard", "__c", "__n")
     # A writer gets a share of one shard, so that a large shard isn't one task's work.
-    listed = docs.sparkSession.createDataFrame([(s, max(1, -(-gains.get(s, 0) // WRITER_BYTES))) for s in changed], f"`{name}` string, `{writers}` int")
+    listed = docs.sparkSession.createDataFrame([(s, max(1, -(-gains.get(s, 0) // WRITER_BYTES), min(8, gains.get(s, 0) >> 21))) for s in changed], f"`{name}` string, `{writers}` int")
     listed = F.broadcast(listed) if len(changed) <= BROADCAST_ROWS else listed
     affected = planned.join(listed, F.col(to_c) == F.col(name))
     spread = affected.repartition(F.col(to_c), F.pmod(F.xxhash64(docs[id_col]), F.col(writers))).select(*planned.columns)

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..runtime import arrow_map
+from ..runtime import arrow_map, held
 from .frames import table
 from .textkit import _BYTE, _ranges, slices
 
@@ -237,16 +237,13 @@ class Codec:
         return np.array([back[a:b] == want[i:j] for a, b, i, j in spans], bool)
 
 
-_codecs: dict[tuple, Codec] = {}
-
-
 def codec(packed: bytes, pattern: str) -> Codec:
     """This worker's codec of a packed vocabulary, built once."""
-    key = (zlib.crc32(packed), len(packed), pattern)
-    if key not in _codecs:
+    key, codecs = (zlib.crc32(packed), len(packed), pattern), held(__name__)
+    if key not in codecs:
         rows = (x.split() for x in zlib.decompress(packed).splitlines())
-        _codecs[key] = Codec({base64.b64decode(a): int(b) for a, b in rows}, pattern)
-    return _codecs[key]
+        codecs[key] = Codec({base64.b64decode(a): int(b) for a, b in rows}, pattern)
+    return codecs[key]
 
 
 def pack(ranks: dict[bytes, int]) -> bytes:
@@ -278,7 +275,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(packed.value, pattern)
         for batch in batches:
-            for part, raw, off in slices(batch, "text", 1 << 19):
+            for part, raw, off in slices(batch, "text", 1 << 18):
                 empty = part.column(1).is_null().to_numpy(zero_copy_only=False)
                 flat, counts = c.encode_many(raw, off)
                 same = c.agrees(flat, counts, raw, off)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import ready
+from ..runtime import ready, released
 from .frames import free, table
 from .textkit import data_of, slices
 
@@ -165,6 +165,7 @@ def decision(text: Column, model: Model | None, letters: float = LETTERS, margin
 
     @F.arrow_udf(_OUT)
     def decide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        released(__name__)
         model = shared.value
         for batch in batches:
             out = []

@@ -26,7 +26,7 @@ SPACE = "\t\n\r\f\v"
 #: Characters of a content that its splitter holds.
 HEAD = 16
 #: Bytes of contents among which a task drops copies before they are sent.
-SLICE = 16 << 20
+SLICE = 8 << 20
 
 
 def normalised(text: Column) -> Column:

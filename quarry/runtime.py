@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -53,11 +54,31 @@ def _trim() -> None:
         environment.setdefault(name, value)
 
 
+_held: dict[str, dict] = {}
+
+
+def held(module: str) -> dict:
+    """What a worker keeps between tasks for the functions of a module, until a function of another module runs there."""
+    return _held.setdefault(module, {})
+
+
+def released(module: str) -> None:
+    """Drops what is kept for the functions of all other modules."""
+    others = [kept for name, kept in _held.items() if name != module and kept]
+    for kept in others:
+        kept.clear()
+    if others:
+        gc.collect()
+        _trim()
+
+
 def arrow_map(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` in a session that is ``ready``; a worker keeps no freed memory beyond its task."""
     ready(df.sparkSession)
+    module = function.__module__
 
     def run(batches: Iterator) -> Iterator:
+        released(module)
         try:
             yield from function(batches)
         finally:
