@@ -264,7 +264,7 @@ def _packed(spark: SparkSession, sf_dir: str, pack: Callable[[int, bytes], bytes
             yield batch
 
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").cast("string").alias("path"), F.encode(F.concat("html", F.col("page_id").cast("string")), "UTF-8").alias("content"))
-    return source.discover(pages.mapInPandas(run, "path string, content binary"), logical=True, keep=True)
+    return source.discover(pages.mapInPandas(run, "path string, content binary"), logical=True)
 
 
 def _page() -> Column:
@@ -331,7 +331,7 @@ def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _source_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the issue log says of sources: pages as contents of every kind, of which most can't be read."""
     blobs = _blobs(spark, sf_dir).select(F.col("page_id").cast("string").alias("path"), F.when(F.length("content") > 0, F.concat("content", F.encode(F.col("page_id").cast("string"), "UTF-8"))).otherwise(F.col("content")).alias("content"))
-    texts, issues = source.discover(blobs, logical=True, keep=True)
+    texts, issues = source.discover(blobs, logical=True)
     log = repair.issues(repair.process(lines.raw_lines(texts), config()), issues)
     return log.where("line_number IS NULL").select("id", "action", "path", F.when(F.col("id") == "unsupported_file", F.col("reason")).alias("reason"))
 

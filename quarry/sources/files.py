@@ -14,19 +14,22 @@ import tarfile
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import reachable, read_bytes, saved
+from ..runtime import BATCH_ROWS, arrow_map, read_bytes, saved
 
 SNIFF, DEPTH = 8192, 16
 #: Bytes of a file that one task takes as a whole; larger texts are read in parts, larger containers are issues.
 WHOLE = 1 << 30
+#: Bytes of texts that an unpacking task gathers before it hands them on.
+BATCH_BYTES = 8 << 20
 _TAR_AT = 257
 _MAGIC = (("zip", (b"PK\x03\x04", b"PK\x05\x06", b"PK\x07\x08")), ("gzip", (b"\x1f\x8b",)), ("bzip2", (b"BZh",)), ("xz", (b"\xfd7zXZ\x00",)))
+#: Control characters but tabs and line breaks: those of one byte, and those of two.
+_CONTROLS, _C1 = bytes(c for c in (*range(32), 127) if c not in b"\n\r\t"), re.compile("[\x80-\x9f]")
 UNKNOWN = "not recognized as text, archive, or compressed text"
-CONTAINERS = ("zip", "tar", "gzip", "bzip2", "xz")
 
 
 class SourceError(OSError):
@@ -49,10 +52,10 @@ def sniff(head: bytes, strict: bool = False) -> tuple[str, str | None]:
         return "tar", None
     for back in range(4 if cut and not strict else 1):
         try:
-            text = head[: len(head) - back].decode("utf-8")
+            text = (whole := head[: len(head) - back]).decode("utf-8")
         except UnicodeDecodeError:
             continue
-        odd = sum(1 for c in text if (c < " " or "\x7f" <= c < "\xa0") and c not in "\n\r\t")
+        odd = len(whole) - len(whole.translate(None, _CONTROLS)) + (len(_C1.findall(text)) if b"\xc2" in whole else 0)
         if text and "\0" not in text and odd * 20 <= len(text):
             return "text", None
         break
@@ -215,10 +218,10 @@ def _members(kind: str, content: bytes, path: str) -> Iterator[tuple[int, str, b
         yield 0, kind, {"gzip": gzip, "bzip2": bz2, "xz": lzma}[kind].decompress(content)
 
 
-Unpacked = tuple[str, bytes | None, str | None, str | None, list[int]]
+Unpacked = tuple[str, bytes | None, str | bytes | None, str | None, list[int]]
 
 
-def unpack(path: str, content: bytes, depth: int = 0, logical: bool = False, strict: bool = False, seen: dict[str, int] | None = None, above: tuple[int, ...] = ()) -> Iterator[Unpacked]:
+def unpack(path: str, content: bytes, depth: int = 0, logical: bool = False, strict: bool = False, seen: dict[bytes, int] | None = None, above: tuple[int, ...] = ()) -> Iterator[Unpacked]:
     """``(path, content, None, None, above)`` for each text in a file and ``(path, None, issue, reason, above)`` for what isn't read.
 
     Members read before an archive breaks are kept.  A member's path is the hash
@@ -237,7 +240,7 @@ def unpack(path: str, content: bytes, depth: int = 0, logical: bool = False, str
     elif kind == "unsupported":
         yield path, None, "unsupported_file", reason, list(above)
     else:
-        digest, seen = hashlib.sha256(content).hexdigest(), {} if seen is None else seen
+        digest, seen = hashlib.sha256(content).digest(), {} if seen is None else seen
         word = "archive" if kind in ("zip", "tar") else "compressed"
         if digest in seen:
             yield path, None, "archive_cycle", f"{word} content was already seen", list(above)
@@ -253,44 +256,56 @@ def unpack(path: str, content: bytes, depth: int = 0, logical: bool = False, str
             yield path, None, "archive_read_failed", str(error) or type(error).__name__, list(above)
 
 
-def discover(files: DataFrame, logical: bool = False, strict: bool = False, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+#: What comes of a file: texts and issues, and a row with a digest for each container.
+_UNPACKED = "file bigint, top string, path string, content binary, digest binary, id string, reason string, above array<int>"
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], logical: bool, strict: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_UNPACKED`` of ``file, path, content``, up to BATCH_ROWS of them or BATCH_BYTES of texts at a time."""
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.list_(pa.int32())]
+    names = [x.split()[0] for x in _UNPACKED.split(", ")]
+    rows, size = [], 0
+    flush = lambda: pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names)
+    for batch in batches:
+        for file, top, content in zip(batch.column(0), batch.column(1), batch.column(2)):
+            file, top = file.as_py(), top.as_py()
+            for path, text, id_, reason, above in unpack(top, content.as_py(), 0, logical, strict):
+                digest, id_ = (id_, None) if isinstance(id_, bytes) else (None, id_)
+                rows.append((file, top, path, text, digest, id_, reason, above))
+                size += len(text or b"")
+                if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                    yield flush()
+                    rows, size = [], 0
+    if rows:
+        yield flush()
+
+
+def discover(files: DataFrame, logical: bool = False, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Texts ``path, content`` and issues ``id, path, reason`` of ``path, content``.
 
     Texts pass by as they are, in the JVM.  Of containers with equal content, at any
-    depth of any file, the first is unpacked, in the order of the files' paths and of
-    members; the others are issues.  Files are unpacked in Arrow batches, those of
-    equal content once.  With ``keep`` the unpacked rows are written to the shared
-    folder, so that texts and issues, and all that follows, unpack once.
+    depth of any file, the first is taken, in the order of the files' paths and of
+    members; the others are issues.  Every other file is unpacked once, in the task that
+    reads it; what comes of it is written to the shared folder, and only digests are
+    shuffled to find equal containers.  ``files`` is read twice, for texts and for the rest.
     """
-    reachable(files.sparkSession)
     kinds = files.where(F.col("content").isNotNull()).withColumn("kind", sniff_column(F.col("content")))
     texts = kinds.where("kind = 'text'").select("path", "content")
-    other = kinds.where("kind <> 'text'").withColumn("n", F.row_number().over(Window.partitionBy(F.when(F.col("kind").isin(*CONTAINERS), F.sha2("content", 256)).otherwise(F.col("path"))).orderBy("path")))
-    repeated = other.where(F.col("n") > 1).where(F.col("kind").isin(*CONTAINERS))
-    word = F.when(F.col("kind").isin("zip", "tar"), "archive").otherwise("compressed")
-    cycles = repeated.select(F.lit("archive_cycle").alias("id"), "path", F.concat(word, F.lit(" content was already seen")).alias("reason"))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for path, content in zip(frame["path"], frame["content"]):
-                for row in unpack(path, bytes(content), 0, logical, strict):
-                    yield pd.DataFrame([(path, *row)], columns=["top", "path", "content", "id", "reason", "above"])
-
-    unpacked = other.where("n = 1").select("path", "content").mapInPandas(run, "top string, path string, content binary, id string, reason string, above array<int>")
-    if keep:
-        unpacked = saved(unpacked)
-    container = F.col("content").isNull() & (F.length("id") == 64)
-    # A container that stands before in another file is an issue, and what it holds isn't read from it.
-    inside = unpacked.where(container).select("top", "path", F.col("id").alias("digest"), F.col("reason").alias("word"), "above", F.element_at("above", -1).alias("own"))
-    first = inside.groupBy("digest").agg(F.min(F.struct("top", "own")).alias("first"))
-    again = inside.join(first, "digest").where((F.col("first.top") != F.col("top")) | (F.col("first.own") != F.col("own")))
-    gone = again.groupBy("top").agg(F.collect_set("own").alias("gone"))  # containers of one file, which is held by one task anyway
-    left = unpacked.where(~container).join(gone, "top", "left").where(~F.coalesce(F.arrays_overlap("above", "gone"), F.lit(False)))
-    outer = again.join(gone, "top").where(~F.arrays_overlap(F.slice("above", 1, F.size("above") - 1), "gone"))
-    nested = outer.select(F.lit("archive_cycle").alias("id"), "path", F.concat("word", F.lit(" content was already seen")).alias("reason"))
-    found = left.where("id IS NULL").select("path", "content")
-    issues = left.where("id IS NOT NULL").select("id", "path", "reason")
-    return texts.unionByName(found), cycles.unionByName(issues).unionByName(nested)
+    other = kinds.where("kind <> 'text'").select(F.monotonically_increasing_id().alias("file"), "path", "content")
+    unpacked = saved(arrow_map(other, lambda batches: _unpacked(batches, logical, strict), _UNPACKED))
+    container, own = F.col("digest").isNotNull(), F.element_at("above", -1)
+    # A container that stands before in another file is an issue, and what it holds isn't taken from it.
+    inside = unpacked.where(container).select("digest", "top", "file", own.alias("own"))
+    place = F.row_number().over(Window.partitionBy("digest").orderBy("top", "file", "own"))
+    again = saved(inside.withColumn("n", place).where("n > 1").select("file", "own"))
+    gone = again.groupBy("file").agg(F.collect_set("own").alias("gone"))  # containers of one file, which is held by one task anyway
+    within = lambda above: F.coalesce(F.arrays_overlap(above, "gone"), F.lit(False))
+    left = unpacked.join(gone, "file", "left")
+    found = left.where(F.col("content").isNotNull() & ~within("above")).select("path", "content")
+    issues = left.where(F.col("id").isNotNull() & ~within("above")).select("id", "path", "reason")
+    outer = left.where(container & F.array_contains("gone", own) & ~within(F.slice("above", F.lit(1), F.size("above") - 1)))
+    cycles = outer.select(F.lit("archive_cycle").alias("id"), "path", F.concat("reason", F.lit(" content was already seen")).alias("reason"))
+    return texts.unionByName(found), issues.unionByName(cycles)
 
 
 def sizes(texts: DataFrame) -> DataFrame:

@@ -87,6 +87,32 @@ def test_copies_depth_and_broken_members(spark, tmp_path):
     assert [i for i, _, _ in issues] == ["archive_cycle", "archive_depth_exceeded", "archive_read_failed"]
 
 
+def test_files_are_read_twice_and_copies_of_a_path_told_apart(spark, tmp_path):
+    log = str(tmp_path / "read")
+
+    def note(frames):
+        for frame in frames:
+            with open(log, "a") as f:
+                f.writelines(f"{p}\n" for p in frame["path"])
+            yield frame
+
+    inner = gzip.compress(b"inner", mtime=0)
+    blobs = [("a", zipped(x=inner)), ("b", inner), ("c", zipped(x=inner, y=b"of c")), ("d", b"plain"), ("e", b"\x00"), ("f", gzip.compress(b"of f", mtime=0)), ("f", gzip.compress(b"of f", mtime=0)), ("g", b"\x1f\x8bnot gzip")]
+    df = spark.createDataFrame([(p, bytearray(c)) for p, c in blobs], "path string, content binary")
+    texts, issues = files.discover(df.mapInPandas(note, df.schema), logical=True)
+    assert sorted((r["path"], bytes(r["content"])) for r in texts.collect()) == [("a!/x!/gzip", b"inner"), ("c!/y", b"of c"), ("d", b"plain"), ("f!/gzip", b"of f")]
+    assert sorted((r["id"], r["path"]) for r in issues.collect()) == [("archive_cycle", "b"), ("archive_cycle", "c!/x"), ("archive_cycle", "f"), ("archive_read_failed", "g"), ("unsupported_file", "e")]
+    with open(log) as f:
+        assert len(f.readlines()) <= 2 * len(blobs)
+
+
+def test_sniff_counts_controls_of_one_byte_and_of_two():
+    for odd in ("\x01", "\x7f", "\x80", "\x9f"):
+        assert files.sniff((odd + "\xa0" * 19).encode())[0] == "text"
+        assert files.sniff((odd + "\xa0" * 18).encode())[0] == "unsupported"
+    assert files.sniff("\n\r\t\xc2".encode())[0] == "text"
+
+
 def test_missing_paths(spark, tmp_path):
     with pytest.raises(files.SourceError, match="does not exist"):
         files.read_files(spark, str(tmp_path / "none"))
