@@ -264,7 +264,8 @@ def _packed(spark: SparkSession, sf_dir: str, pack: Callable[[int, bytes], bytes
             yield batch
 
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").cast("string").alias("path"), F.encode(F.concat("html", F.col("page_id").cast("string")), "UTF-8").alias("content"))
-    return source.discover(pages.mapInPandas(run, "path string, content binary"), logical=True)
+    # Packed pages are written, like the files of a corpus: they are read twice, but packed once.
+    return source.discover(saved(pages.mapInPandas(run, "path string, content binary")), logical=True)
 
 
 def _page() -> Column:

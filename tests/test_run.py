@@ -15,7 +15,7 @@ from quarry.__main__ import main
 from quarry.config import effective
 from quarry import control
 from quarry.control import Cancelled, cancellable
-from quarry.plans import corpus
+from quarry.plans import corpus, registry
 from quarry.sources import files
 from quarry.train import TrainerError, train, vocabulary_checks
 
@@ -106,6 +106,30 @@ def test_files_are_read_twice_and_copies_of_a_path_told_apart(spark, tmp_path):
         assert len(f.readlines()) <= 2 * len(blobs)
 
 
+def test_pages_are_packed_once(spark, tmp_path):
+    log = str(tmp_path / "packed")
+    spark.createDataFrame([(k, f"page {k}") for k in range(9)], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+
+    def pack(page, content):
+        with open(log, "a") as f:
+            f.write(f"{page}\n")
+        return gzip.compress(content, mtime=0) if page else b"\0"
+
+    texts, issues = registry._packed(spark, str(tmp_path), pack)
+    assert sorted(bytes(r["content"]).decode() for r in texts.collect()) == [f"page {k}{k}" for k in range(1, 9)]
+    assert [(r["id"], r["path"]) for r in issues.collect()] == [("unsupported_file", "0")]
+    with open(log) as f:
+        assert sorted(f.read().split()) == [str(k) for k in range(9)]
+
+
+@pytest.mark.parametrize("name", ["container_dedupe", "archive_depth", "broken_archives", "unpack_containers"])
+def test_what_follows_unpacking_runs_no_python(spark, tmp_path, name):
+    spark.createDataFrame([(k, f"page {k}") for k in range(9)], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame([(k, "en", "web", f"text {k % 5}") for k in range(9)], "doc_id long, lang string, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    plan = registry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "MapIn" not in plan and "Scan parquet" in plan
+
+
 def test_sniff_counts_controls_of_one_byte_and_of_two():
     for odd in ("\x01", "\x7f", "\x80", "\x9f"):
         assert files.sniff((odd + "\xa0" * 19).encode())[0] == "text"
