@@ -250,8 +250,8 @@ def _unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
             batch["content"] = [gzip.compress(bytes(c), 1, mtime=0) for c in batch["content"]]
             yield batch
 
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").cast("string").alias("path"), F.encode("html", "UTF-8").alias("content"))
-    texts, _ = source.discover(pages.mapInPandas(shrink, "path string, content binary"), logical=True)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").where("html IS NOT NULL").select(F.col("page_id").cast("string").alias("path"), F.encode("html", "UTF-8").alias("content"))
+    texts, _ = source.discover(saved(pages.mapInPandas(shrink, "path string, content binary")), logical=True)
     return texts.select(F.regexp_extract("path", "^([0-9]+)!", 1).cast("long").alias("page_id"), F.length("content").cast("long").alias("n_bytes"), F.md5("content").alias("digest"))
 
 

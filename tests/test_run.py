@@ -122,7 +122,7 @@ def test_pages_are_packed_once(spark, tmp_path):
         assert sorted(f.read().split()) == [str(k) for k in range(9)]
 
 
-@pytest.mark.parametrize("name", ["container_dedupe", "archive_depth", "broken_archives", "unpack_containers"])
+@pytest.mark.parametrize("name", ["container_dedupe", "archive_depth", "broken_archives", "unpack_containers", "unpack_gzip"])
 def test_what_follows_unpacking_runs_no_python(spark, tmp_path, name):
     spark.createDataFrame([(k, f"page {k}") for k in range(9)], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
     spark.createDataFrame([(k, "en", "web", f"text {k % 5}") for k in range(9)], "doc_id long, lang string, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
@@ -130,6 +130,13 @@ def test_what_follows_unpacking_runs_no_python(spark, tmp_path, name):
     assert "MapIn" not in plan and "Scan parquet" in plan
 
 
+def test_unpack_gzip_on_copies_and_on_pages_without_content(spark, tmp_path):
+    pages = [(2, "same"), (10, "same"), (3, None), (4, ""), (5, "other")]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    out = registry.queries()["unpack_gzip"](spark, str(tmp_path))
+    assert sorted((r["page_id"], r["n_bytes"]) for r in out.collect()) == [(5, 5), (10, 4)]
+
+
 def test_sniff_counts_controls_of_one_byte_and_of_two():
     for odd in ("\x01", "\x7f", "\x80", "\x9f"):
         assert files.sniff((odd + "\xa0" * 19).encode())[0] == "text"
