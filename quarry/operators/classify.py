@@ -17,11 +17,15 @@ def path_hints(files: DataFrame, root: str | None = None) -> DataFrame:
     return files.withColumns({"language_hint": T.language_hint(tokens), "source_group": T.source_group(tokens)})
 
 
+def by_text(lines: DataFrame) -> DataFrame:
+    """``lines`` with those columns of BUCKET that their texts tell."""
+    text = F.col("text")
+    return lines.withColumns({"domain": T.domain(text), "script": T.dominant_script(text), "length_bin": T.length_bin(text)})
+
+
 def classify(lines: DataFrame, root: str | None = None) -> DataFrame:
     """``lines`` with the five columns of BUCKET."""
-    text = F.col("text")
-    hinted = lines if "language_hint" in lines.columns else path_hints(lines, root)
-    return hinted.withColumns({"domain": T.domain(text), "script": T.dominant_script(text), "length_bin": T.length_bin(text)})
+    return by_text(lines if "language_hint" in lines.columns else path_hints(lines, root))
 
 
 def order() -> list[Column]:

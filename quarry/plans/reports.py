@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import effective
 from ..functions import text as T
 from ..runtime import scratch
-from ..streaming import bucket_counts, read_stream
+from ..streaming import latest_counts, read_stream, running_counts
 
 #: Lines that each rule of canonicalization touches.
 AXES = {
@@ -47,13 +47,8 @@ def streamed(lines: DataFrame) -> DataFrame:
     lines.select(F.col("line").alias("value")).write.text(f"{at}/in")
     config = effective({"corpus": {"path": at}, "output": {"work_dir": at, "model_prefix": "m"}})
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{at}/out")
-
-    counts = bucket_counts(read_stream(spark, f"{at}/in"), config).writeStream.outputMode("complete").option("checkpointLocation", f"{at}/state")
-    query = counts.trigger(availableNow=True).foreachBatch(write).start()
+    query = running_counts(read_stream(spark, f"{at}/in"), config, at).trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    out = spark.read.schema("domain string, script string, language_hint string, source_group string, length_bin string, lines bigint").parquet(f"{at}/out")
-    return out.groupBy("domain", "script", "length_bin").agg(F.sum("lines").alias("lines"))
+    return latest_counts(spark, at).groupBy("domain", "script", "length_bin").agg(F.sum("lines").alias("lines"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.__main__ import main
 from quarry.config import effective
-from quarry import control
+from quarry import control, streaming
 from quarry.control import Cancelled, cancellable
 from quarry.plans import corpus, registry
 from quarry.sources import files
@@ -137,6 +137,27 @@ def test_unpack_gzip_on_copies_and_on_pages_without_content(spark, tmp_path):
     assert sorted((r["page_id"], r["n_bytes"]) for r in out.collect()) == [(5, 5), (10, 4)]
 
 
+def test_running_counts_add_batches_and_look_at_paths_by_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(4):
+        (tmp_path / "in" / f"vendor{k % 2}-{k}.txt").write_text("word\n\n" + "x \u2211\n" * k)
+    c = config(tmp_path, tmp_path / "in")
+    root = "/elsewhere"  # so hints come from the files' names
+    at = str(tmp_path / "run")
+    assert streaming.latest_counts(spark, at).count() == 0
+    for _ in range(2):  # the second finds no new files
+        query = streaming.running_counts(streaming.read_stream(spark, str(tmp_path / "in"), 1), c, at, root).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert query.exception() is None
+    table = spark.read.option("lineSep", "\n").text(str(tmp_path / "in")).select(F.col("_metadata.file_path").alias("path"), F.lit(1).cast("long").alias("line_number"), F.col("value").alias("line"))
+    counts = streaming.bucket_counts(table, c, root)
+    want = {("text", "latin", "unknown", f"vendor{k}", "short"): 2 for k in range(2)} | {("text", "unknown", "unknown", f"vendor{k}", "short"): 2 for k in range(2)} | {("math", "latin", "unknown", "vendor0", "short"): 2, ("math", "latin", "unknown", "vendor1", "short"): 4}
+    for df in (counts, streaming.latest_counts(spark, at)):
+        assert {tuple(r)[:5]: r["lines"] for r in df.collect()} == want
+    assert sorted(x.name for x in (tmp_path / "run" / "counts").iterdir()) == ["2", "3"]
+    assert "Aggregate [path" in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_sniff_counts_controls_of_one_byte_and_of_two():
     for odd in ("\x01", "\x7f", "\x80", "\x9f"):
         assert files.sniff((odd + "\xa0" * 19).encode())[0] == "text"
