@@ -263,7 +263,7 @@ def _packed(spark: SparkSession, sf_dir: str, pack: Callable[[int, bytes], bytes
             batch["content"] = [pack(int(p), bytes(c)) for p, c in zip(batch["path"], batch["content"])]
             yield batch
 
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").cast("string").alias("path"), F.encode(F.concat("html", F.col("page_id").cast("string")), "UTF-8").alias("content"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").where("html IS NOT NULL").select(F.col("page_id").cast("string").alias("path"), F.encode(F.concat("html", F.col("page_id").cast("string")), "UTF-8").alias("content"))
     # Packed pages are written, like the files of a corpus: they are read twice, but packed once.
     return source.discover(saved(pages.mapInPandas(run, "path string, content binary")), logical=True)
 

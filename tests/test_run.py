@@ -158,6 +158,18 @@ def test_running_counts_add_batches_and_look_at_paths_by_file(spark, tmp_path):
     assert "Aggregate [path" in counts._jdf.queryExecution().optimizedPlan().toString()
 
 
+_PAGES = [(k, None if k in (1, 7) else f"page {k} " * 80) for k in range(10)]
+
+
+def _results(spark, tmp_path, name, column):
+    spark.createDataFrame(_PAGES, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    return sorted((r["page_id"], r[column]) for r in registry.queries()[name](spark, str(tmp_path)).collect())
+
+
+def test_broken_archives_on_pages_without_content(spark, tmp_path):
+    assert _results(spark, tmp_path, "broken_archives", "result") == sorted((k, r) for k, html in _PAGES if html for r in ("text", "archive_read_failed"))
+
+
 def test_sniff_counts_controls_of_one_byte_and_of_two():
     for odd in ("\x01", "\x7f", "\x80", "\x9f"):
         assert files.sniff((odd + "\xa0" * 19).encode())[0] == "text"
