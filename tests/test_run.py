@@ -170,6 +170,10 @@ def test_broken_archives_on_pages_without_content(spark, tmp_path):
     assert _results(spark, tmp_path, "broken_archives", "result") == sorted((k, r) for k, html in _PAGES if html for r in ("text", "archive_read_failed"))
 
 
+def test_unpack_containers_on_pages_without_content(spark, tmp_path):
+    assert _results(spark, tmp_path, "unpack_containers", "member") == [(k, ["a", "a", "gzip", "bzip2", "xz"][k % 5]) for k, html in _PAGES if html]
+
+
 def test_sniff_counts_controls_of_one_byte_and_of_two():
     for odd in ("\x01", "\x7f", "\x80", "\x9f"):
         assert files.sniff((odd + "\xa0" * 19).encode())[0] == "text"
