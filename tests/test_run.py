@@ -174,6 +174,17 @@ def test_unpack_containers_on_pages_without_content(spark, tmp_path):
     assert _results(spark, tmp_path, "unpack_containers", "member") == [(k, ["a", "a", "gzip", "bzip2", "xz"][k % 5]) for k, html in _PAGES if html]
 
 
+def test_unpack_containers_packs_within_a_small_dictionary(spark, tmp_path, monkeypatch):
+    packs, packed = [], registry._packed
+    monkeypatch.setattr(registry, "_packed", lambda spark, sf_dir, pack: packs.append(pack) or packed(spark, sf_dir, pack))
+    assert _results(spark, tmp_path, "unpack_containers", "n_bytes") == [(k, len(html) + 1) for k, html in _PAGES if html]
+    page = random.Random(2).randbytes(3000).hex().encode()
+    xz = packs[0](4, page)
+    assert files.sniff(xz)[0] == "xz" and lzma.LZMADecompressor(memlimit=1 << 20).decompress(xz) == page
+    assert [files.sniff(packs[0](k, page))[0] for k in range(4)] == ["zip", "tar", "gzip", "bzip2"]
+    assert packs[0](2, page) == packs[0](7, page) and packs[0](2, page)[4:8] == bytes(4)  # no clock in it
+
+
 def test_sniff_counts_controls_of_one_byte_and_of_two():
     for odd in ("\x01", "\x7f", "\x80", "\x9f"):
         assert files.sniff((odd + "\xa0" * 19).encode())[0] == "text"
