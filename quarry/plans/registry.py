@@ -265,8 +265,9 @@ def _packed(spark: SparkSession, sf_dir: str, pack: Callable[[int, bytes], bytes
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], batch.schema.names)
 
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").where("html IS NOT NULL").select(F.col("page_id").cast("string").alias("path"), F.encode(F.concat("html", F.col("page_id").cast("string")), "UTF-8").alias("content"))
+    # Packing takes far longer than sending, and a file is read by no more tasks than it has row groups, so pages are spread first.
     # Packed pages are written, like the files of a corpus: they are read twice, but packed once.
-    return source.discover(saved(arrow_map(pages, run, "path string, content binary")), logical=True)
+    return source.discover(saved(arrow_map(pages.repartition("path"), run, "path string, content binary")), logical=True)
 
 
 def _page() -> Column:

@@ -122,6 +122,24 @@ def test_pages_are_packed_once(spark, tmp_path):
         assert sorted(f.read().split()) == [str(k) for k in range(9)]
 
 
+def test_pages_of_one_row_group_are_packed_by_several_tasks(spark, tmp_path):
+    log = str(tmp_path / "tasks")
+    pages = [(k, random.Random(k).randbytes(1 << 19).hex()) for k in range(12)]
+    spark.createDataFrame(pages, "page_id long, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+
+    def pack(page, content):
+        from pyspark import TaskContext
+
+        with open(log, "a") as f:
+            f.write(f"{TaskContext.get().partitionId()}\n")
+        return b"\0%d" % page
+
+    assert registry._packed(spark, str(tmp_path), pack)[1].count() == len(pages)
+    with open(log) as f:
+        tasks = f.read().split()
+    assert len(tasks) == len(pages) and len(set(tasks)) > 1
+
+
 @pytest.mark.parametrize("name", ["container_dedupe", "archive_depth", "broken_archives", "unpack_containers", "unpack_gzip"])
 def test_what_follows_unpacking_runs_no_python(spark, tmp_path, name):
     spark.createDataFrame([(k, f"page {k}") for k in range(9)], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
